@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import strip
+from tidemark.functions.text import let, quoted, strip_sql
 
 ANCHORS = "array<struct<href:string,title:string,category:string>>"
 
@@ -29,105 +29,87 @@ _COMMON_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&
 _RARE_REFERENCE = r"&(?!(?:lt|gt|quot|apos|nbsp|amp);)[A-Za-z#]"
 
 
-def _decode(text: Column) -> Column:
+def _decode(text: str) -> str:
     decoded = text
     for reference, char in _COMMON_REFERENCES.items():
-        decoded = F.replace(decoded, F.lit(reference), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+        decoded = f"replace({decoded}, {quoted(reference)}, {quoted(char)})"
+    return f"if(contains({text}, '&'), {decoded}, {text})"
 
 
-def _text(fragment: Column) -> Column:
+def _text(fragment: str) -> str:
     """Text nodes, each stripped, joined without a separator."""
-    return F.array_join(F.transform(F.split(fragment, _TAG), lambda t: strip(_decode(t))), "")
+    return f"array_join(transform(split({fragment}, {quoted(_TAG)}), t -> {strip_sql(_decode('t'))}), '')"
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    pattern = rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return F.when(tag.rlike(pattern), F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]))
+def _attribute(tag: str, name: str) -> str:
+    pattern = quoted(rf"""(?is)(?:^|[\s"'/]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    value = ", ".join(f"regexp_extract(g, {pattern}, {i})" for i in (1, 2, 3))
+    return let("g", tag, f"if(rlike(g, {pattern}), concat({value}), null)")
 
 
-def _elements(fragment: Column, tag: str) -> Column:
+def _starts(piece: str, tag: str) -> str:
+    return f"rlike({piece}, {quoted(rf'(?i)^<{tag}[\s/>]')})"
+
+
+def _elements(fragment: str, tag: str) -> str:
     """Pieces of `fragment`, each from an opening `tag` to the first closing one."""
-    pieces = F.split(fragment, rf"(?i)(?=<{tag}[\s/>])")
-    opened = F.filter(pieces, lambda p: p.rlike(rf"(?i)^<{tag}[\s/>]"))
-    return F.transform(opened, lambda p: F.element_at(F.split(p, rf"(?i)(?<=</{tag}[\s>])", 2), 1))
+    pieces = f"split({fragment}, {quoted(rf'(?i)(?=<{tag}[\s/>])')})"
+    return f"transform(filter({pieces}, p -> {_starts('p', tag)}), p -> split(p, {quoted(rf'(?i)(?<=</{tag}[\s>])')}, 2)[0])"
 
 
-def _opening(piece: Column, tag: str) -> Column:
-    return F.regexp_extract(piece, rf"(?i)^<{tag}{_ATTRIBUTES}>", 1)
+def _opening(piece: str, tag: str) -> str:
+    return f"regexp_extract({piece}, {quoted(rf'(?i)^<{tag}{_ATTRIBUTES}>')}, 1)"
 
 
-def _inside(piece: Column, tag: str) -> Column:
-    body = F.regexp_replace(piece, rf"(?i)^<{tag}{_ATTRIBUTES}>", "")
-    return F.element_at(F.split(body, rf"(?i)</{tag}[\s>]", 2), 1)
+def _inside(piece: str, tag: str) -> str:
+    body = f"regexp_replace({piece}, {quoted(rf'(?i)^<{tag}{_ATTRIBUTES}>')}, '')"
+    return f"split({body}, {quoted(rf'(?i)</{tag}[\s>]')}, 2)[0]"
 
 
-def _closed(piece: Column, tag: str) -> Column:
-    return piece.rlike(rf"(?i)</{tag}[\s>]")
+def _closed(piece: str, tag: str) -> str:
+    return f"rlike({piece}, {quoted(rf'(?i)</{tag}[\s>]')})"
 
 
-def page_segments(html: Column, category_header: str) -> Column:
+def page_segments(html: str, category_header: str) -> str:
     """Page cut at table rows: per cut its anchors' pieces and the row's category cell."""
-
-    def describe(segment: Column) -> Column:
-        in_row = segment.rlike(r"(?i)^<tr[\s/>]")
-        labelled = F.when(
-            in_row & F.contains(segment, F.lit(category_header)),
-            F.get(
-                F.filter(
-                    _elements(segment, "td"),
-                    lambda c: F.array_contains(
-                        F.split(F.coalesce(_attribute(_opening(c, "td"), "headers"), F.lit("")), r"\s+"),
-                        category_header,
-                    ),
-                ),
-                F.lit(0),
-            ),
-        )
-        return F.struct(
-            _elements(segment, "a").alias("anchors"),
-            labelled.alias("cell"),
-            (in_row & ~_closed(segment, "tr")).alias("open_row"),
-        )
-
-    return F.transform(F.split(F.regexp_replace(html, _INVISIBLE, ""), _ROWS), describe)
-
-
-def needs_parser(segments: Column) -> Column:
+    header, in_row = quoted(category_header), _starts("s", "tr")
+    labels = f"split(coalesce({_attribute(_opening('c', 'td'), 'headers')}, ''), {quoted(r'\s+')})"
+    cells = f"filter({_elements('s', 'td')}, c -> array_contains({labels}, {header}))"
+    described = (
+        f"named_struct('anchors', {_elements('s', 'a')}, "
+        f"'cell', if({in_row} AND contains(s, {header}), get({cells}, 0), null), "
+        f"'open_row', {in_row} AND NOT {_closed('s', 'tr')})"
+    )
+    visible = f"regexp_replace({html}, {quoted(_INVISIBLE)}, '')"
+    return f"transform(split({visible}, {quoted(_ROWS)}), s -> {described})"
+
+
+def needs_parser(segments: str) -> str:
     """Whether a page holds something the expressions of `plain_anchors` misread."""
-
-    def odd_anchor(piece: Column) -> Column:
-        return ~_closed(piece, "a") | piece.rlike(_RARE_REFERENCE) | _opening(piece, "a").rlike(r"(?is)href.*href")
-
-    def odd(segment: Column) -> Column:
-        cell = F.coalesce(segment["cell"], F.lit("</td>"))
-        return (
-            segment["open_row"]
-            | ~_closed(cell, "td")
-            | cell.rlike(_RARE_REFERENCE)
-            | cell.rlike(r"(?i)<table[\s>]")
-            | F.exists(segment["anchors"], odd_anchor)
-        )
-
-    return F.exists(segments, odd)
-
-
-def plain_anchors(segments: Column) -> Column:
+    rare = quoted(_RARE_REFERENCE)
+    odd_anchor = (
+        f"NOT {_closed('a', 'a')} OR rlike(a, {rare}) OR rlike({_opening('a', 'a')}, {quoted('(?is)href.*href')})"
+    )
+    odd_cell = (
+        f"s.cell IS NOT NULL AND (NOT {_closed('s.cell', 'td')} OR rlike(s.cell, {rare}) "
+        f"OR rlike(s.cell, {quoted(r'(?i)<table[\s>]')}))"
+    )
+    return f"exists({segments}, s -> s.open_row OR {odd_cell} OR exists(s.anchors, a -> {odd_anchor}))"
+
+
+def plain_anchors(segments: str) -> str:
     """Anchors with an href, in document order, as an array of structs."""
-
-    def of_segment(segment: Column) -> Column:
-        category = F.coalesce(_text(_inside(segment["cell"], "td")), F.lit(""))
-        return F.transform(
-            segment["anchors"],
-            lambda a: F.struct(
-                strip(_decode(_attribute(_opening(a, "a"), "href"))).alias("href"),
-                _text(_inside(a, "a")).alias("title"),
-                category.alias("category"),
-            ),
-        )
-
-    with_href = F.filter(F.flatten(F.transform(segments, of_segment)), lambda a: a["href"].isNotNull())
-    return with_href.cast(ANCHORS)
+    href = strip_sql(_decode("h"))
+    anchor = (
+        f"named_struct('href', {let('h', _attribute(_opening('a', 'a'), 'href'), href)}, "
+        f"'title', {_text(_inside('a', 'a'))}, 'category', category)"
+    )
+    of_segment = let(
+        "category",
+        f"coalesce({_text(_inside('s.cell', 'td'))}, '')",
+        f"transform(s.anchors, a -> {anchor})",
+    )
+    return f"cast(filter(flatten(transform({segments}, s -> {of_segment})), a -> a.href IS NOT NULL) AS {ANCHORS})"
 
 
 # HTML elements that never hold content.

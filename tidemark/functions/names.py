@@ -5,9 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.url import last_segment
 
-base_name = last_segment
+def base_name(path: Column) -> Column:
+    return F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
+
+
+def stored_name(url: Column, period: Column) -> Column:
+    """Name a fetched file is stored under: last URL segment, else ``<period>.bin``."""
+    name = base_name(F.substring_index(url, "?", 1))
+    return F.coalesce(F.nullif(name, F.lit("")), F.concat(period, F.lit(".bin")))
+
 
 _STEM = r"(?s)^(.+?)(\.[^.]+)?\z"
 

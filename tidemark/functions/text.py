@@ -1,4 +1,8 @@
-"""Text expressions."""
+"""Text expressions.
+
+The page and URL expressions have hundreds of nodes. They are put together as SQL text
+and parsed once by Spark, since a Python call per node costs seconds per query.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,23 @@ from pyspark.sql import functions as F
 WHITESPACE = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 
 
+def quoted(text: str) -> str:
+    """SQL literal of `text`."""
+    escaped = "".join(
+        f"\\{c}" if c in "\\'" else c if c.isprintable() else f"\\u{ord(c):04x}" for c in text
+    )
+    return f"'{escaped}'"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """SQL of `body`, in which `name` stands for `value`, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def strip_sql(text: str) -> str:
+    return f"btrim({text}, {quoted(WHITESPACE)})"
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 

@@ -1,99 +1,86 @@
-"""URL expressions after RFC 3986, from built-in functions only.
+"""URL expressions after RFC 3986, as SQL text over built-in functions.
 
 ``parse_url`` is not used: it fails on hrefs with a space, which real pages hold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from tidemark.functions.text import let, quoted
 
 # scheme, //authority, path, ?query, #fragment
-_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
-_HAS_AUTHORITY = r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//"
-_DOT_SEGMENT = r"(^|/)\.\.?(/|\z)"
-_CONTROLS = "".join(map(chr, range(33)))
+_PARTS = quoted(r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z")
+_DOT_SEGMENT = quoted(r"(^|/)\.\.?(/|\z)")
+_CONTROLS = quoted("".join(map(chr, range(33))))
+_BREAKS = quoted("\t\r\n")
+_PARAMETERS = quoted(r"(?s);[^/]*\z")
+_LAST_SEGMENT = quoted(r"[^/]*\z")
 
 
-def _column(value) -> Column:
-    return F.lit(value) if isinstance(value, str) else value
+def _tidy(url: str) -> str:
+    """Leading control characters and any tab or line break are not part of a URL."""
+    return f"translate(ltrim({_CONTROLS}, {url}), {_BREAKS}, '')"
 
 
-def _tidy(url: Column) -> Column:
-    """Leading control characters and any tab or line break are not part of a URL."""
-    return F.translate(F.ltrim(url, F.lit(_CONTROLS)), "\t\r\n", "")
+def url_path(url: str) -> str:
+    """Path without query, fragment and the ``;parameters`` of the last segment."""
+    return f"regexp_replace(regexp_extract({_tidy(url)}, {_PARTS}, 3), {_PARAMETERS}, '')"
 
 
-def _part(url: Column, index: int) -> Column:
-    return F.regexp_extract(url, _PARTS, index)
+def last_segment(path: str) -> str:
+    return f"element_at(split(rtrim('/', {path}), '/'), -1)"
 
 
-def url_path(url: Column) -> Column:
-    """Path without query, fragment and the ``;parameters`` of the last segment."""
-    return F.regexp_replace(_part(_tidy(url), 3), r"(?s);[^/]*\z", "")
+def _without_dots(path: str) -> str:
+    """Apply ``.`` and ``..``; a ``..`` above the root is dropped."""
+    kept = (
+        "aggregate(parts, cast(array() AS array<string>), (done, s) -> "
+        "CASE s WHEN '..' THEN slice(done, 1, greatest(size(done) - 1, 0)) WHEN '.' THEN done "
+        "ELSE concat(done, array(s)) END)"
+    )
+    ends_in_dots = "element_at(parts, -1) IN ('.', '..')"
+    return let("parts", f"split({path}, '/', -1)", f"array_join(concat({kept}, if({ends_in_dots}, array(''), array())), '/')")
 
 
-def last_segment(path: Column) -> Column:
-    return F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
+def _split(url: str) -> str:
+    names = ("scheme", "authority", "path", "query", "fragment")
+    parts = ", ".join(f"'{n}', regexp_extract(u, {_PARTS}, {i})" for i, n in enumerate(names, 1))
+    return let("u", _tidy(url), f"named_struct('whole', u, {parts})")
 
 
-def stored_name(url: Column, period: Column) -> Column:
-    """Name a fetched file is stored under: last URL segment, else ``<period>.bin``."""
-    cut = F.substring_index(url, "?", 1)
-    return F.coalesce(F.nullif(last_segment(cut), F.lit("")), F.concat(period, F.lit(".bin")))
+def _rooted(path: str) -> str:
+    return f"if(startswith({path}, '/'), {path}, concat('/', {path}))"
 
 
-def _without_dots(segments: Column) -> Column:
-    """Apply ``.`` and ``..``; a ``..`` above the root is dropped."""
-    none = F.expr("cast(array() as array<string>)")
-    kept = F.aggregate(
-        segments,
-        none,
-        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(s == ".", done)
-        .otherwise(F.concat(done, F.array(s))),
-    )
-    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    return F.when(ends_in_dots, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+def _merged_path(base_path: str, path: str) -> str:
+    """A reference's path seen from the page at `base_path`."""
+    folder = f"regexp_replace({base_path}, {_LAST_SEGMENT}, '')"
+    # A relative path is joined to the base folder, and runs of slashes inside it close up.
+    below = f"concat(substring(f, 1, 1), regexp_replace(concat(ltrim('/', f), {path}), '(?<=.)/{{2,}}', '/'))"
+    joined = f"if(startswith({path}, '/'), {path}, {let('f', folder, below)})"
+    resolved = let("p", joined, f"if(rlike(p, {_DOT_SEGMENT}), {_without_dots('p')}, p)")
+    return let("q", resolved, _rooted("q"))
 
 
-def resolve_url(base, href: Column) -> Column:
-    """Absolute URL of `href` found on a page whose address is `base` (string or column)."""
-    base = _tidy(_column(base))
-    ref = _tidy(href)
-    scheme, b_scheme = F.lower(_part(ref, 1)), F.lower(_part(base, 1))
-    path, b_path = _part(ref, 3), _part(base, 3)
-    query, fragment = _part(ref, 4), _part(ref, 5)
+def _suffix(mark: str, value: str) -> str:
+    return f"if({value} = '', '', concat('{mark}', {value}))"
 
-    folder = F.regexp_replace(b_path, r"[^/]*\z", "")
-    absolute = F.startswith(path, F.lit("/"))
-    # A relative path is joined to the base folder, and runs of slashes inside it close up.
-    joined = F.when(absolute, path).otherwise(
-        F.concat(F.regexp_extract(folder, "^/?", 0), F.regexp_replace(F.concat(F.ltrim(folder, F.lit("/")), path), r"(?<=.)/{2,}", "/"))
-    )
-    resolved = F.when(
-        joined.rlike(_DOT_SEGMENT), F.array_join(_without_dots(F.split(joined, "/", -1)), "/")
-    ).otherwise(joined)
-    rooted = F.when(F.startswith(resolved, F.lit("/")), resolved).otherwise(F.concat(F.lit("/"), resolved))
-
-    full_path = F.when(path == "", b_path).otherwise(rooted)
-    full_query = F.when((path == "") & (query == ""), _part(base, 4)).otherwise(query)
-    local = F.concat(
-        b_scheme, F.lit("://"), _part(base, 2), full_path, _suffix("?", full_query), _suffix("#", fragment)
+
+def resolve_url(base: str, href: str) -> str:
+    """Absolute URL of `href` found on a page whose address is `base`, both SQL."""
+    tail = _suffix("#", "ref.fragment")
+    scheme = "lower(page.scheme)"
+    elsewhere = (
+        f"concat({scheme}, '://', ref.authority, if(ref.path = '', '', {_rooted('ref.path')}), "
+        f"{_suffix('?', 'ref.query')}, {tail})"
     )
-    elsewhere = F.concat(
-        F.when(scheme == "", b_scheme).otherwise(scheme), F.lit("://"), _part(ref, 2),
-        F.when((path == "") | absolute, path).otherwise(F.concat(F.lit("/"), path)),
-        _suffix("?", query), _suffix("#", fragment),
+    inherited = "if(ref.path = '' AND ref.query = '', page.query, ref.query)"
+    here = (
+        f"concat({scheme}, '://', page.authority, "
+        f"if(ref.path = '', page.path, {_merged_path('page.path', 'ref.path')}), {_suffix('?', inherited)}, {tail})"
     )
-    foreign = (scheme != "") & (scheme != b_scheme)
-    return (
-        F.when(ref == "", base)
-        .when(foreign, ref)
-        .when(ref.rlike(_HAS_AUTHORITY) & (_part(ref, 2) != ""), elsewhere)
-        .otherwise(local)
+    joined = (
+        f"CASE WHEN ref.whole = '' THEN page.whole "
+        f"WHEN ref.scheme <> '' AND lower(ref.scheme) <> {scheme} THEN ref.whole "
+        f"WHEN ref.authority <> '' THEN {elsewhere} ELSE {here} END"
     )
-
-
-def _suffix(mark: str, value: Column) -> Column:
-    return F.when(value == "", F.lit("")).otherwise(F.concat(F.lit(mark), value))
+    return let("page", _split(base), let("ref", _split(href), joined))

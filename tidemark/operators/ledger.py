@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.names import base_name, versioned_name
+from tidemark.functions.names import base_name, stored_name, versioned_name
 from tidemark.functions.text import blank_to_null, strip, to_long
-from tidemark.functions.url import stored_name
 from tidemark.operators.skew import skew_join
 from tidemark.session import BROADCAST_ROWS, fits
 from tidemark.sources.schemas import KEY

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import html as H
-from tidemark.functions.text import contains_any, ends_with_any
+from tidemark.functions.text import contains_any, ends_with_any, quoted
 from tidemark.functions.url import last_segment, resolve_url, url_path
 
 # What the yearbook pages use.
@@ -27,15 +27,15 @@ def page_anchors(
 ) -> DataFrame:
     """One row per anchor with an href: `keys`, pos, href, title, category."""
     keys = list(keys)
-    cut = pages.select(*keys, F.col(html).alias("_html")).select(
-        *keys, "_html", H.page_segments(F.col("_html"), category_header).alias("_segments")
+    cut = pages.select(*keys, F.col(html).alias("_html")).withColumn(
+        "_segments", F.expr(H.page_segments("_html", category_header))
     )
-    # One boolean column, so that the test runs once per page.
-    tested = cut.withColumn("_odd", H.needs_parser(F.col("_segments")))
+    # A column of its own, so that the test runs once per page.
+    tested = cut.withColumn("_odd", F.expr(H.needs_parser("_segments")))
     read = tested.select(
         *keys,
-        F.when(~F.col("_odd"), H.plain_anchors(F.col("_segments"))).alias("_plain"),
-        H.parsed_anchors(F.when(F.col("_odd"), F.col("_html")), category_header).alias("_parsed"),
+        F.expr(f"if(_odd, null, {H.plain_anchors('_segments')})").alias("_plain"),
+        H.parsed_anchors(F.expr("if(_odd, _html, null)"), category_header).alias("_parsed"),
     )
     return read.select(*keys, F.posexplode(F.coalesce("_plain", "_parsed")).alias("pos", "_anchor")).select(
         *keys, "pos", "_anchor.href", "_anchor.title", "_anchor.category"
@@ -44,7 +44,7 @@ def page_anchors(
 
 def with_extension(links: DataFrame, extensions=FILE_EXTENSIONS) -> DataFrame:
     """Links whose lowercased URL path ends in one of `extensions`; adds `path`."""
-    return links.withColumn("path", F.lower(url_path(F.col("href")))).where(
+    return links.withColumn("path", F.expr(f"lower({url_path('href')})")).where(
         ends_with_any(F.col("path"), extensions)
     )
 
@@ -83,8 +83,8 @@ def extract_links(
     links = allowed.select(
         *keys,
         "pos",
-        resolve_url(site_root, F.col("href")).alias("url_to"),
-        last_segment(F.col("path")).alias("filename"),
+        F.expr(resolve_url(quoted(site_root), "href")).alias("url_to"),
+        F.expr(last_segment("path")).alias("filename"),
         "title",
         "category",
     )
@@ -93,7 +93,7 @@ def extract_links(
 
 def discover_releases(
     pages: DataFrame,
-    base,
+    base: str,
     keys=("page_id",),
     year_in_url: str = YEAR_IN_URL,
     year_in_text: str = YEAR_IN_TEXT,
@@ -101,8 +101,8 @@ def discover_releases(
     """Release pages an index page links to: `keys`, year, url.
 
     A year read from the URL beats one read from the link text; of several URL hits
-    the last counts, of several text hits the first. `base` is the index address, as
-    a string or as a column among `keys`.
+    the last counts, of several text hits the first. `base` is the index address, or
+    the name of a column among `keys` that holds it.
     """
     keys = list(keys)
     anchors = page_anchors(pages, keys)
@@ -117,7 +117,8 @@ def discover_releases(
         "href",
     ).where("year is not null")
     chosen = found.groupBy(*keys, "year").agg(F.max_by("href", "_rank").alias("href"))
-    return chosen.select(*keys, "year", resolve_url(base, F.col("href")).alias("url"))
+    address = f"`{base}`" if base in keys else quoted(base)
+    return chosen.select(*keys, "year", F.expr(resolve_url(address, "href")).alias("url"))
 
 
 def newest_first(releases: DataFrame) -> DataFrame:

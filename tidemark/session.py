@@ -28,11 +28,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and continue from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint(eager=True)
+    """Write `df` once to the shared folder and continue from the written table.
+
+    Its lineage ends there, so a lost executor costs no recomputation of what came
+    before, and the table has a known size for the joins that follow.
+    """
+    path = shared_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -44,7 +44,7 @@ class LedgerStore:
         path = self._data(self._snapshot())
         if not self._exists(path):
             return self.spark.createDataFrame([], MANIFEST)
-        schema = T.StructType(MANIFEST.fields).add("batch", T.LongType())
+        schema = T.StructType([*MANIFEST.fields, T.StructField("batch", T.LongType())])
         rows = self.spark.read.schema(schema).parquet(path).drop("batch")
         return rows if before is None else rows.where(F.col("seq") < before)
 

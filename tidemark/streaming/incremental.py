@@ -38,7 +38,7 @@ def run_incremental(
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         store = LedgerStore(batch.sparkSession, ledger)
-        links = batch.select(*KEY).distinct().withColumn("filename", last_segment(F.lower(url_path(F.col("url")))))
+        links = batch.select(*KEY).distinct().withColumn("filename", F.expr(f"lower({last_segment(url_path('url'))})"))
         run_ledger(store, links, batch, base_dir, source_id, first_batch + batch_id, mode=mode)
 
     return (

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.url import last_segment, resolve_url, stored_name, url_path
+from tidemark.functions.names import stored_name
+from tidemark.functions.url import last_segment, resolve_url, url_path
 from tidemark.operators.links import (
     CATEGORY_HEADER,
     discover_releases,
@@ -33,17 +34,17 @@ def anchors(spark, sf):
 def page_links_resolved(spark, sf):
     found = page_anchors(table(spark, sf, "pages"))
     return found.select(
-        "page_id", F.col("pos").cast("long").alias("pos"), resolve_url(F.col("url"), F.col("href")).alias("link")
+        "page_id", F.col("pos").cast("long").alias("pos"), F.expr(resolve_url("url", "href")).alias("link")
     )
 
 
 def url_parts(spark, sf):
     pages = table(spark, sf, "pages")
-    path = F.lower(url_path(F.col("url")))
+    path = f"lower({url_path('url')})"
     return pages.select(
         "page_id",
-        path.alias("path"),
-        last_segment(path).alias("filename"),
+        F.expr(path).alias("path"),
+        F.expr(last_segment(path)).alias("filename"),
         stored_name(F.col("url"), F.col("page_id").cast("string")).alias("stored_name"),
     )
 
