@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import COMBINED_YEARS, base_name, stem, suffix, year_in_name
 from tidemark.operators.skew import rank_within, skew_join
+from tidemark.session import materialise
 
 # Candidate numbers one row unfolds into; a longer list is unfolded by many tasks.
 _BLOCK = 10_000
+_GROUP = ["folder", "name", "is_dir"]
 
 
 def free_names(incoming: DataFrame, taken: DataFrame) -> DataFrame:
@@ -19,71 +21,76 @@ def free_names(incoming: DataFrame, taken: DataFrame) -> DataFrame:
     order; `taken` is (folder, name). The first item of a name keeps it if it is
     free. The others become ``stem_1.ext``, ``stem_2.ext``, … in order, leaving out
     numbers that are taken, by present files or by natural names of other items.
-    Folders take the number at the end of the whole name.
+    Folders take the number at the end of the whole name. Both tables are read more
+    than once and should be stored ones.
     """
-    group = ["folder", "name", "is_dir"]
     used = taken.select("folder", "name").distinct()
-    natural = incoming.groupBy(*group).agg(F.count(F.lit(1)).alias("_items"))
-    occupied = natural.join(used.withColumn("_used", F.lit(True)), ["folder", "name"], "left").select(
-        *group, "_items", F.coalesce("_used", F.lit(False)).alias("_used")
+    numbers_taken = _numbers_taken(used.unionByName(incoming.select("folder", "name")).distinct())
+    counts = numbers_taken.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_taken"))
+    natural = incoming.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_items"))
+    occupied = natural.join(used.withColumn("_used", F.lit(True)), ["folder", "name"], "left").withColumn(
+        "_used", F.coalesce("_used", F.lit(False))
     )
     # Only names wanted twice, or present already, need any numbering.
-    crowded = occupied.where("_used or _items > 1")
-    crowded_items = skew_join(incoming.select(*group, "item"), crowded, group, "inner")
-    placed = rank_within(crowded_items, group, [F.col("item")]).withColumn(
-        "_slot", F.col("rank") - F.when(F.col("_used"), 0).otherwise(1)
+    crowded = materialise(
+        occupied.where("_used or _items > 1")
+        .join(counts, _GROUP, "left")
+        .select(*_GROUP, "_items", "_used", F.coalesce("_taken", F.lit(0)).alias("_taken"))
     )
-
-    numbers = _free_numbers(crowded, used, incoming)
-    numbered = placed.join(numbers, [*group, "_slot"], "left")
-    parted = F.when(F.col("is_dir"), F.concat_ws("_", "name", F.col("_number").cast("string"))).otherwise(
-        F.concat(stem(F.col("name")), F.lit("_"), F.col("_number").cast("string"), suffix(F.col("name")))
+    largest = crowded.agg(F.max(F.col("_items") + F.col("_taken"))).first()[0]
+    if largest is None:
+        return incoming.withColumn("new_name", F.col("name"))
+
+    items = skew_join(incoming.select(*_GROUP, "item"), crowded, _GROUP, "inner", right_stored=True)
+    # Slot 0 is the plain name, if it is free.
+    slot = F.col("rank") - F.when(F.col("_used"), 0).otherwise(1)
+    placed = rank_within(items, _GROUP, [F.col("item")], largest=largest).withColumn("_slot", slot)
+    free = _candidates(crowded).join(numbers_taken, [*_GROUP, "_number"], "left_anti")
+    numbers = rank_within(free, _GROUP, [F.col("_number")], "_slot", largest)
+    number = F.col("_number").cast("string")
+    parted = F.when(F.col("is_dir"), F.concat_ws("_", "name", number)).otherwise(
+        F.concat(stem(F.col("name")), F.lit("_"), number, suffix(F.col("name")))
+    )
+    renamed = placed.join(numbers, [*_GROUP, "_slot"], "left").select(
+        "item", F.when(F.col("_slot") == 0, F.col("name")).otherwise(parted).alias("_name")
     )
-    renamed = numbered.select("item", F.when(F.col("_slot") == 0, F.col("name")).otherwise(parted).alias("_name"))
     return incoming.join(renamed, "item", "left").select(
         *incoming.columns, F.coalesce("_name", "name").alias("new_name")
     )
 
 
-def _free_numbers(crowded: DataFrame, used: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Free numbers of each crowded name in order: group, _slot (1, 2, …), _number."""
-    group = ["folder", "name", "is_dir"]
-    blocked = used.unionByName(incoming.select("folder", "name")).distinct()
-    # A present name "<stem>_<n><suffix>" blocks number n of "<stem><suffix>" and, for
-    # folders, of "<name>" when it reads "<name>_<n>".
+def _numbers_taken(names: DataFrame) -> DataFrame:
+    """Numbers that present names block: group, _number.
+
+    ``<stem>_<n><suffix>`` blocks number n of ``<stem><suffix>`` and, where the whole
+    name ends in ``_<n>``, of the folder named like the rest.
+    """
     split = r"(?s)^(.+)_([1-9]\d{0,17})\z"
 
-    def blocks(name, is_dir: bool, ending):
-        return blocked.select(
+    def blocked(numbered, ending, is_dir: bool) -> DataFrame:
+        return names.select(
             "folder",
-            F.concat(F.regexp_extract(name, split, 1), ending).alias("name"),
+            F.concat(F.regexp_extract(numbered, split, 1), ending).alias("name"),
             F.lit(is_dir).alias("is_dir"),
-            F.regexp_extract(name, split, 2).try_cast("long").alias("_number"),
+            F.regexp_extract(numbered, split, 2).try_cast("long").alias("_number"),
         ).where("_number is not null")
 
     name = F.col("name")
-    numbers_taken = (
-        blocks(stem(name), False, suffix(name)).unionByName(blocks(name, True, F.lit(""))).distinct()
-    )
-    # The first `items + taken` numbers always hold enough free ones.
-    counts = numbers_taken.groupBy(*group).agg(F.count(F.lit(1)).alias("_taken"))
-    wanted = crowded.join(counts, group, "left").select(
-        *group,
-        (F.col("_items") - F.when(F.col("_used"), 0).otherwise(1)).alias("_need"),
-        F.coalesce("_taken", F.lit(0)).alias("_taken"),
-    ).where("_need > 0")
-    last = F.col("_need") + F.col("_taken")
-    blocks_of = wanted.select(
-        *group, last.alias("_last"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / _BLOCK))).alias("_block")
-    ).repartition(*group, "_block")
-    candidates = blocks_of.select(
-        *group,
-        F.explode(
-            F.sequence(F.col("_block") * _BLOCK + 1, F.least(F.col("_last"), (F.col("_block") + 1) * _BLOCK))
-        ).alias("_number"),
+    return blocked(stem(name), suffix(name), False).unionByName(blocked(name, F.lit(""), True)).distinct()
+
+
+def _candidates(crowded: DataFrame) -> DataFrame:
+    """Numbers to choose from: the first `items + taken` always hold enough free ones."""
+    last = F.col("_items") + F.col("_taken")
+    blocks = crowded.select(
+        *_GROUP,
+        last.alias("_last"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / _BLOCK))).alias("_block"),
+    ).repartition(*_GROUP, "_block")
+    first = F.col("_block") * _BLOCK + 1
+    return blocks.select(
+        *_GROUP, F.explode(F.sequence(first, F.least(F.col("_last"), first + (_BLOCK - 1)))).alias("_number")
     )
-    free = candidates.join(numbers_taken, [*group, "_number"], "left_anti")
-    return rank_within(free, group, [F.col("_number")], "_slot")
 
 
 def assign_years(
@@ -130,8 +137,10 @@ def reassign_periods(
     base = base_dir.rstrip("/")
     assigned = assign_years(inventory, base, combined, years, strict)
     target = F.concat_ws("/", F.lit(base), "period")
-    assigned = assigned.withColumns({"folder": target, "name": base_name(F.col("root"))}).where(
-        F.concat_ws("/", "folder", "name") != F.col("root")
+    assigned = materialise(
+        assigned.withColumns({"folder": target, "name": base_name(F.col("root"))}).where(
+            F.concat_ws("/", "folder", "name") != F.col("root")
+        )
     )
     roots = assigned.where("path = root").select("folder", "name", "is_dir", F.col("root").alias("item"))
     present = inventory.select(

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialise
+from tidemark.session import fits, materialise
 
 HOT_KEYS = 200
 SALTS = 32
 # A key is salted once it holds this share of the left rows.
 HOT_SHARE = 0.01
+# A group of at most so many rows is sorted by one task.
+GROUP_ROWS = 1_000_000
 
 
 def hot_key_hashes(df: DataFrame, keys, share: float = HOT_SHARE) -> list[int]:
@@ -27,16 +29,21 @@ def hot_key_hashes(df: DataFrame, keys, share: float = HOT_SHARE) -> list[int]:
     return [r["item"] for r in found.select("item").collect()]
 
 
-def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left", hot=None) -> DataFrame:
+def skew_join(
+    left: DataFrame, right: DataFrame, on, how: str = "left", hot=None, right_stored: bool = False
+) -> DataFrame:
     """Equi-join of `left` with `right`, which holds every key at most once.
 
     Left rows of a hot key, and left rows without a key, are dealt to `SALTS` tasks
     by a hash of the row; the one matching right row is repeated for each of them.
-    All other keys are joined as usual, so the right side hardly grows.
+    All other keys are joined as usual, so the right side hardly grows. A right side
+    that is a stored table is counted first, and broadcast if it is small.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
+    if right_stored and fits(right):
+        return left.join(F.broadcast(right), on, how)
     hot = hot_key_hashes(left, on) if hot is None else hot
     if not hot:
         return left.join(right, on, how)
@@ -48,25 +55,30 @@ def skew_join(left: DataFrame, right: DataFrame, on, how: str = "left", hot=None
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def rank_within(df: DataFrame, groups, order: list[Column], name: str = "rank") -> DataFrame:
-    """`row_number()` within `groups` by `order`, without one task per group.
+def rank_within(
+    df: DataFrame, groups, order: list[Column], name: str = "rank", largest: int | None = None
+) -> DataFrame:
+    """`row_number()` within `groups` by `order`, without one task per large group.
 
-    Rows are range-partitioned by group and order, so a large group spans many
-    partitions. Each partition numbers its own rows; a group continued from an
-    earlier partition adds the rows counted there. A partition continues at most one
-    group, so that table is never larger than the number of partitions.
+    If the `largest` group is known to be small, this is a plain window. Otherwise rows
+    are range-partitioned by group and order, so a large group spans many partitions.
+    Each partition numbers its own rows; a group continued from an earlier partition
+    adds the rows counted there. A partition continues at most one group, so that
+    table is never longer than the number of partitions.
     """
     groups = list(groups)
+    if largest is not None and largest <= GROUP_ROWS:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long"))
     cut = df.repartitionByRange(*groups, *order).withColumn("_cut", F.spark_partition_id())
     # The cut points must be the same for the count and for the numbering.
     cut = materialise(cut)
-    local = cut.withColumn(name, F.row_number().over(Window.partitionBy("_cut", *groups).orderBy(*order)).cast("long"))
-    counted = cut.groupBy("_cut", *groups).agg(F.count(F.lit(1)).alias("_rows"))
+    on = ["_cut", *groups]
+    local = cut.withColumn(name, F.row_number().over(Window.partitionBy(*on).orderBy(*order)).cast("long"))
+    counted = cut.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*groups).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
     continued = (
         counted.withColumn("_before", F.sum("_rows").over(before)).where("_before is not null").drop("_rows")
     )
-    on = ["_cut", *groups]
     return (
         local.join(F.broadcast(continued), on, "left")
         .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
