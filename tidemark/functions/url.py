@@ -5,10 +5,16 @@
 
 from __future__ import annotations
 
+import re
+
 from tidemark.functions.text import let, quoted
 
+_NAMES = ("scheme", "authority", "path", "query", "fragment")
 # scheme, //authority, path, ?query, #fragment
-_PARTS = quoted(r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z")
+PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?"
+_PARTS = quoted(PARTS + r"\z")
+_PLAIN_PATH = quoted(r"(?s)\A/(?!/|\.)(?:[^/?#]|/(?!\.))*+\z")
+_MARK = "\uffff"
 _DOT_SEGMENT = quoted(r"(^|/)\.\.?(/|\z)")
 _CONTROLS = quoted("".join(map(chr, range(33))))
 _BREAKS = quoted("\t\r\n")
@@ -42,9 +48,17 @@ def _without_dots(path: str) -> str:
 
 
 def _split(url: str) -> str:
-    names = ("scheme", "authority", "path", "query", "fragment")
-    parts = ", ".join(f"'{n}', regexp_extract(u, {_PARTS}, {i})" for i, n in enumerate(names, 1))
-    return let("u", _tidy(url), f"named_struct('whole', u, {parts})")
+    # One pass of the pattern: the parts, set apart by a character no URL holds.
+    marked = f"regexp_replace(u, {_PARTS}, {quoted(_MARK.join(f'${i}' for i in range(1, 6)))})"
+    parts = ", ".join(f"'{name}', s[{i}]" for i, name in enumerate(_NAMES))
+    return let("u", _tidy(url), let("s", f"split({marked}, {quoted(_MARK)})", f"named_struct('whole', u, {parts})"))
+
+
+def _split_literal(url: str) -> str:
+    """The same of a known address, taken apart here rather than per row."""
+    parts = re.match(PARTS, url).groups("")
+    cells = ", ".join(f"'{name}', {quoted(part)}" for name, part in zip(_NAMES, parts))
+    return f"named_struct('whole', {quoted(url)}, {cells})"
 
 
 def _rooted(path: str) -> str:
@@ -65,8 +79,11 @@ def _suffix(mark: str, value: str) -> str:
     return f"if({value} = '', '', concat('{mark}', {value}))"
 
 
-def resolve_url(base: str, href: str) -> str:
-    """Absolute URL of `href` found on a page whose address is `base`, both SQL."""
+def resolve_url(base: str, href: str, base_is_literal: bool = False) -> str:
+    """Absolute URL of `href` found on a page whose address is `base`.
+
+    Both are SQL, unless `base` is said to be the literal address.
+    """
     tail = _suffix("#", "ref.fragment")
     scheme = "lower(page.scheme)"
     elsewhere = (
@@ -78,9 +95,14 @@ def resolve_url(base: str, href: str) -> str:
         f"concat({scheme}, '://', page.authority, "
         f"if(ref.path = '', page.path, {_merged_path('page.path', 'ref.path')}), {_suffix('?', inherited)}, {tail})"
     )
-    joined = (
+    general = let(
+        "ref",
+        _split("h"),
         f"CASE WHEN ref.whole = '' THEN page.whole "
         f"WHEN ref.scheme <> '' AND lower(ref.scheme) <> {scheme} THEN ref.whole "
-        f"WHEN ref.authority <> '' THEN {elsewhere} ELSE {here} END"
+        f"WHEN ref.authority <> '' THEN {elsewhere} ELSE {here} END",
     )
-    return let("page", _split(base), let("ref", _split(href), joined))
+    # Most references are plain paths from the root, which need no taking apart.
+    joined = f"if(rlike(h, {_PLAIN_PATH}), concat({scheme}, '://', page.authority, h), {general})"
+    address = _split_literal(base) if base_is_literal else _split(base)
+    return let("page", address, let("h", _tidy(href), joined))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, folder_of_archive
@@ -30,19 +30,19 @@ def with_folders(files: DataFrame) -> DataFrame:
     )
 
 
-def _presence(paths: DataFrame) -> DataFrame:
-    """One row per path without ``.zip``: what lies there under which spelling.
+def _spelling(path: Column) -> Column:
+    """Bit of the spelling of a path's ending: none, or one of the eight of ``.zip``."""
+    upper = [F.substring(path, F.length(path) - i, F.lit(1)) == c for i, c in ((2, "Z"), (1, "I"), (0, "P"))]
+    number = sum((F.when(u, 2**i).otherwise(0) for i, u in enumerate(upper)), F.lit(2))
+    return F.when(folder_of_archive(path).isNull(), F.lit(1)).otherwise(F.pow(F.lit(2), number - 1).cast("int"))
 
-    A key gathers the plain path and the few upper and lower case spellings of the
-    ending, so the list stays that short.
-    """
-    key = F.coalesce(folder_of_archive(F.col("path")), F.col("path"))
-    return (
-        paths.groupBy(key.alias("_key"))
-        .agg(
-            F.collect_set("path").alias("_spellings"),
-            F.max((F.col("path") == key) & F.col("is_dir")).alias("_folder"),
-        )
+
+def _presence(paths: DataFrame) -> DataFrame:
+    """One row per path without ``.zip``: which spellings exist, and whether as a folder."""
+    path = F.col("path")
+    key = F.coalesce(folder_of_archive(path), path)
+    return paths.groupBy(key.alias("_key")).agg(
+        F.bit_or(_spelling(path)).alias("_spellings"), F.max((path == key) & F.col("is_dir")).alias("_folder")
     )
 
 
@@ -56,7 +56,7 @@ def reconcile_status(manifest: DataFrame, paths: DataFrame) -> DataFrame:
     folder = folder_of_archive(F.col("saved_path"))
     keyed = manifest.withColumn("_key", blank_to_null(F.coalesce(folder, F.col("saved_path"))))
     joined = skew_join(keyed, _presence(paths), ["_key"], "left")
-    exists = F.coalesce(F.array_contains("_spellings", F.col("saved_path")), F.lit(False))
+    exists = F.coalesce(F.col("_spellings").bitwiseAND(_spelling(F.col("saved_path"))) != 0, F.lit(False))
     unpacked = folder.isNotNull() & F.coalesce("_folder", F.lit(False))
     status = F.when(exists, "kept").when(unpacked, "repaired").otherwise("removed")
     repaired = F.col("status") == "repaired"

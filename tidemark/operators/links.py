@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import html as H
-from tidemark.functions.text import contains_any, ends_with_any, quoted
+from tidemark.functions.text import contains_any, ends_with_any
 from tidemark.functions.url import last_segment, resolve_url, url_path
 
 # What the yearbook pages use.
@@ -83,7 +83,7 @@ def extract_links(
     links = allowed.select(
         *keys,
         "pos",
-        F.expr(resolve_url(quoted(site_root), "href")).alias("url_to"),
+        F.expr(resolve_url(site_root, "href", base_is_literal=True)).alias("url_to"),
         F.expr(last_segment("path")).alias("filename"),
         "title",
         "category",
@@ -117,8 +117,8 @@ def discover_releases(
         "href",
     ).where("year is not null")
     chosen = found.groupBy(*keys, "year").agg(F.max_by("href", "_rank").alias("href"))
-    address = f"`{base}`" if base in keys else quoted(base)
-    return chosen.select(*keys, "year", F.expr(resolve_url(address, "href")).alias("url"))
+    address = resolve_url(f"`{base}`", "href") if base in keys else resolve_url(base, "href", base_is_literal=True)
+    return chosen.select(*keys, "year", F.expr(address).alias("url"))
 
 
 def newest_first(releases: DataFrame) -> DataFrame:

@@ -57,17 +57,15 @@ _SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _RELATION = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
 
-def workbook_bytes(header: list[str], rows: list[list[str]]) -> bytes:
-    """A minimal workbook; every cell is given as the XML of a cell without reference."""
-    lines = ["".join(f'<c t="inlineStr"><is><t>{name}</t></is></c>' for name in header), *map("".join, rows)]
-    sheet = "".join(f'<row r="{i}">{line}</row>' for i, line in enumerate(lines, 1))
+def workbook_bytes(rows: str) -> bytes:
+    """A minimal workbook around the XML of its rows."""
     members = {
         "[Content_Types].xml": _CONTENT_TYPES,
         "xl/workbook.xml": f'<workbook xmlns="{_SHEET}" xmlns:r="{_RELATION}"><sheets><sheet name="a" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
         "xl/styles.xml": f'<styleSheet xmlns="{_SHEET}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>',
         "xl/sharedStrings.xml": f'<sst xmlns="{_SHEET}"><si><t>open</t></si><si><r><t>clo</t></r><r><t>sed</t></r></si></sst>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_SHEET}"><sheetData>{sheet}</sheetData></worksheet>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_SHEET}"><sheetData>{rows}</sheetData></worksheet>',
     }
     stream = io.BytesIO()
     with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as book:
@@ -79,25 +77,32 @@ def workbook_bytes(header: list[str], rows: list[list[str]]) -> bytes:
 def workbooks(spark, sf):
     """A workbook per `ROWS_PER_WORKBOOK` orders; names drift from book to book."""
 
-    def render(orders: pd.DataFrame) -> pd.DataFrame:
-        number = int(orders["number"].iloc[0])
-        orders = orders.sort_values("o_orderkey")
-        header = ["CASE_NO" if number % 2 else "CASE_ID", "STATUS", "RECEIVED", "PRIORITY"][: 3 if number % 3 == 0 else 4]
-        rows = []
-        for key, state, day, priority in zip(orders["o_orderkey"], orders["state"], orders["day"], orders["priority"]):
-            cells = [f"<c><v>{key}</v></c>", f'<c t="s"><v>{state}</v></c>', f'<c s="1"><v>{day}</v></c>']
-            cells.append(f'<c t="str"><v>{priority}</v></c>')
-            rows.append(cells[: len(header)])
-        return pd.DataFrame({"path": [f"/data/b{number}.xlsx"], "content": [workbook_bytes(header, rows)]})
-
-    orders = table(spark, sf, "orders").selectExpr(
-        f"floor(o_orderkey / {ROWS_PER_WORKBOOK}) AS number",
-        "o_orderkey",
-        "if(o_orderstatus = 'O', 0, 1) AS state",
-        "datediff(o_orderdate, date'1899-12-30') AS day",
-        "if(o_orderkey % 11 = 0, 'N/A', o_orderpriority) AS priority",
+    def zipped(batches):
+        for books in batches:
+            yield pd.DataFrame({"path": books["path"], "content": books["rows"].map(workbook_bytes)})
+
+    last = "if(number % 3 = 0, '', {})"
+    row = (
+        "concat('<row><c><v>', o_orderkey, '</v></c><c t=\"s\"><v>', if(o_orderstatus = 'O', 0, 1), '</v></c><c s=\"1\"><v>', "
+        "datediff(o_orderdate, date'1899-12-30'), '</v></c>', "
+        + last.format("concat('<c t=\"str\"><v>', if(o_orderkey % 11 = 0, 'N/A', o_orderpriority), '</v></c>')")
+        + ", '</row>')"
+    )
+    name = "concat('<c t=\"inlineStr\"><is><t>', n, '</t></is></c>')"
+    names = "array(if(number % 2 = 1, 'CASE_NO', 'CASE_ID'), 'STATUS', 'RECEIVED', 'PRIORITY')"
+    header = f"array_join(transform(slice({names}, 1, if(number % 3 = 0, 3, 4)), n -> {name}), '')"
+    books = (
+        table(spark, sf, "orders")
+        .withColumn("number", F.expr(f"floor(o_orderkey / {ROWS_PER_WORKBOOK})"))
+        .selectExpr("number", f"struct(o_orderkey, {row} AS xml) AS line")
+        .groupBy("number")
+        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    )
+    rendered = books.selectExpr(
+        "concat('/data/b', number, '.xlsx') AS path",
+        f"concat('<row>', {header}, '</row>', array_join(transform(lines, l -> l.xml), '')) AS rows",
     )
-    return orders.groupBy("number").applyInPandas(render, "path STRING, content BINARY")
+    return rendered.mapInPandas(zipped, "path STRING, content BINARY")
 
 
 def workbook_ingest(spark, sf):

@@ -185,18 +185,19 @@ def ledger_store(spark, sf):
 
 # --- a whole run -----------------------------------------------------------------
 
-_PAGE_URL = "concat('{0}/topics/yearbook/', 1000 + page_id % 9000)".format(SITE)
-_PAGES_PER_INDEX = 90
+# Release pages share a few years; an index page names every year once.
+_YEARS = 20
+_PAGE_URL = f"concat('{SITE}/topics/', page_id, '/yearbook/', 1900 + page_id % {_YEARS})"
 
 
 def crawl(spark, sf):
-    """Index pages, each naming `_PAGES_PER_INDEX` releases, and the release pages."""
+    """Index pages, each naming a release of every year, and the release pages."""
     pages = release_pages(spark, sf).selectExpr("page_id", f"{_PAGE_URL} AS url", "html")
     index = (
         table(spark, sf, "part")
         .select(F.floor(F.col("p_partkey") / ROWS_PER_PAGE).alias("page_id"))
         .distinct()
-        .selectExpr(f"cast(floor(page_id / {_PAGES_PER_INDEX}) AS BIGINT) AS index_id", f"{_PAGE_URL} AS url")
+        .selectExpr(f"cast(floor(page_id / {_YEARS}) AS BIGINT) AS index_id", f"{_PAGE_URL} AS url")
         .groupBy("index_id")
         .agg(F.array_join(F.collect_set(F.concat(F.lit('<a href="'), "url", F.lit('">open</a>'))), " ").alias("html"))
         .withColumnRenamed("index_id", "page_id")
@@ -317,7 +318,7 @@ _REPOINT = f"""WITH {_LEDGER}
             ON l.period = 'click' AND l.url = 'https://files.example.org/u' || c_custkey || '.json') l"""
 _CRAWLED = """
     found AS (
-        SELECT CAST(1000 + (p_partkey // 100) % 9000 AS VARCHAR) AS period, p_partkey,
+        SELECT CAST(1900 + (p_partkey // 100) % 20 AS VARCHAR) AS period, p_partkey,
                'https://stats.example.org/files/' || p_partkey
                    || (['.pdf', '.xlsx', '.xls', '.ZIP', '.html', '.pdf?x=1&y=2'])[p_partkey % 6 + 1] AS url,
                p_partkey || (['.pdf', '.xlsx', '.xls', '.zip', '.html', '.pdf'])[p_partkey % 6 + 1] AS filename
