@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import quoted
+
 
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(F.rtrim(path, F.lit("/")), "/"), -1)
@@ -46,8 +48,8 @@ def folder_of_archive(path: Column) -> Column:
 COMBINED_YEARS = (1996, 1997, 1998, 1999)
 
 
-def year_in_name(name: Column, years=COMBINED_YEARS, strict: bool = False) -> Column:
-    """Year a file or folder name speaks of, four digits before two.
+def year_in_name(name: str, years=COMBINED_YEARS, strict: bool = False) -> str:
+    """Year a file or folder name speaks of, four digits before two; takes and gives SQL.
 
     With ``strict`` a year counts only where a word ends (``x-96.pdf``); otherwise
     it counts wherever no further digit touches it (``yb96_0.pdf`` too).
@@ -58,8 +60,8 @@ def year_in_name(name: Column, years=COMBINED_YEARS, strict: bool = False) -> Co
         raise ValueError("the years of a combined release lie in one century")
     first = century.pop()
     if strict:
-        long, short = rf"{first}({ends})\b", rf"\b({ends})\b"
+        patterns = (rf"{first}({ends})\b", rf"\b({ends})\b")
     else:
-        long, short = rf"(?<!\d){first}({ends})(?!\d)", rf"(?<!\d)({ends})(?!\d)"
-    found = [F.nullif(F.regexp_extract(name, p, 1), F.lit("")) for p in (long, short)]
-    return F.coalesce(*found).cast("int") + F.lit(first * 100)
+        patterns = (rf"(?<!\d){first}({ends})(?!\d)", rf"(?<!\d)({ends})(?!\d)")
+    found = ", ".join(f"nullif(regexp_extract({name}, {quoted(p)}, 1), '')" for p in patterns)
+    return f"{first * 100} + cast(coalesce({found}) AS INT)"

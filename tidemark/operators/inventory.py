@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, folder_of_archive
-from tidemark.functions.text import blank_to_null
+from tidemark.functions.text import blank_to_null, let
 from tidemark.operators.skew import skew_join
 
 
@@ -17,16 +17,20 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_folders(files: DataFrame) -> DataFrame:
-    """Paths of `files` and of every folder above them: path, is_dir, each once."""
-    parts = F.split("path", "/")
-    # Cut after segment 1, 2, … n-1: the folders; a leading slash gives an empty first one.
-    folders = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-        lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"),
+    """Paths of `files`, and once each the folders above them: path, is_dir.
+
+    Files of one folder are brought together before the folders above it are named.
+    """
+    parents = files.select(F.regexp_extract("path", r"(?s)^(.*)/", 1).alias("path")).distinct()
+    # The folder itself and, cut after segment n-1, n-2, …, 1, those above it.
+    above = let(
+        "parts",
+        "split(path, '/')",
+        "transform(sequence(1, size(parts)), n -> array_join(slice(parts, 1, n), '/'))",
     )
-    above = files.select(F.explode(F.when(F.size(parts) > 1, folders)).alias("path")).where("path <> ''")
-    return above.distinct().withColumn("is_dir", F.lit(True)).unionByName(
-        files.select("path").distinct().withColumn("is_dir", F.lit(False))
+    folders = parents.select(F.explode(F.expr(above)).alias("path")).where("path <> ''").distinct()
+    return folders.withColumn("is_dir", F.lit(True)).unionByName(
+        files.select("path").withColumn("is_dir", F.lit(False))
     )
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import COMBINED_YEARS, base_name, stem, suffix, year_in_name
+from tidemark.functions.text import let, quoted
 from tidemark.operators.skew import rank_within, skew_join
 from tidemark.session import materialise
 
@@ -105,24 +108,21 @@ def assign_years(
     """
     home = f"{base_dir.rstrip('/')}/{combined}/"
     below = inventory.where(F.startswith(F.col("path"), F.lit(home)))
-    parts = F.split(F.substring(F.col("path"), F.lit(len(home) + 1), F.length("path")), "/")
-    split = below.select("path", "is_dir", parts.alias("_parts"))
-    names = F.col("_parts")
-    folders = F.when(F.col("is_dir"), names).otherwise(F.slice(names, F.lit(1), F.size(names) - 1))
-    dated = F.filter(
-        F.transform(folders, lambda n, i: F.struct((i + 1).alias("depth"), year_in_name(n, years, strict).alias("year"))),
-        lambda f: f["year"].isNotNull(),
+    year = year_in_name("n", years, strict)
+    folders = "if(is_dir, names, slice(names, 1, size(names) - 1))"
+    dated = f"filter(transform({folders}, (n, i) -> named_struct('depth', i + 1, 'year', {year})), f -> f.year IS NOT NULL)"
+    own = f"filter(transform(slice(names, -1, 1), n -> named_struct('depth', size(names), 'year', {year})), f -> f.year IS NOT NULL)"
+    move = (
+        f"named_struct('root', concat({quoted(home)}, array_join(slice(names, 1, f.depth), '/')), "
+        "'inner', array_join(slice(names, f.depth + 1, size(names)), '/'), 'period', cast(f.year AS STRING))"
     )
-    own = F.when(~F.col("is_dir"), F.struct(F.size(names).alias("depth"), year_in_name(F.element_at(names, -1), years, strict).alias("year")))
-    chosen = split.withColumn("_move", F.coalesce(F.get(dated, F.lit(0)), own)).where("_move.year is not null")
-    depth = F.col("_move.depth")
-    return chosen.select(
-        "path",
-        "is_dir",
-        F.concat(F.lit(home), F.array_join(F.slice(names, F.lit(1), depth), "/")).alias("root"),
-        F.array_join(F.slice(names, depth + 1, F.greatest(F.size(names) - depth, F.lit(0))), "/").alias("inner"),
-        F.col("_move.year").cast("string").alias("period"),
+    # At most one move per item, unfolded so that the names are looked at once.
+    moves = let(
+        "names",
+        f"split(substring(path, {len(home) + 1}), '/')",
+        let("d", dated, f"transform(if(size(d) > 0 OR is_dir, slice(d, 1, 1), {own}), f -> {move})"),
     )
+    return below.select("path", "is_dir", F.explode(F.expr(moves)).alias("_move")).select("path", "is_dir", "_move.*")
 
 
 def reassign_periods(
@@ -143,9 +143,13 @@ def reassign_periods(
         )
     )
     roots = assigned.where("path = root").select("folder", "name", "is_dir", F.col("root").alias("item"))
-    present = inventory.select(
-        F.regexp_extract("path", r"(?s)^(.*)/[^/]*\z", 1).alias("folder"), base_name(F.col("path")).alias("name")
-    ).where(F.col("folder").isin([f"{base}/{y}" for y in years]))
+    homes = "|".join(str(y) for y in years)
+    in_home = F.col("path").rlike(rf"(?s)\A{re.escape(base)}/(?:{homes})/[^/]+\z")
+    present = materialise(
+        inventory.where(in_home).select(
+            F.regexp_extract("path", r"(?s)^(.*)/", 1).alias("folder"), base_name(F.col("path")).alias("name")
+        )
+    )
     named = free_names(roots, present).select(F.col("item").alias("root"), "new_name")
     moved = skew_join(assigned, named, ["root"], "inner")
     return moved.select(

@@ -62,7 +62,7 @@ def combined_release(spark, sf):
         "o_orderkey", "date_format(o_orderdate, 'yy') AS yy", "date_format(o_orderdate, 'yyyy') AS yyyy"
     )
     files = dated.selectExpr(f"concat('/data/1996/', CASE o_orderkey % 6 {chosen} END) AS path")
-    taken = dated.where("o_orderkey % 12 = 1").selectExpr(f"concat('/data/', yyyy, '/', {names[1]}) AS path")
+    taken = dated.where("o_orderkey % 12 = 1 AND yyyy <> '1996'").selectExpr(f"concat('/data/', yyyy, '/', {names[1]}) AS path")
     return with_folders(files.unionByName(taken))
 
 
@@ -158,7 +158,6 @@ ORACLE = {
     "reassign_periods_strict": f"""WITH {_COMBINED} {_MOVED.format(which="k % 6 IN (1, 2, 4)")}""",
     "reassigned_ledger": f"""WITH {_COMBINED}, moved AS ({_MOVED.format(which="k % 6 <> 5")}),
         paths AS (SELECT f.name, coalesce(m.new_path, f.old_path) AS saved_path FROM files f LEFT JOIN moved m USING (old_path))
-        -- names that were taken in /data/1996 itself belong to the combined release as well
         SELECT 'https://files.example.org/' || name AS url, saved_path, split_part(saved_path, '/', -1) AS filename FROM paths""",
     "collision_names": """
         WITH incoming AS (
