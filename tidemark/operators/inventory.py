@@ -2,18 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
+from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, folder_of_archive
 from tidemark.functions.text import blank_to_null, let
 from tidemark.operators.skew import skew_join
+from tidemark.session import materialise
+
 
+def list_paths(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything below `folder`, level by level: path, is_dir, length.
+
+    The unit of work is a folder. Unlike a file source's listing this one holds empty
+    files, empty folders and names Spark takes for hidden.
+    """
 
-def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Files below `folder`: path, length. The content column is not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return files.select(F.regexp_replace("path", r"^[a-z]+:(?://)?(?=/)", "").alias("path"), "length")
+    def entries(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                system, inner = FileSystem.from_uri(path)
+                prefix = path[: len(path) - len(inner)]
+                found = system.get_file_info(FileSelector(inner))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "path": [prefix + f.path for f in found],
+                        "is_dir": [f.type == FileType.Directory for f in found],
+                        "length": [None if f.type == FileType.Directory else f.size for f in found],
+                    },
+                    schema=pa.schema([("path", pa.string()), ("is_dir", pa.bool_()), ("length", pa.int64())]),
+                )
+
+    level, levels = spark.createDataFrame([(folder.rstrip("/"),)], "path STRING"), []
+    while not levels or not level.isEmpty():
+        below = level.repartition("path").mapInArrow(entries, "path STRING, is_dir BOOLEAN, length BIGINT")
+        levels.append(materialise(below))
+        level = levels[-1].where("is_dir").select("path")
+    return reduce(DataFrame.unionByName, levels)
 
 
 def with_folders(files: DataFrame) -> DataFrame:

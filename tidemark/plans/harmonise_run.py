@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.audit import audit_columns, headers_of, mapping_for, pick_release_files, unmapped_report
 from tidemark.operators.harmonise import IGNORED_COLUMNS, REJECTED, YEAR, harmonise
-from tidemark.operators.inventory import list_files
+from tidemark.operators.inventory import list_paths
 from tidemark.sources.tables import read_mapping, read_release, release_schema, write_harmonised, write_unmapped_report
 
 
@@ -27,7 +27,7 @@ class HarmoniseReport:
 
 def release_files(spark: SparkSession, folder: str, releases=None) -> dict[int, str]:
     """Main file of each release folder ``<folder>/<year>``; the list is one entry per year."""
-    files = list_files(spark, folder)
+    files = list_paths(spark, folder).where("NOT is_dir")
     year = F.regexp_extract("path", r"/(\d{4})/[^/]*\z", 1).try_cast("int")
     listing = files.select(
         year.alias("release"), F.regexp_extract("path", r"[^/]*\z", 0).alias("file_name")
