@@ -33,3 +33,22 @@ def test_precedence_of_release_links(spark):
     assert list(map(tuple, got)) == [
         (2004, f"{SITE}/b/yearbook/2004-2005/"), (2006, f"{SITE}/t/2"), (2021, f"{SITE}/yearbook/2021"),
     ]
+
+
+def test_a_long_list_of_releases_is_joined_to_the_links(spark, monkeypatch):
+    from tidemark.plans import ledger_run
+
+    index = spark.createDataFrame(
+        [(0, f"{SITE}/i", '<a href="/r/yearbook/2001">a</a><a href="/t">Yearbook 2002</a>')], "page_id INT, url STRING, html STRING"
+    )
+    body = '<a href="/x.pdf">x</a><a href="/x.pdf">later</a>'
+    crawled = spark.createDataFrame(
+        [(1, f"{SITE}/r/yearbook/2001", body), (2, f"{SITE}/t", body + '<a href="/y.zip">y</a>'), (3, f"{SITE}/no", body)],
+        "page_id INT, url STRING, html STRING",
+    )
+    short = ledger_run.links_of_crawl(index, crawled, f"{SITE}/i", SITE).select("period", "url", "title").collect()
+    monkeypatch.setattr(ledger_run, "fits", lambda df: False)
+    long = ledger_run.links_of_crawl(index, crawled, f"{SITE}/i", SITE).select("period", "url", "title").collect()
+    assert sorted(map(tuple, short)) == sorted(map(tuple, long)) == [
+        ("2001", f"{SITE}/x.pdf", "x"), ("2002", f"{SITE}/x.pdf", "x"), ("2002", f"{SITE}/y.zip", "y"),
+    ]

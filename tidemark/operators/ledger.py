@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, stored_name, versioned_name
 from tidemark.functions.text import blank_to_null, strip, to_long
-from tidemark.operators.skew import skew_join
+from tidemark.operators.skew import hot_key_hashes, skew_join
 from tidemark.session import BROADCAST_ROWS, fits
 from tidemark.sources.schemas import KEY
 
@@ -228,8 +228,10 @@ def register_existing(
     (path, sha256, bytes). A key the ledger knows is left alone.
     """
     known = manifest.select(*KEY).distinct()
-    unknown = links.join(known, KEY, "left_anti").withColumn("path", expected_path(base_dir))
-    found = skew_join(unknown, _digests(files), ["path"], "inner")
+    probed = links.withColumn("path", expected_path(base_dir))
+    unknown = probed.join(known, KEY, "left_anti")
+    # Looked for among all links, so that the anti-join runs once.
+    found = skew_join(unknown, _digests(files), ["path"], "inner", hot=hot_key_hashes(probed, ["path"]))
     return found.select(
         F.lit(source_id).alias("source_id"),
         *KEY,

@@ -64,7 +64,7 @@ def first_per_url(links: DataFrame, keys) -> DataFrame:
     )
 
 
-def extract_links(
+def allowed_links(
     pages: DataFrame,
     site_root: str,
     keys=("page_id",),
@@ -72,15 +72,10 @@ def extract_links(
     excluded=EXCLUDED_KEYWORDS,
     category_header: str = CATEGORY_HEADER,
 ) -> DataFrame:
-    """File links of all pages: `keys`, url, filename, title, category, pos.
-
-    A link is filtered before duplicates fall away, so an excluded first mention of
-    a URL does not hide a later allowed one.
-    """
-    keys = list(keys)
+    """Every mention of a file on a page, by extension and keywords. Narrow."""
     anchors = page_anchors(pages, keys, category_header=category_header)
     allowed = without_keywords(with_extension(anchors, extensions), excluded)
-    links = allowed.select(
+    return allowed.select(
         *keys,
         "pos",
         F.expr(resolve_url(site_root, "href", base_is_literal=True)).alias("url_to"),
@@ -88,7 +83,16 @@ def extract_links(
         "title",
         "category",
     )
-    return first_per_url(links, keys).withColumnRenamed("url_to", "url")
+
+
+def extract_links(pages: DataFrame, site_root: str, keys=("page_id",), **options) -> DataFrame:
+    """File links of all pages, each URL once per `keys`: url, filename, title, category, pos.
+
+    A link is filtered before duplicates fall away, so an excluded first mention of
+    a URL does not hide a later allowed one. Options as for `allowed_links`.
+    """
+    keys = list(keys)
+    return first_per_url(allowed_links(pages, site_root, keys, **options), keys).withColumnRenamed("url_to", "url")
 
 
 def discover_releases(

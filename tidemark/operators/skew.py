@@ -32,10 +32,10 @@ def hot_key_hashes(df: DataFrame, keys, share: float = HOT_SHARE) -> list[int]:
 def skew_join(
     left: DataFrame, right: DataFrame, on, how: str = "left", hot=None, right_stored: bool = False
 ) -> DataFrame:
-    """Equi-join of `left` with `right`, which holds every key at most once.
+    """Equi-join of `left` with `right`, which holds a key once or a few times.
 
     Left rows of a hot key, and left rows without a key, are dealt to `SALTS` tasks
-    by a hash of the row; the one matching right row is repeated for each of them.
+    by a hash of the row; the matching right rows are repeated for each of them.
     All other keys are joined as usual, so the right side hardly grows. A right side
     that is a stored table is counted first, and broadcast if it is small.
     """

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.inventory import reconcile_status
 from tidemark.operators.ledger import SAFE, apply_changes, new_rows, plan_changes, repoint, run_summary
-from tidemark.operators.links import EXCLUDED_KEYWORDS, FILE_EXTENSIONS, discover_releases, extract_links
+from tidemark.operators.links import allowed_links, discover_releases, extract_links, first_per_url
 from tidemark.operators.reassign import moves_for_ledger, reassign_periods
-from tidemark.session import materialise
+from tidemark.operators.skew import skew_join
+from tidemark.session import fits, materialise
 from tidemark.sources.ledger_store import LedgerStore
 
 
@@ -24,21 +25,22 @@ class LedgerRun:
 
 
 def links_of_crawl(
-    index_pages: DataFrame,
-    release_pages: DataFrame,
-    index_url,
-    site_root: str,
-    extensions=FILE_EXTENSIONS,
-    excluded=EXCLUDED_KEYWORDS,
+    index_pages: DataFrame, release_pages: DataFrame, index_url: str, site_root: str, **options
 ) -> DataFrame:
     """Links of every release the index pages name: period, url, filename, title, …
 
-    Both inputs are (page_id, url, html). All release pages are read in one job.
+    Both inputs are (page_id, url, html); all release pages are read in one job, and
+    their HTML is never shuffled: a short list of releases is broadcast to the pages,
+    a long one is joined to the links found. Options as for `allowed_links`.
     """
     releases = discover_releases(index_pages, index_url)
-    named = releases.select(F.col("year").cast("string").alias("period"), "url").distinct()
-    pages = release_pages.select("url", "html").join(named, "url").select("period", "html")
-    return extract_links(pages, site_root, ["period"], extensions, excluded)
+    named = materialise(releases.select(F.col("year").cast("string").alias("period"), F.col("url").alias("page_url")).distinct())
+    pages = release_pages.select(F.col("url").alias("page_url"), "html")
+    if fits(named):
+        of_release = pages.join(F.broadcast(named), "page_url").select("period", "html")
+        return extract_links(of_release, site_root, ["period"], **options)
+    found = skew_join(allowed_links(pages, site_root, ["page_url"], **options), named, ["page_url"], "inner")
+    return first_per_url(found.drop("page_url"), ["period"]).withColumnRenamed("url_to", "url")
 
 
 def clean_ledger(store: LedgerStore, paths: DataFrame) -> DataFrame:

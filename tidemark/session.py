@@ -24,7 +24,8 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    # One folder per application, so that it can be removed as a whole afterwards.
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, stem
+from tidemark.operators.skew import skew_join
 
 _MEMBERS = "archive STRING, member STRING, size BIGINT, sha256 STRING, content BINARY, error STRING"
 _ARROW = pa.schema(
@@ -105,6 +106,6 @@ def moves_of_archives(manifest: DataFrame, members: DataFrame) -> DataFrame:
         .where("_failures = 0")
         .select(F.col("archive").alias("saved_path"), F.col("folder").alias("new_path"))
     )
-    return manifest.select("period", "url", "saved_path").join(unpacked, "saved_path").select(
+    return skew_join(manifest.select("period", "url", "saved_path"), unpacked, ["saved_path"], "inner").select(
         "period", "url", "new_path"
     )
