@@ -6,6 +6,7 @@ from tests.plans import physical
 from tidemark import expand_archives, harmonise, read_workbooks
 from tidemark.operators.ledger import repoint
 from tidemark.sources.archives import moves_of_archives, read_archives
+from tidemark.sources.binary import read_binary
 from tidemark.sources.schemas import LONG, TEXT, table
 from tidemark.sources.tables import read_release, release_schema, stored_megabytes, write_harmonised, write_unmapped_report
 from tidemark.sources.workbooks import decode_workbooks, workbook_headers
@@ -66,6 +67,15 @@ def test_archives(spark, tmp_path):
     assert {r["url"]: r["filename"] for r in followed.collect()} == {"u": "x.tables", "v": "bad.ZIP"}
 
 
+def test_files_too_long_for_a_row(spark, tmp_path):
+    for name, size in (("a.zip", 5), ("b.ZIP", 50), ("c.txt", 1)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    files = read_binary(spark, str(tmp_path), ".zip", max_length=10)
+    assert sorted((r["path"][-5:], r["content"] is None) for r in files.collect()) == [("a.zip", False), ("b.ZIP", True)]
+    assert {r["error"] for r in expand_archives(files).collect()} == {"not a valid archive", "too large"}
+    assert "content" not in physical(files.select("path")).split("ReadSchema")[1]
+
+
 def test_sinks(spark, tmp_path):
     rows = harmonise(
         {y: spark.createDataFrame([(y, "n")], "ID BIGINT, NAME STRING") for y in (2020, 2021)},

@@ -6,8 +6,8 @@ and parsed once by Spark, since a Python call per node costs seconds per query.
 
 from __future__ import annotations
 
+import re
 import sys
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -46,11 +46,16 @@ def to_long(text: Column) -> Column:
     return strip(text.cast("string")).try_cast("bigint")
 
 
+def _any_of(text: Column, pattern: str, terms) -> Column:
+    """One pattern for all terms, so that `text` is computed once."""
+    terms = [re.escape(t) for t in terms]
+    return text.rlike(pattern.format("|".join(terms))) if terms else F.lit(False)
+
+
 def contains_any(text: Column, terms) -> Column:
     """Whether any of `terms` occurs in `text`, ignoring case."""
-    low = F.lower(text)
-    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(t.lower())) for t in terms], F.lit(False))
+    return _any_of(F.lower(text), "(?:{})", [t.lower() for t in terms])
 
 
 def ends_with_any(text: Column, endings) -> Column:
-    return reduce(lambda a, b: a | b, [F.endswith(text, F.lit(e)) for e in endings], F.lit(False))
+    return _any_of(text, "(?:{})\\z", endings)

@@ -71,10 +71,10 @@ def plan_changes(
     mode = mode.lower().strip()
     if mode not in (SAFE, FAST):
         raise ValueError(f"mode is {SAFE!r} or {FAST!r}")
-    prev = latest_manifest(manifest, links if links_stored else None).select(
-        *KEY,
-        F.lit(True).alias("_seen"),
-        *[F.col(c).alias(f"prev_{c}") for c in ("bytes", "sha256", "etag", "last_modified", "version")],
+    compared = ("bytes", "sha256", "etag", "last_modified", "version")
+    rows = manifest.select(*KEY, *compared, "seq")
+    prev = latest_manifest(rows, links if links_stored else None).select(
+        *KEY, F.lit(True).alias("_seen"), *[F.col(c).alias(f"prev_{c}") for c in compared]
     )
     seen_now = latest_observation(observations)
     obs = seen_now.select(*KEY, *[F.col(c).alias(f"obs_{c}") for c in seen_now.columns if c not in KEY])

@@ -1,7 +1,7 @@
 """Archives as rows of bytes, unpacked to one row per member.
 
-The unit of work is an archive. Members are handed on one by one, so that a task
-holds one archive and one unpacked member at a time.
+The unit of work is an archive. A task holds one batch of archives and a bounded
+number of bytes of unpacked members at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, stem
 from tidemark.operators.skew import skew_join
+from tidemark.sources.binary import read_binary
 
 _MEMBERS = "archive STRING, member STRING, size BIGINT, sha256 STRING, content BINARY, error STRING"
 _ARROW = pa.schema(
@@ -31,14 +32,20 @@ _ARROW = pa.schema(
 )
 
 
+# Members handed on together, by number and by bytes.
+_ROWS, _BYTES = 1000, 32 * 2**20
+
+
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives below `folder`: path, content."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.load(folder).where(F.lower("path").endswith(".zip")).select("path", "content")
+    """Archives at or below `folder`: path, content."""
+    return read_binary(spark, folder, ".zip")
 
 
-def _members(path: str, content: bytes, keep_content: bool) -> Iterator[dict]:
+def _members(path: str, content: bytes | None, keep_content: bool) -> Iterator[dict]:
     nothing = {"archive": path, "member": None, "size": None, "sha256": None, "content": None}
+    if content is None:
+        yield {**nothing, "error": "too large"}
+        return
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for info in archive.infolist():
@@ -68,10 +75,16 @@ def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFram
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
                 for row in _members(path.as_py(), content.as_py(), keep_content):
-                    yield pa.RecordBatch.from_pylist([row], schema=_ARROW)
+                    held.append(row)
+                    size += len(row["content"] or b"")
+                    if len(held) >= _ROWS or size >= _BYTES:
+                        yield pa.RecordBatch.from_pylist(held, schema=_ARROW)
+                        held, size = [], 0
+        yield pa.RecordBatch.from_pylist(held, schema=_ARROW)
 
     members = archives.select("path", "content").mapInArrow(unpack, _MEMBERS)
     name = base_name(F.col("archive"))

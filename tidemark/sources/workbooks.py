@@ -15,9 +15,10 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.binary import read_binary
+
 # Built-in number formats that show a date or time.
 _DATE_FORMATS = frozenset([*range(14, 23), *range(45, 48)])
 # Cell texts that stand for a missing value.
@@ -120,11 +121,6 @@ def _cell_text(cell, shared: list[str], dates: set[int], from_1904: bool) -> str
     return None if kind == "e" else value
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return reader.load(path).where(F.lower("path").endswith(".xlsx")).select("path", "content")
-
-
 def workbook_headers(files: DataFrame) -> DataFrame:
     """Header of every workbook in `files` (path, content): path, pos, column_name."""
 
@@ -147,7 +143,7 @@ def workbook_headers(files: DataFrame) -> DataFrame:
 
 def workbook_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names of one workbook, in order."""
-    return [r["column_name"] for r in workbook_headers(_files(spark, path)).orderBy("pos").collect()]
+    return [r["column_name"] for r in workbook_headers(read_binary(spark, path, ".xlsx")).orderBy("pos").collect()]
 
 
 def decode_workbooks(files: DataFrame, columns, missing=MISSING, rows_per_batch: int = 4096) -> DataFrame:
@@ -207,4 +203,4 @@ def decode_workbooks(files: DataFrame, columns, missing=MISSING, rows_per_batch:
 
 def read_workbooks(spark: SparkSession, path: str, columns, missing=MISSING) -> DataFrame:
     """Rows of the workbooks at or below `path`, see `decode_workbooks`."""
-    return decode_workbooks(_files(spark, path), columns, missing)
+    return decode_workbooks(read_binary(spark, path, ".xlsx"), columns, missing)
