@@ -160,6 +160,11 @@ def test_text_manifest_file(spark, tmp_path):
     assert (first["url"], first["bytes"], first["version"], first["etag"], first["problem"]) == ("https://h/a,b.pdf", 12, 1, None, None)
     assert (second["version"], second["problem"], second["saved_path"]) == (None, "version", None)
     assert text_manifest(typed).orderBy("period").first()["downloaded_at"] == "2024-01-02T03:04:05Z"
+    elsewhere = spark.newSession()
+    elsewhere.conf.set("spark.sql.session.timeZone", "America/New_York")
+    typed = typed_manifest(read_text_manifest(elsewhere, str(path)))
+    assert typed.select(F.unix_timestamp("downloaded_at")).collect()[0][0] == 1704164645
+    assert text_manifest(typed).orderBy("period").first()["downloaded_at"] == "2024-01-02T03:04:05Z"
 
 
 def test_store_replays_and_rewrites(spark, tmp_path):

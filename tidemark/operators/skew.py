@@ -10,7 +10,10 @@ from tidemark.session import fits, materialise
 HOT_KEYS = 200
 SALTS = 32
 # A key is salted once it holds this share of the left rows.
-HOT_SHARE = 0.01
+HOT_SHARE = 0.005
+# The sketch's error is a small part of that share.
+_SKETCH_SIZE = 4096
+_SKETCH_GROUPS = 256
 # A group of at most so many rows is sorted by one task.
 GROUP_ROWS = 1_000_000
 
@@ -18,14 +21,17 @@ GROUP_ROWS = 1_000_000
 def hot_key_hashes(df: DataFrame, keys, share: float = HOT_SHARE) -> list[int]:
     """Hashes of the keys that hold at least `share` of the rows; `HOT_KEYS` at most.
 
-    One pass over the key columns with a mergeable sketch: nothing is shuffled but
-    sketches, and the driver receives no more than `HOT_KEYS` numbers. The answer
-    only steers salting, it never decides which rows a result holds.
+    One pass over the key columns with a mergeable sketch, merged in two steps: nothing
+    is shuffled but sketches, and the driver receives no more than `HOT_KEYS` numbers.
+    The answer only steers salting, it never decides which rows a result holds.
     """
-    key = F.xxhash64(*keys)
-    sketch = F.call_function("approx_top_k", key, F.lit(HOT_KEYS), F.lit(100 * HOT_KEYS))
-    top = df.agg(sketch.alias("top"), F.count(F.lit(1)).alias("n"))
-    found = top.select("n", F.inline("top")).where(F.col("count") >= F.greatest(F.lit(2), F.col("n") * share))
+    hashed = df.select(F.xxhash64(*keys).alias("key"), (F.spark_partition_id() % _SKETCH_GROUPS).alias("part"))
+    parts = hashed.groupBy("part").agg(
+        F.expr(f"approx_top_k_accumulate(key, {_SKETCH_SIZE})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    whole = parts.agg(F.expr(f"approx_top_k_combine(sketch, {_SKETCH_SIZE})").alias("sketch"), F.sum("n").alias("n"))
+    top = whole.select("n", F.expr(f"inline(approx_top_k_estimate(sketch, {HOT_KEYS}))"))
+    found = top.where(F.col("count") >= F.greatest(F.lit(2), F.col("n") * share))
     return [r["item"] for r in found.select("item").collect()]
 
 

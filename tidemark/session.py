@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,11 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder below the cluster's shared checkpoint folder.
 
@@ -22,8 +28,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     # One folder per application, so that it can be removed as a whole afterwards.
     return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
 

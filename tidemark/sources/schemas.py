@@ -53,7 +53,9 @@ OBSERVATION = table(
 )
 
 KEY = ["period", "url"]
-TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+# Times are written in UTC, whatever the session's time zone.
+_TIME_IN = "yyyy-MM-dd'T'HH:mm:ssX"
+_TIME_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def typed_manifest(rows: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def typed_manifest(rows: DataFrame) -> DataFrame:
         size.alias("bytes"),
         *[blank_to_null(F.col(c)).alias(c) for c in text[2:]],
         version.alias("version"),
-        F.try_to_timestamp("downloaded_at", F.lit(TIMESTAMP_TEXT)).alias("downloaded_at"),
+        F.try_to_timestamp("downloaded_at", F.lit(_TIME_IN)).alias("downloaded_at"),
         F.col("seq"),
         problem.alias("problem"),
     )
@@ -85,7 +87,8 @@ def typed_manifest(rows: DataFrame) -> DataFrame:
 
 def text_manifest(rows: DataFrame) -> DataFrame:
     """Ledger rows as a text manifest, missing values blank."""
-    cells = {"downloaded_at": F.date_format("downloaded_at", TIMESTAMP_TEXT)}
+    utc = F.to_utc_timestamp("downloaded_at", F.current_timezone())
+    cells = {"downloaded_at": F.date_format(utc, _TIME_OUT)}
     return rows.select(
         *[F.coalesce(cells.get(c, F.col(c)).cast("string"), F.lit("")).alias(c) for c in MANIFEST_TEXT.names]
     )

@@ -15,6 +15,7 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.sources.binary import read_binary
@@ -142,8 +143,10 @@ def workbook_headers(files: DataFrame) -> DataFrame:
 
 
 def workbook_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one workbook, in order."""
-    return [r["column_name"] for r in workbook_headers(read_binary(spark, path, ".xlsx")).orderBy("pos").collect()]
+    """Column names of the workbooks at or below `path`, each once, in order of place."""
+    headers = workbook_headers(read_binary(spark, path, ".xlsx"))
+    first = headers.groupBy("column_name").agg(F.min("pos").alias("pos"))
+    return [r["column_name"] for r in first.orderBy("pos", "column_name").collect()]
 
 
 def decode_workbooks(files: DataFrame, columns, missing=MISSING, rows_per_batch: int = 4096) -> DataFrame:

@@ -20,8 +20,10 @@ RUNS = 3
 
 
 def _event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """`events` as files that arrive in a folder of their own."""
+    events, folder = table(spark, sf, "events"), shared_dir(spark, "events")
+    events.write.parquet(folder)
+    return spark.readStream.schema(events.schema).parquet(folder)
 
 
 def stream_first_seen(spark, sf):
