@@ -90,6 +90,7 @@ PAGES = [
     ('<!-- <a href="no">n</a> --><script>"<a href=no>x</a>"</script><a href=" ok ">ok<br>fine</a>', False, [("ok", "okfine", "")]),
     ("<a href=u>un<p>closed", True, [("u", "unclosed", "")]),
     ('<a href="a" title="href=b">t</a><a data-href="d" href="r">k</a>', True, [("a", "t", ""), ("r", "k", "")]),
+    ('<a href="x>text</a> and "more</a>', True, [("x>text</a> and", "", "")]),
     ("<a href=a></a>", False, [("a", "", "")]),
     ("no links", False, []),
     ("", False, []),

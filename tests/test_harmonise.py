@@ -105,10 +105,12 @@ def test_a_whole_run(spark, tmp_path):
     spark.createDataFrame([(2, "b"), (3, "c")], "ID BIGINT, NAME STRING").write.parquet(str(base / "2021"))
     mapping = tmp_path / "mapping.csv"
     mapping.write_text("ORIGINAL,FINAL\nNO,ID\nLABEL,NAME\nID,ID\nNAME,NAME\n", encoding="utf-8")
+    mapping.write_text(mapping.read_text(encoding="utf-8") + "OLD,GONE\n", encoding="utf-8")
     files = {2020: str(base / "2020.csv"), 2021: str(base / "2021"), 2022: str(base / "missing")}
     report = harmonise_files(spark, files, str(mapping), 2021, str(tmp_path / "out"), str(tmp_path / "unmapped"))
     assert (report.rows, report.columns, report.rejected, report.unmapped) == (3, 3, 0, 1)
     assert report.rows_by_release == {2020: 1, 2021: 2} and list(report.skipped) == [2022]
+    assert (report.collisions, report.off_target) == ({}, {2020: {"OLD": "GONE"}})
     stored = spark.read.parquet(str(tmp_path / "out")).select("ID", "NAME", "SOURCE_YEAR").orderBy("ID")
     assert [tuple(r) for r in stored.collect()] == [(1, "a", 2020), (2, "b", 2021), (3, "c", 2021)]
     lines = spark.read.option("header", True).csv(str(tmp_path / "unmapped")).collect()

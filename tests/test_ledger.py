@@ -1,11 +1,13 @@
 import hashlib
+import io
+import zipfile
 
 from pyspark.sql import functions as F
 
 from tests.plans import physical
 from tidemark import apply_changes, latest_manifest, plan_changes, register_existing, repoint, run_summary
 from tidemark.operators.ledger import fingerprint_wanted, new_rows, to_fetch
-from tidemark.plans.ledger_run import clean_ledger, refile_combined, run_ledger
+from tidemark.plans.ledger_run import clean_ledger, refile_combined, run_ledger, unpack_archives
 from tidemark.sources.ledger_store import LedgerStore
 from tidemark.sources.schemas import MANIFEST, MANIFEST_TEXT, OBSERVATION, text_manifest, typed_manifest
 from tidemark.sources.tables import read_text_manifest
@@ -211,3 +213,16 @@ def test_cleaning_and_refiling_keep_the_ledger_in_step(spark, tmp_path):
     assert {r["url"]: (r["saved_path"], r["filename"]) for r in store.read().collect()} == {
         "a": ("/d/1997/yb97_1.pdf", "yb97_1.pdf"), "b": ("/d/1998/t98/deep/x.pdf", "x.pdf"), "c": ("/d/1996/z", "z"),
     }
+
+
+def test_unpacking_points_the_ledger_to_the_folder(spark, tmp_path):
+    stream = io.BytesIO()
+    with zipfile.ZipFile(stream, "w") as archive:
+        archive.writestr("a.txt", "abc")
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    rows = text_rows(spark, {"url": "a", "saved_path": "/d/p/a.ZIP"}, {"url": "b", "saved_path": "/d/p/b.zip"})
+    store.append(typed_manifest(rows).drop("problem"), 0)
+    archives = spark.createDataFrame([("/d/p/a.ZIP", stream.getvalue()), ("/d/p/b.zip", b"?")], "path STRING, content BINARY")
+    members = unpack_archives(store, archives)
+    assert sorted((r["path"], r["error"]) for r in members.collect() if r["path"]) == [("/d/p/a/a.txt", None)]
+    assert {r["url"]: r["saved_path"] for r in store.read().collect()} == {"a": "/d/p/a", "b": "/d/p/b.zip"}

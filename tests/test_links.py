@@ -26,7 +26,7 @@ def test_precedence_of_release_links(spark):
     page = pages(
         spark,
         '<a href="/t/1">Yearbook 2004 to 2005</a><a href="/yearbook/2004">a</a><a href="/b/yearbook/2004-2005/">b</a>'
-        '<a href="/t/2">Yearbook 2006</a><a href="/t/3">the yearbook  2006</a>'
+        '<a href="/t/2">Yearbook&nbsp;2006</a><a href="/t/3">the yearbook  2006</a>'
         '<a href="/yearbook/2021?x">no year</a><a href="/yearbook/2021">y</a><a href="/other">Yearbook2022</a>',
     )
     got = discover_releases(page, f"{SITE}/index").orderBy("year").select("year", "url").collect()

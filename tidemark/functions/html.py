@@ -9,6 +9,7 @@ all other pages reach that UDF as null.
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -88,7 +89,7 @@ def needs_parser(segments: str) -> str:
     """Whether a page holds something the expressions of `plain_anchors` misread."""
     rare = quoted(_RARE_REFERENCE)
     odd_anchor = (
-        f"NOT {_closed('a', 'a')} OR rlike(a, {rare}) OR rlike({_opening('a', 'a')}, {quoted('(?is)href.*href')})"
+        f"NOT {_closed('a', 'a')} OR NOT rlike(a, {quoted(rf'(?i)^<a{_ATTRIBUTES}>')}) OR rlike(a, {rare}) OR rlike({_opening('a', 'a')}, {quoted('(?is)href.*href')})"
     )
     odd_cell = (
         f"s.cell IS NOT NULL AND (NOT {_closed('s.cell', 'td')} OR rlike(s.cell, {rare}) "
@@ -119,23 +120,32 @@ _VOID = frozenset(
 
 
 class _AnchorReader(HTMLParser):
-    """Collects anchors, their text and the category cell of the nearest row."""
+    """Collects anchors, their text and the category cell of the nearest row.
+
+    Text nodes are kept once, in order; an element remembers its first and last.
+    """
 
     def __init__(self, category_header: str):
         super().__init__(convert_charrefs=True)
         self._header = category_header
+        self._texts: list[str] = []
+        self._node: list[str] = []
         self._open: list[tuple[str, dict]] = []
-        self._anchors: list[dict] = []
-        self._node = ""
+        self._count: Counter[str] = Counter()
+        self._rows: list[dict] = []
+        self._anchors: list[tuple[str, dict, dict]] = []
 
     def _end_node(self):
-        text, self._node = self._node.strip(), ""
-        if text and not any(tag in ("script", "style", "template") for tag, _ in self._open):
-            for _, element in self._open:
-                element["text"].append(text)
+        text = "".join(self._node).strip()
+        self._node = []
+        if text and not any(self._count[tag] for tag in ("script", "style", "template")):
+            self._texts.append(text)
+
+    def _text(self, element: dict | None) -> str:
+        return "".join(self._texts[element["first"] : element.get("end")]) if element else ""
 
     def handle_data(self, data):
-        self._node += data
+        self._node.append(data)
 
     def handle_comment(self, data):
         self._end_node()
@@ -143,15 +153,17 @@ class _AnchorReader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         self._end_node()
         values = {name: value or "" for name, value in attrs}
-        element = {"text": []}
-        rows = [e for t, e in self._open if t == "tr"]
+        element = {"first": len(self._texts)}
         if tag == "td" and self._header in values.get("headers", "").split():
-            for row in rows:
+            for row in self._rows:
                 row.setdefault("cell", element)
         if tag == "a" and "href" in values:
-            self._anchors.append({"href": values["href"], "element": element, "row": rows[-1] if rows else {}})
+            self._anchors.append((values["href"], element, self._rows[-1] if self._rows else {}))
         if tag not in _VOID:
             self._open.append((tag, element))
+            self._count[tag] += 1
+            if tag == "tr":
+                self._rows.append(element)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -160,21 +172,22 @@ class _AnchorReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self._end_node()
-        places = [i for i, (t, _) in enumerate(self._open) if t == tag]
-        if places:
-            del self._open[places[-1]:]
+        # Closes whatever was left open inside it; without an opening tag it means nothing.
+        closed = None if self._count[tag] else tag
+        while closed != tag:
+            closed, element = self._open.pop()
+            element["end"] = len(self._texts)
+            self._count[closed] -= 1
+            if closed == "tr":
+                self._rows.pop()
 
     def anchors(self, html: str) -> list[dict]:
         self.feed(html)
         self.close()
         self._end_node()
         return [
-            {
-                "href": a["href"].strip(),
-                "title": "".join(a["element"]["text"]),
-                "category": "".join(a["row"].get("cell", {"text": []})["text"]),
-            }
-            for a in self._anchors
+            {"href": href.strip(), "title": self._text(element), "category": self._text(row.get("cell"))}
+            for href, element, row in self._anchors
         ]
 
 

@@ -60,7 +60,7 @@ def year_in_name(name: str, years=COMBINED_YEARS, strict: bool = False) -> str:
         raise ValueError("the years of a combined release lie in one century")
     first = century.pop()
     if strict:
-        patterns = (rf"{first}({ends})\b", rf"\b({ends})\b")
+        patterns = (rf"(?U){first}({ends})\b", rf"(?U)\b({ends})\b")
     else:
         patterns = (rf"(?<!\d){first}({ends})(?!\d)", rf"(?<!\d)({ends})(?!\d)")
     found = ", ".join(f"nullif(regexp_extract({name}, {quoted(p)}, 1), '')" for p in patterns)

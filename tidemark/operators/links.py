@@ -19,7 +19,7 @@ CATEGORY_HEADER = "view-field-data-categories-table-column"
 FILE_EXTENSIONS = (".pdf", ".xlsx", ".xls", ".zip")
 EXCLUDED_KEYWORDS = ("enforcement", "refugee", "asylee")
 YEAR_IN_URL = r"/yearbook/(\d{4})(?:-\d{4})?/?\z"
-YEAR_IN_TEXT = r"(?i)Yearbook\s+(\d{4})(?:\s+to\s+\d{4})?"
+YEAR_IN_TEXT = r"(?iU)Yearbook\s+(\d{4})(?:\s+to\s+\d{4})?"
 
 
 def page_anchors(
@@ -125,6 +125,11 @@ def discover_releases(
     return chosen.select(*keys, "year", F.expr(address).alias("url"))
 
 
+def link_volumes(links: DataFrame, keys=("period",)) -> DataFrame:
+    """Number of links per release: `keys`, link_count."""
+    return links.groupBy(*keys).agg(F.count(F.lit(1)).alias("link_count"))
+
+
 def newest_first(releases: DataFrame) -> DataFrame:
     """Release list for reading, newest year first."""
     return releases.orderBy(F.desc("year"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.audit import audit_columns, headers_of, mapping_for, pick_release_files, unmapped_report
-from tidemark.operators.harmonise import IGNORED_COLUMNS, REJECTED, YEAR, harmonise
+from tidemark.operators.harmonise import IGNORED_COLUMNS, REJECTED, YEAR, harmonise, resolve_columns
 from tidemark.operators.inventory import list_paths
 from tidemark.sources.tables import read_mapping, read_release, release_schema, write_harmonised, write_unmapped_report
 
@@ -23,6 +23,9 @@ class HarmoniseReport:
     rows_by_release: dict[int, int] = field(default_factory=dict)
     skipped: dict[int, str] = field(default_factory=dict)
     unmapped: int = 0
+    # Per release: target columns with several sources, and sources mapped to no target.
+    collisions: dict[int, dict[str, list[str]]] = field(default_factory=dict)
+    off_target: dict[int, dict[str, str]] = field(default_factory=dict)
 
 
 def release_files(spark: SparkSession, folder: str, releases=None) -> dict[int, str]:
@@ -67,6 +70,12 @@ def harmonise_files(
 
     names = [c for data in releases.values() for c in data.columns]
     mapping = mapping_for(names, mapping_table)
+    for year, data in releases.items():
+        found = resolve_columns(year, data.columns, mapping, target.names, ignored.get(year, ()), identity)
+        if found.collisions():
+            result.collisions[year] = {t: [data.columns[i] for i in s] for t, s in found.collisions().items()}
+        if found.off_target:
+            result.off_target[year] = found.off_target
     table = harmonise(releases, mapping, target, ignored, identity, audit=True)
     seen = Observation("harmonise")
     per_release = [F.count_if(F.col(YEAR) == y).alias(f"rows_{y}") for y in releases]

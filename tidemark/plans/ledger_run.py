@@ -13,6 +13,7 @@ from tidemark.operators.links import allowed_links, discover_releases, extract_l
 from tidemark.operators.reassign import moves_for_ledger, reassign_periods
 from tidemark.operators.skew import skew_join
 from tidemark.session import fits, materialise
+from tidemark.sources.archives import expand_archives, moves_of_archives
 from tidemark.sources.ledger_store import LedgerStore
 
 
@@ -79,10 +80,19 @@ def run_ledger(
     return LedgerRun(applied, run_summary(applied))
 
 
+def unpack_archives(store: LedgerStore, archives: DataFrame) -> DataFrame:
+    """Members of `archives` (path, content); the stored ledger points to their folders."""
+    members = materialise(expand_archives(archives, keep_content=True))
+    followed = materialise(moves_of_archives(store.read(), members))
+    if not followed.isEmpty():
+        store.replace(repoint(store.read(), followed))
+    return members
+
+
 def refile_combined(store: LedgerStore, inventory: DataFrame, base_dir: str, **options) -> DataFrame:
     """Move list of the combined release; the stored ledger follows it."""
     moves = materialise(reassign_periods(inventory, base_dir, **options))
-    followed = moves_for_ledger(store.read(), moves)
+    followed = materialise(moves_for_ledger(store.read(), moves))
     if not followed.isEmpty():
         store.replace(repoint(store.read(), followed))
     return moves

@@ -11,6 +11,7 @@ from tidemark.operators.links import (
     CATEGORY_HEADER,
     discover_releases,
     extract_links,
+    link_volumes,
     newest_first,
     page_anchors,
     with_extension,
@@ -129,6 +130,7 @@ QUERIES = {
     "release_discovery": release_discovery,
     "releases_newest_first": lambda spark, sf: newest_first(release_discovery(spark, sf)),
     "link_extraction": link_extraction,
+    "link_volumes": lambda spark, sf: link_volumes(link_extraction(spark, sf), ["page_id"]),
     "extension_filter": lambda spark, sf: with_extension(_part_links(spark, sf)).select("p_partkey", "path"),
     "keyword_exclusion": lambda spark, sf: without_keywords(_part_links(spark, sf), EXCLUDED).select(
         "p_partkey", "title", "category"
@@ -161,6 +163,11 @@ ORACLE = {
     # 1998 is first named as a range 1998-1999 and then by itself; the last link counts.
     "release_discovery": _DISCOVERED,
     "releases_newest_first": _DISCOVERED,
+    "link_volumes": """
+        SELECT p_partkey // 100 AS page_id, count(*) AS link_count FROM part
+        WHERE p_partkey % 6 <> 4 AND NOT regexp_matches(lower(p_type), 'promo|rod')
+          AND (p_partkey % 20 = 10 OR NOT regexp_matches(lower(p_name), 'promo|rod'))
+        GROUP BY 1""",
     "link_extraction": """
         WITH shown AS (
             SELECT *, p_partkey % 20 = 10 AS twice,
