@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, line_dedup, mixing, pii
+from tidemark.llm import decontaminate, fertility, jaccard, langid, line_dedup, mixing, pii
 from tidemark.llm.common import bucket_of, word_count
 
 
@@ -32,6 +32,18 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, tokeniser measures and verdict for every document."""
+    found = fertility.judge(table(spark, sf_dir, "documents"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return found.select(*first, "n_tokens", *fertility.MEASURES)
+
+
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies and number of links of every document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("k")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -111,6 +123,8 @@ FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_langid": op2_langid,
+    "op4_fertility": op4_fertility,
+    "op5_jaccard": op5_jaccard,
     "op7_mixing": op7_mixing,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
