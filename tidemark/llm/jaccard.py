@@ -16,6 +16,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import free_name, null_safe_join, row_key
 from tidemark.llm.graph import components
@@ -33,7 +34,7 @@ BLOCK_DOCS, BLOCK_GRAMS = 400, 1_000_000
 BROADCAST_CANDIDATES = 100_000
 
 _MEMO = 500_000  # words whose hashes a worker remembers
-_SIGNATURE = "node long, n_shingles long, bands array<long>"
+_SIGNATURE = T.StructType([T.StructField("node", T.LongType()), T.StructField("n_shingles", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
 _random = np.random.default_rng(20_240_501)
 _STEPS = _random.integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -96,7 +97,7 @@ def signature(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["node", "n_shingles", "bands"]).astype({"node": "Int64"})
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def gram_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     hashes = _Hashes()
     for texts in batches:

@@ -15,6 +15,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The kinds found by shape alone, in the order in which spans are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -22,7 +23,7 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 CUED_KINDS = ("masked_email", "login_url", "iban", "account", "secret")
 KINDS = BASE_KINDS + CUED_KINDS
 
-SPANS = "array<struct<kind:string,start:int,end:int>>"
+SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 AT_CUES = ("(at)", "[at]", "{at}", " at ")
 SECRET_CUES = ("password", "passwort", "passwd", "contraseña", "mot de passe", "token", "secret", "api_key", "api-key", "apikey", "api key")
