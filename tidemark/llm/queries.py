@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fertility, jaccard, langid, line_dedup, mixing, pii
+from tidemark.llm import decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, pii, stupid_backoff, toxicity
 from tidemark.llm.common import bucket_of, word_count
 
 
@@ -32,6 +32,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_main.extract_main(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, tokeniser measures and verdict for every document."""
     found = fertility.judge(table(spark, sf_dir, "documents"))
@@ -44,12 +50,27 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("k")
 
 
+def op6_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document, counted over all documents."""
+    found = stupid_backoff.score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), learn_from=bucket_of("doc_id", 5) != 0)
+    held_out = F.coalesce(bucket_of("doc_id", 5) == 0, F.lit(False))
+    found = toxicity.score(docs, model, out="score")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occurred before."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -96,6 +117,27 @@ SELECT doc_id, size, source_size, target,
 FROM epochs
 """
 
+_BACKOFF = r"""
+WITH words AS (
+    SELECT doc_id, r, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a
+    FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM (
+        SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))
+), single AS (
+    SELECT b AS w, count(*) AS n FROM words GROUP BY b
+), pair AS (
+    SELECT a, b, count(*) AS n FROM words WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2
+), scored AS (
+    SELECT r, CASE WHEN words.a IS NULL THEN ln(o.n / (SELECT sum(n) FROM single))
+        WHEN pair.n IS NOT NULL THEN ln(pair.n / c.n)
+        ELSE ln(o.n / (SELECT sum(n) FROM single)) + ln(0.4) END AS s
+    FROM words JOIN single o ON words.b = o.w LEFT JOIN single c ON words.a = c.w LEFT JOIN pair ON words.a = pair.a AND words.b = pair.b
+), summed AS (
+    SELECT r, count(*) AS n, sum(s) AS s FROM scored GROUP BY r
+)
+SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(s, 0.0), 4) AS log_score, round(s / n, 6) AS mean_log
+FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) LEFT JOIN summed USING (r)
+"""
+
 _WINDOWS = r"""
 WITH doc AS (
     SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -123,11 +165,14 @@ FROM doc LEFT JOIN words USING (r) LEFT JOIN items USING (r)
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_langid": op2_langid,
+    "op3_html": op3_html,
     "op4_fertility": op4_fertility,
     "op5_jaccard": op5_jaccard,
+    "op6_backoff": op6_backoff,
     "op7_mixing": op7_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE = {"op7_mixing": _SIZES, "op10_decontamination": _WINDOWS}
+ORACLE = {"op6_backoff": _BACKOFF, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS}
