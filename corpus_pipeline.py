@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import tidemark  # noqa: E402
-from tidemark.llm import decontaminate, langid, line_dedup, mixing  # noqa: E402
+from tidemark.llm import decontaminate, jaccard, langid, line_dedup, mixing  # noqa: E402
 from tidemark.llm.common import free_name, word_count  # noqa: E402
 from tidemark.llm.queries import table  # noqa: E402
 from tidemark.session import materialise  # noqa: E402
@@ -39,6 +39,11 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return rows.withColumn("n_chars", changed).withColumn("text", F.col(kept)).select(*docs.columns)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents that are similar directly or through others, the first."""
+    return jaccard.one_of_each(docs)
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth of the words is in benchmark windows."""
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -53,6 +58,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", known_language),
     ("line dedup", without_repeated_lines),
+    ("n-gram Jaccard join", without_near_copies),
     ("benchmark decontamination", without_benchmark),
     ("mixing sources to target weights", mixed),
 ]
