@@ -152,56 +152,63 @@ def _quantised(measure: str) -> Column:
 
 
 def _median(values: DataFrame, out: str) -> DataFrame:
-    """Lower median per `lang` of the weighted `value`s (`n`); one small row per distinct value."""
-    by_lang = Window.partitionBy("lang")
-    below = F.sum("n").over(by_lang.orderBy("value"))
-    ranked = values.withColumn("below", below).withColumn("all", F.sum("n").over(by_lang))
-    return ranked.where(F.col("below") * 2 >= F.col("all")).groupBy("lang").agg(F.min("value").alias(out), F.max("all").alias("texts"))
+    """Lower median per `group` of the weighted `value`s (`n`); one small row per distinct value."""
+    of_group = Window.partitionBy("group")
+    below = F.sum("n").over(of_group.orderBy("value"))
+    ranked = values.withColumn("below", below).withColumn("all", F.sum("n").over(of_group))
+    return ranked.where(F.col("below") * 2 >= F.col("all")).groupBy("group").agg(F.min("value").alias(out), F.max("all").alias("texts"))
+
+
+def _group(lang: Column) -> Column:
+    """A language's name for its texts; those without a language are a group as well."""
+    return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit("?"))
 
 
 def bands(measured: DataFrame, width: float = 8.0, least_texts: int = 30) -> DataFrame:
-    """Lowest and highest accepted thousandths of each measure, per `lang`.
+    """Lowest and highest accepted thousandths of each measure, per `group` (language).
 
     A band is the median of all texts that pass the plain counts, and `width` times their median
     deviation (scaled to a standard deviation) to either side, or `LEAST_WIDTH` if that is more.
     Copies count once. Medians are exact in thousandths: they come from the histogram, which has
-    no more rows than the measure has steps. A language with fewer than `least_texts` has none.
+    no more rows than the measure has steps. The group `*` holds all languages together, for
+    those with fewer than `least_texts`.
     """
-    distinct = measured.where(~F.col("base_failed")).select("lang", "n_tokens", *[_quantised(m).alias(m) for m in MEASURES]).distinct()
+    distinct = measured.where(~F.col("base_failed")).select(_group(F.col("lang")).alias("own"), "n_tokens", *[_quantised(m).alias(m) for m in MEASURES]).distinct()
     result = None
     for name in MEASURES:
-        histogram = distinct.groupBy("lang", F.col(name).alias("value")).agg(F.count("*").alias("n"))
+        histogram = distinct.groupBy("own", F.col(name).alias("value")).agg(F.count("*").alias("n"))
+        histogram = histogram.select(F.explode(F.array(F.col("own"), F.lit("*"))).alias("group"), "value", "n").groupBy("group", "value").agg(F.sum("n").alias("n"))
         middle = _median(histogram, "median")
-        off = histogram.join(middle.drop("texts").withColumnRenamed("lang", "of"), F.col("lang").eqNullSafe(F.col("of")))
-        off = off.select("lang", F.abs(F.col("value") - F.col("median")).alias("value"), "n").groupBy("lang", "value").agg(F.sum("n").alias("n"))
-        spread = _median(off, "off").drop("texts").withColumnRenamed("lang", "of")
+        off = histogram.join(middle.drop("texts"), "group").select("group", F.abs(F.col("value") - F.col("median")).alias("value"), "n")
+        spread = _median(off.groupBy("group", "value").agg(F.sum("n").alias("n")), "off").drop("texts")
         least = F.lit(LEAST_WIDTH[name]) * (F.lit(_STEP) if name == "byte_share" else F.col("median"))
         half = F.greatest(F.lit(width * 1.4826) * F.col("off"), least)
-        band = middle.join(spread, F.col("lang").eqNullSafe(F.col("of"))).where(F.col("texts") >= least_texts)
-        band = band.select("lang", (F.col("median") - half).alias(f"{name}_low"), (F.col("median") + half).alias(f"{name}_high"))
-        if result is None:
-            result = band
-        else:
-            band = band.withColumnRenamed("lang", "of")
-            result = result.join(band, F.col("lang").eqNullSafe(F.col("of"))).drop("of")
+        band = middle.join(spread, "group").where(F.col("texts") >= least_texts)
+        band = band.select("group", (F.col("median") - half).alias(f"{name}_low"), (F.col("median") + half).alias(f"{name}_high"))
+        result = band if result is None else result.join(band, "group")
     return result
 
 
 def judge(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", folder: str = TOKENIZERS) -> DataFrame:
     """`key`, the counts and measures, `base_failed` and `kept` of each row of `df`.
 
-    A row is kept unless the plain counts fail it, or a measure leaves its language's band
-    (rows without a language form a group of their own; a language with few texts has no
-    bands). Texts are tokenised once, whole; the measures, a few numbers per row, are written
-    to the shared folder, as both the bands and the verdicts read them. Null and empty texts
-    fail; repeated rows are judged alike; an empty table stays empty; other columns are ignored.
+    A row is kept unless the plain counts fail it, or a measure leaves the band of its language,
+    or of all languages if its own has too few texts. Rows without a language form a group of
+    their own; a table with too few texts has no bands. Texts are tokenised once, whole; the
+    measures, a few numbers per row, are written to the shared folder, as both the bands and the
+    verdicts read them. Null and empty texts fail; repeated rows are judged alike; an empty
+    table stays empty; other columns are ignored.
     """
     rows = measure(df.select(F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")), "text", "m", folder)
     rows = materialise(rows.select("key", "lang", "m.*", base_failed("m").alias("base_failed")))
-    limits = small_side(materialise(bands(rows)).withColumnRenamed("lang", "of"))
-    rows = rows.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left")
+    limits = materialise(bands(rows))
+    # As many rows as there are languages, and counted before it is broadcast.
+    own = small_side(limits.where("group <> '*'"))
+    common = limits.where("group = '*'").select(*[F.col(c).alias(f"common_{c}") for c in limits.columns])
+    rows = rows.withColumn("group", _group(F.col("lang"))).join(own, "group", "left").join(F.broadcast(common), F.lit(True), "left")
     inside = F.lit(True)
     for name in MEASURES:
-        inside = inside & F.coalesce(_quantised(name).between(F.col(f"{name}_low"), F.col(f"{name}_high")), F.lit(True))
+        low, high = (F.coalesce(f"{name}_{end}", f"common_{name}_{end}") for end in ("low", "high"))
+        inside = inside & F.coalesce(_quantised(name).between(low, high), F.lit(True))
     names = [field.split()[0] for field in _SCHEMA.split(", ")]
     return rows.select(F.col("key").alias(key), *names, "base_failed", (~F.col("base_failed") & inside).alias("kept"))
