@@ -44,8 +44,9 @@ TEMPLATE_CHARS = 300  # ... and it is shorter than this
 
 
 def _node(sign: str) -> dict:
-    """A place in a wrapper: sign, pages, repeated, text (hash if all pages agree, 0 if they
-    differ, absent if there is none), characters, characters in links, places inside."""
+    """A place in a wrapper: sign, pages, repeated, text (`h`: hash if all pages agree, 0 if they
+    differ, absent if there is none), texts that every page has there (`q`), characters,
+    characters in links, places inside."""
     return {"s": sign, "n": 0, "r": 0, "c": 0, "l": 0, "k": []}
 
 
@@ -108,12 +109,13 @@ def wrapper_of(block: Block, sign: str = "") -> dict:
     own = block.own_text()
     if own:
         node["h"] = _hash(own)
+        node["q"] = [node["h"]] if len(own) <= TEMPLATE_CHARS else []
         node["c"] = len(own)
         node["l"] = min(len(own), sum(len(p[0]) for p in block.parts if not isinstance(p, Block) and p[1]))
     for inner, blocks in _occurrences(block):
         place = wrapper_of(blocks[0], inner)
         for again in blocks[1:]:
-            merge(place, wrapper_of(again, inner))
+            merge(place, wrapper_of(again, inner), same_page=True)
         place["n"], place["r"] = 1, int(len(blocks) > 1)
         node["k"].append(place)
     return node
@@ -155,8 +157,13 @@ def _aligned(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
     return out
 
 
-def merge(wrapper: dict, other: dict) -> dict:
+def merge(wrapper: dict, other: dict, same_page: bool = False) -> dict:
     """Aligns `other` into `wrapper`, in place."""
+    if "q" in wrapper and "q" in other:
+        mine, theirs = set(wrapper["q"]), set(other["q"])
+        wrapper["q"] = sorted(mine | theirs if same_page else mine & theirs)
+    elif "q" in other or "q" in wrapper:
+        wrapper["q"] = wrapper.get("q", other.get("q")) if same_page else []
     for key in ("n", "c", "l"):
         wrapper[key] += other[key]
     wrapper["r"] |= other["r"]
@@ -167,7 +174,7 @@ def merge(wrapper: dict, other: dict) -> dict:
         wrapper["k"] = theirs
     elif theirs:
         row = _aligned([k["s"] for k in mine], [k["s"] for k in theirs])
-        wrapper["k"] = [theirs[j] if i is None else mine[i] if j is None else merge(mine[i], theirs[j]) for i, j in row]
+        wrapper["k"] = [theirs[j] if i is None else mine[i] if j is None else merge(mine[i], theirs[j], same_page) for i, j in row]
     return wrapper
 
 
@@ -242,14 +249,17 @@ def rules(root: dict) -> dict:
         out = [reduced(k, inside) for k in node["k"]]
         if not inside and not any(k["x"] or k["k"] for k in out):
             return {"s": node["s"], "x": 0, "k": []}
-        return {"s": node["s"], "x": int(inside), "k": out}
+        rule = {"s": node["s"], "x": int(inside), "k": out}
+        if inside and template and node["r"] and node["n"] >= max(TEMPLATE_PAGES, root["n"]) and node.get("q"):
+            rule["q"] = node["q"]  # among repeated blocks, those that are the template's
+        return rule
 
     return reduced(root, False)
 
 
 def main_blocks(block: Block, rule: dict, out: list[str]) -> list[str]:
     """Texts of a page's blocks that its host's wrapper keeps, in page order."""
-    if not rule["x"] and not rule["k"]:
+    if not rule["x"] and not rule["k"] or rule.get("q") and _hash(block.own_text()) in rule["q"]:
         return out
     row = _occurrences(block)
     places: dict[int, dict] = {}

@@ -24,6 +24,9 @@ _ENDS = {
     "option": (frozenset(["option"]), frozenset(["datalist"])),
 }
 
+# Blocks nested deeper are read as siblings, each still a block of its own.
+DEEPEST = 100
+
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _LETTERS = re.compile(r"[a-z]+")
@@ -132,6 +135,7 @@ def parse(html: str) -> Block:
                         break
             block = _block(name, match.group(3))
             stack[-1].parts.append(block)
-            stack.append(block)
+            if len(stack) < DEEPEST:
+                stack.append(block)
     text(html[at:])
     return root

@@ -182,7 +182,8 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     total = members.count()
     members = F.broadcast(members) if total <= BROADCAST_CANDIDATES else members
     found = rows.join(members.select("k", F.col("doc_id").alias("other_id"), "node", "component", "blocks", "block"), "k")
-    found = found.where(F.col("doc_id").eqNullSafe(F.col("other_id")))
+    # One text for each set, however often its row is repeated.
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("other_id"))).dropDuplicates(["node"])
     # Small components share a group; a block of a large one meets every other block of it.
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
     shares = max(1, total // BLOCK_DOCS)

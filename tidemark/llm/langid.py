@@ -72,19 +72,18 @@ class LanguageModel:
 
 
 def _logs(rows, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """(entry, language, count, total) rows as natural log frequencies; what a language lacks
-    counts as a tenth of a single occurrence."""
+    """(entry, language, count, total) rows as natural log frequencies. What a language lacks
+    counts, for all languages alike, as a tenth of an occurrence in the one with most text."""
     column = {lang: i for i, lang in enumerate(languages)}
     ids: dict[str, int] = {}
-    totals: dict[tuple[str, int], int] = {}
+    most: dict[int, int] = {}
     for row in rows:
         ids.setdefault(row["entry"], len(ids))
-        totals[row["lang"], row["kind"]] = row["total"]
+        most[row["kind"]] = max(most.get(row["kind"], 1), row["total"])
     kinds = {row["entry"]: row["kind"] for row in rows}
     logs = np.empty((len(ids), len(languages)))
     for entry, i in ids.items():
-        for lang, j in column.items():
-            logs[i, j] = math.log(0.1 / max(totals.get((lang, kinds[entry]), 1), 1))
+        logs[i] = math.log(0.1 / most[kinds[entry]])
     for row in rows:
         logs[ids[row["entry"]], column[row["lang"]]] = math.log(row["n"] / row["total"])
     return ids, logs

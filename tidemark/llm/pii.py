@@ -38,7 +38,7 @@ _MASKED_DOMAIN = re.compile(r"\s?([A-Za-z0-9-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot
 _LOGIN = re.compile(r"://[^\s/@:<>\"']+:[^\s/@<>\"']+@[A-Za-z0-9.-]+")
 _IBAN = re.compile(r"[\s:.#=-]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
 _SECRET = re.compile(r"\s{0,2}[=:]\s{0,2}[\"']?([^\s\"',;]{6,256})")
-_ACCOUNT = re.compile(r"(?:\x20?(?:number|nummer|numero|número|numéro|nr|no|n°|is|ist|est|es))?\.?\s{0,2}[:=#]?\s{0,2}([A-Z]{0,3}[0-9](?:[\x20/-]?[0-9]){5,23})(?![A-Za-z0-9])")
+_ACCOUNT = re.compile(r"(?i:\x20?(?:number|nummer|numero|número|numéro|nr|no|n°|is|ist|est|es))?\.?\s{0,2}[:=#]?\s{0,2}([A-Z]{0,3}[0-9](?:[\x20/-]?[0-9]){5,23})(?![A-Za-z0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -184,7 +184,7 @@ class Scanner:
             return
         a, b = match.span(1)
         if cue == "iban":
-            while b > a and not iban_valid(text[a:b]):  # a following word in capitals is no part of it
+            while b > a and (text[b - 1] == " " or not iban_valid(text[a:b])):  # a following word in capitals is no part of it
                 b -= 1
             if b == a:
                 return

@@ -4,8 +4,8 @@ Two words are as alike as the letter triples that both contain as subsequences,
 gaps counting less (a gap-weighted subsequence kernel): an insult with inserted or dropped
 characters stays close to itself. Landmark words span the kernel's space (Nyström). A sentence
 is as like a landmark as its words together; a linear support vector machine over the landmarks'
-space tells sentences apart, and a document is judged by its worst sentence and by how much
-toxic evidence all its sentences hold for its length.
+space tells sentences apart, and a document is judged by how many toxic sentences and how much
+evidence it holds for its length.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ DECAY = 0.6  # per character inside a gap
 SPAN = 5  # characters that a triple may stretch over
 FLOOR = 0.5  # a weaker likeness counts as none
 FOLDS = 3
+SCREEN = 1000  # characters; evidence counts per so many beyond the first
 PIECE = 24  # characters; a longer word is read in pieces that overlap by half
 _MEMO = 150_000  # words whose likenesses a worker remembers
 _CHUNK = 200_000  # words that are read at a time
@@ -137,22 +138,22 @@ class Machine:
     weights: np.ndarray
     bias: float
 
-    def evidence(self, sentences: np.ndarray) -> tuple[float, float]:
-        """Of a text: the largest margin, and what all sentences have above -1, on a log scale."""
-        margins = sentences @ self.weights + self.bias
-        return float(margins.max()), float(np.log1p(np.maximum(0, margins + 1).sum()))
+    def evidence(self, sentences: np.ndarray, text: str | None) -> tuple[float, float]:
+        """Of a text: its toxic sentences, and what sentences have above a margin of -1, for its length."""
+        margins = sentences[:-1] @ self.weights + self.bias
+        screens = 1 + len(text or "") / SCREEN
+        return math.log1p((margins > 0).sum() / screens), math.log1p(np.maximum(0, margins + 1).sum() / screens)
 
 
 @dataclass
 class ToxicityModel:
-    """Landmarks, the machine over them, and the curve from evidence and length to a score."""
+    """Landmarks, the machine over them, and the curve from evidence to a score."""
 
     landmarks: list[str]
     machine: Machine
     curve: np.ndarray
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
-        """Rows of largest margin, sum and log length."""
         return 1 / (1 + np.exp(-np.clip(_with_one(evidence) @ self.curve, -500, 500)))
 
 
@@ -160,10 +161,6 @@ def _with_one(x: np.ndarray) -> np.ndarray:
     return np.hstack([x, np.ones((len(x), 1))])
 
 
-def _log_length(text: str | None) -> float:
-    return math.log1p(len(text or ""))
-
-
 def sentence_words(text: str) -> tuple[list[str], list[int]]:
     """Words of a text and the places at which sentences begin. Letters spelt out one by one,
     three or more, are one word."""
@@ -234,7 +231,10 @@ class Reader:
 def _fitted(x: np.ndarray, y: np.ndarray, white: np.ndarray, c: float = 1000.0) -> Machine:
     """Linear support vector machine with squared hinge loss in the landmarks' space, by Newton
     steps; y is -1 or 1, and both kinds weigh the same however many there are."""
-    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
+    # A sentence without any likeness is not toxic, which half as many empty rows say.
+    blank = int((y < 0).sum()) // 2 + 1
+    x, y = np.vstack([x, np.zeros((blank, x.shape[1]))]), np.append(y, np.full(blank, -1))
+    share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / (y < 0).sum())
     z = _with_one(x @ white)
     w = np.zeros(z.shape[1])
     ridge = np.eye(z.shape[1])
@@ -335,8 +335,8 @@ def learn(
             for texts in batches:
                 yield pd.Series([describe(found, text) for found, text in zip(reader.sentences(texts), texts, strict=True)], dtype=object)
 
-        got = sample.select("doc_id", "toxic", row("text").alias("x")).collect()
-        got.sort(key=lambda r: (str(r["doc_id"]), r["toxic"], r["x"]))
+        got = sample.select("doc_id", "toxic", F.xxhash64("text").alias("n"), row("text").alias("x")).collect()
+        got.sort(key=lambda r: (str(r["doc_id"]), r["n"]))
         return np.array([r["x"] for r in got]).reshape(-1, columns), np.array([2 * r["toxic"] - 1 for r in got]), np.array([str(r["doc_id"]) for r in got])
 
     # First round: a document as a whole. Second round: the sentence that the first finds worst.
@@ -347,8 +347,8 @@ def learn(
     # The curve is fitted on evidence from machines that have not seen the document.
     fold = np.array([zlib.crc32(i.encode()) % FOLDS for i in ids])
     parts = [_fitted(x[fold != i], y[fold != i], white) if len(set(y[fold != i])) == 2 else machine for i in range(FOLDS)]
-    found, y, _ = read(2 * FOLDS + 1, lambda found, text: [v for m in parts for v in m.evidence(found)] + [_log_length(text)])
-    evidence = np.column_stack([found[np.arange(len(y)), 2 * fold], found[np.arange(len(y)), 2 * fold + 1], found[:, -1]])
+    found, y, _ = read(2 * FOLDS, lambda found, text: [v for m in parts for v in m.evidence(found, text)])
+    evidence = np.column_stack([found[np.arange(len(y)), 2 * fold], found[np.arange(len(y)), 2 * fold + 1]])
     sample.unpersist()
     return ToxicityModel(words, machine, _curve(evidence, y))
 
@@ -370,8 +370,8 @@ def score(df: DataFrame, model: ToxicityModel | None, text: str = "text", out: s
         model = shared.value
         reader = Reader(model.landmarks)
         for texts in batches:
-            evidence = [(*model.machine.evidence(found), _log_length(text)) for found, text in zip(reader.sentences(texts), texts, strict=True)]
-            yield pd.Series(model.score(np.array(evidence).reshape(-1, 3)))
+            evidence = [model.machine.evidence(found, text) for found, text in zip(reader.sentences(texts), texts, strict=True)]
+            yield pd.Series(model.score(np.array(evidence).reshape(-1, 2)))
 
     return df.withColumn(out, scored(F.col(text)))
 
