@@ -49,6 +49,7 @@ def main(sf_dir: str, only) -> int:
     from pyspark.sql import SparkSession
 
     import __spark_entry__ as entry
+    from tidemark.session import remove_tables
 
     spark = (
         SparkSession.builder.master("local[8]")
@@ -74,6 +75,7 @@ def main(sf_dir: str, only) -> int:
             problem = f"{type(failure).__name__}: {failure}"[:600]
         failures += problem is not None
         print(f"{name:32s} {time.time() - start:6.2f}s  {problem or 'ok'}", flush=True)
+    remove_tables(spark)
     spark.stop()
     return failures
 

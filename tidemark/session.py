@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,25 +10,32 @@ from pyspark.sql import functions as F
 # Rows above which a side is joined by shuffle instead of being broadcast.
 BROADCAST_ROWS = 100_000
 
+_own_root: str | None = None
 
-@cache
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"{application}-")
 
+def use_root(folder: str | None) -> None:
+    """Folder for intermediate tables of sessions that do not name one in ``spark.checkpoint.dir``."""
+    global _own_root
+    _own_root = folder
 
-def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """Path of a new folder below the cluster's shared checkpoint folder.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local
-    session, where driver and executors share one disk, may go without it.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def _application_dir(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_root(spark.sparkContext.applicationId)
+        raise RuntimeError("set spark.checkpoint.dir, or call use_root(), to a folder every executor can reach")
     # One folder per application, so that it can be removed as a whole afterwards.
-    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def shared_dir(spark: SparkSession, purpose: str) -> str:
+    """Path of a new folder below the folder that the cluster names in ``spark.checkpoint.dir``."""
+    return f"{_application_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_tables(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; none may be read afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
