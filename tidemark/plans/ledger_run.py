@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.inventory import reconcile_status
@@ -47,12 +47,18 @@ def links_of_crawl(
 def clean_ledger(store: LedgerStore, paths: DataFrame) -> DataFrame:
     """Reconcile the stored ledger with `paths` (path, is_dir); returns status counts.
 
-    The ledger is rewritten only if a row was removed or repaired.
+    The next snapshot is written once, its rows counted on the way; it takes the ledger's
+    place only if a row was removed or repaired.
     """
-    judged = materialise(reconcile_status(store.read(), paths))
-    if not judged.where("status <> 'kept'").isEmpty():
-        store.replace(judged.where("status <> 'removed'").drop("status"))
-    return judged.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
+    spark, seen = store.spark, Observation("clean")
+    judged = reconcile_status(store.read(), paths)
+    kinds = ("kept", "repaired", "removed")
+    judged = judged.observe(seen, *[F.count_if(F.col("status") == k).alias(k) for k in kinds])
+    snapshot = store.stage(judged.where("status <> 'removed'").drop("status"))
+    counts = seen.get
+    if counts["repaired"] or counts["removed"]:
+        store.commit(snapshot)
+    return spark.createDataFrame([(k, counts[k]) for k in kinds if counts[k]], "status STRING, row_count BIGINT")
 
 
 def run_ledger(

@@ -2,8 +2,9 @@
 
 A batch folder is overwritten as a whole, so that a batch applied again after a lost
 executor or a restart leaves the same rows. A rewrite of the whole ledger goes to the
-next snapshot, which readers see once a line naming it is committed. One writer at a
-time.
+next snapshot, which readers see once a line naming it is committed; a batch applied
+again after a rewrite takes the place of its rows in there, since every append notes its
+number first. One writer at a time.
 """
 
 from __future__ import annotations
@@ -41,13 +42,23 @@ class LedgerStore:
 
     def read(self, before: int | None = None) -> DataFrame:
         """Current rows; only those of earlier batches with `before`. Empty if new."""
-        path = self._data(self._snapshot())
+        snapshot = self._snapshot()
+        path = self._data(snapshot)
         if not self._exists(path):
             return self.spark.createDataFrame([], MANIFEST)
         schema = T.StructType([*MANIFEST.fields, T.StructField("batch", T.LongType())])
-        rows = self.spark.read.schema(schema).parquet(path).drop("batch")
+        rows = self.spark.read.schema(schema).parquet(path)
+        if self._exists(self._appended(snapshot)):
+            # One number per batch since the last rewrite.
+            again = self.spark.read.schema("number BIGINT").parquet(self._appended(snapshot)).distinct()
+            rewritten = rows.where(F.col("batch") == _REWRITTEN).join(again, F.col("seq") == F.col("number"), "left_anti")
+            rows = rows.where(F.col("batch") != _REWRITTEN).unionByName(rewritten)
+        rows = rows.drop("batch")
         return rows if before is None else rows.where(F.col("seq") < before)
 
+    def _appended(self, snapshot: int) -> str:
+        return f"{self.root}/appended-{snapshot}"
+
     def _write(self, rows: DataFrame, snapshot: int, batch: int) -> None:
         # Rebalancing splits a large period over many files and gathers small ones.
         (
@@ -60,11 +71,21 @@ class LedgerStore:
 
     def append(self, rows: DataFrame, batch: int) -> None:
         """Add the rows of batch `batch`, in place of any it wrote before."""
-        self._write(rows.withColumn("seq", F.lit(batch).cast("long")), self._snapshot(), batch)
+        snapshot = self._snapshot()
+        number = self.spark.range(1).select(F.lit(batch).cast("long").alias("number"))
+        number.write.mode("append").parquet(self._appended(snapshot))
+        self._write(rows.withColumn("seq", F.lit(batch).cast("long")), snapshot, batch)
 
-    def replace(self, rows: DataFrame) -> None:
-        """Put `rows` in place of the whole ledger; also compacts it."""
+    def stage(self, rows: DataFrame) -> int:
+        """Write `rows` as the next snapshot, which nobody sees before it is committed."""
         following = self._snapshot() + 1
         self._write(rows, following, _REWRITTEN)
-        commit = self.spark.range(1).select(F.lit(following).cast("int").alias("snapshot"))
-        commit.write.mode("append").parquet(f"{self.root}/commits")
+        return following
+
+    def commit(self, snapshot: int) -> None:
+        line = self.spark.range(1).select(F.lit(snapshot).cast("int").alias("snapshot"))
+        line.write.mode("append").parquet(f"{self.root}/commits")
+
+    def replace(self, rows: DataFrame) -> None:
+        """Put `rows` in place of the whole ledger; also compacts it."""
+        self.commit(self.stage(rows))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.harmonise import YEAR
-from tidemark.sources.schemas import MANIFEST_TEXT, MAPPING
+from tidemark.sources.schemas import MANIFEST_TEXT, MAPPING, text_manifest
 from tidemark.sources.workbooks import read_workbooks, workbook_columns
 
 
@@ -31,19 +31,43 @@ def release_schema(spark: SparkSession, path: str) -> T.StructType:
     return read_release(spark, path).schema
 
 
+# Quotes inside a quoted cell are doubled, and a cell may hold line breaks.
+_QUOTED = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
+
+
+def _numbered(spark: SparkSession, path: str, schema: T.StructType, number: str) -> DataFrame:
+    """Lines of CSV files in order: by file name, then by their place in the file."""
+    rows = spark.read.options(**_QUOTED, enforceSchema=True).schema(schema).csv(path)
+    rows = rows.withColumns({"_file": F.input_file_name(), "_at": F.monotonically_increasing_id()})
+    # One name per file; a file with line breaks in cells is read by one task.
+    names = sorted(r[0] for r in rows.select("_file").distinct().collect())
+    if not names:
+        return rows.select(*schema.names, F.lit(0).cast("long").alias(number))
+    ranks = spark.createDataFrame(list(zip(names, range(len(names)))), "_file STRING, _rank BIGINT")
+    place = F.shiftleft("_rank", 33) + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(ranks), "_file").select(*schema.names, place.alias(number))
+
+
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
     """Mapping file with a header line: original, final, line_no.
 
-    Lines of one file are numbered in file order, so that a later line can win.
+    Lines are numbered in file order, so that a later line can win.
     """
-    rows = spark.read.option("header", True).option("enforceSchema", True).schema(MAPPING).csv(path)
-    return rows.withColumn("line_no", F.monotonically_increasing_id())
+    return _numbered(spark, path, MAPPING, "line_no")
 
 
 def read_text_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Manifest file as text columns, with its line order as `seq`."""
-    rows = spark.read.option("header", True).option("nullValue", None).schema(MANIFEST_TEXT).csv(path)
-    return rows.withColumn("seq", F.monotonically_increasing_id())
+    """Manifest as text columns, with its line order as `seq`; one file, or several in order of name."""
+    return _numbered(spark, path, MANIFEST_TEXT, "seq")
+
+
+def write_text_manifest(rows: DataFrame, path: str) -> None:
+    """Ledger rows as CSV text in order of `seq`, cells quoted as `read_text_manifest` reads them.
+
+    Written by many tasks; the files' names give the order.
+    """
+    ordered = rows.repartitionByRange(F.col("seq")).sortWithinPartitions("seq")
+    text_manifest(ordered).write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
 
 
 def write_harmonised(table: DataFrame, path: str) -> None:
