@@ -1,14 +1,29 @@
+import csv
 import hashlib
 import io
 import zipfile
 
+from pyspark.sql import functions as F
+
 from tests.plans import physical
 from tidemark import expand_archives, harmonise, read_workbooks
 from tidemark.operators.ledger import repoint
 from tidemark.sources.archives import moves_of_archives, read_archives
-from tidemark.sources.binary import read_binary
-from tidemark.sources.schemas import LONG, TEXT, table
-from tidemark.sources.tables import read_release, release_schema, stored_megabytes, write_harmonised, write_unmapped_report
+from tidemark.operators.inventory import list_paths
+from tidemark.plans.harmonise_run import harmonise_files
+from tidemark.plans.ledger_run import run_ledger, unpack_archives
+from tidemark.sources.binary import normal_path
+from tidemark.sources.ledger_store import LedgerStore
+from tidemark.sources.schemas import LONG, MANIFEST, MANIFEST_TEXT, OBSERVATION, TEXT, table
+from tidemark.sources.tables import (
+    read_release,
+    read_text_manifest,
+    release_schema,
+    stored_megabytes,
+    write_harmonised,
+    write_text_manifest,
+    write_unmapped_report,
+)
 from tidemark.sources.workbooks import decode_workbooks, workbook_headers
 from workload.containers import workbook_bytes
 
@@ -19,6 +34,14 @@ ROWS = (
 )
 
 
+def zipped(*members):
+    stream = io.BytesIO()
+    with zipfile.ZipFile(stream, "w") as archive:
+        for name in members:
+            archive.writestr(name, b"x")
+    return stream.getvalue()
+
+
 def book(tmp_path, name="b.xlsx"):
     path = tmp_path / name
     path.write_bytes(workbook_bytes(ROWS))
@@ -67,13 +90,77 @@ def test_archives(spark, tmp_path):
     assert {r["url"]: r["filename"] for r in followed.collect()} == {"u": "x.tables", "v": "bad.ZIP"}
 
 
-def test_files_too_long_for_a_row(spark, tmp_path):
-    for name, size in (("a.zip", 5), ("b.ZIP", 50), ("c.txt", 1)):
-        (tmp_path / name).write_bytes(b"x" * size)
-    files = read_binary(spark, str(tmp_path), ".zip", max_length=10)
-    assert sorted((r["path"][-5:], r["content"] is None) for r in files.collect()) == [("a.zip", False), ("b.ZIP", True)]
-    assert {r["error"] for r in expand_archives(files).collect()} == {"not a valid archive", "too large"}
-    assert "content" not in physical(files.select("path")).split("ReadSchema")[1]
+def test_stored_files_are_hashed_by_path(spark, tmp_path):
+    (tmp_path / "2020").mkdir()
+    (tmp_path / "2020" / "a.pdf").write_bytes(b"abc")
+    (tmp_path / "2020" / "empty.pdf").write_bytes(b"")
+    (tmp_path / "2020" / "z.zip").write_bytes(zipped("m.txt"))
+    (tmp_path / "2020" / "other.zip").write_bytes(b"never opened")
+    files = list_paths(spark, f"file://{tmp_path}/").where("NOT is_dir").select("path", "length")
+    links = spark.createDataFrame(
+        [("2020", f"https://h/{n}", n) for n in ("a.pdf", "empty.pdf", "z.zip", "absent.pdf")], "period STRING, url STRING, filename STRING"
+    )
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    seen = spark.createDataFrame([], OBSERVATION)
+    run = run_ledger(store, links, seen, f"file:{tmp_path}", "s", 3, files=files)
+    assert {r["filename"]: r["outcome"] for r in run.applied.collect()} == {
+        "a.pdf": "registered", "empty.pdf": "registered", "z.zip": "registered", "absent.pdf": "errors",
+    }
+    rows = {r["filename"]: r for r in store.read().collect()}
+    assert (rows["a.pdf"]["sha256"], rows["a.pdf"]["bytes"]) == (hashlib.sha256(b"abc").hexdigest(), 3)
+    assert rows["empty.pdf"]["bytes"] == 0 and rows["a.pdf"]["saved_path"] == f"{tmp_path}/2020/a.pdf"
+    members = unpack_archives(store, read_archives(spark, str(tmp_path)), batch=3)
+    assert [r["path"] for r in members.collect()] == [f"{tmp_path}/2020/z/m.txt"]
+    assert {r["saved_path"] for r in store.read().where("filename = 'z'").collect()} == {f"{tmp_path}/2020/z"}
+    assert unpack_archives(store, read_archives(spark, str(tmp_path)), batch=4).count() == 0
+
+
+def test_paths_have_one_form(spark):
+    forms = ["file:/a//b/", "file:///a/b", "file://localhost/a/b", "/a/b//", "/a/b", "s3://k//x/", "hdfs://h:1/a//b", "/", "a/b/"]
+    got = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i INT, p STRING").select("i", normal_path(F.col("p"))).orderBy("i").collect()
+    assert [r[1] for r in got] == ["/a/b"] * 5 + ["s3://k/x", "hdfs://h:1/a/b", "/", "a/b"]
+
+
+def test_damaged_workbook_is_left_out_whole(spark, tmp_path):
+    lines = ROWS + "".join(f'<row><c r="A{i}"><v>{i}</v></c></row>' for i in range(5, 6005)) + '<row><c r="A1" t="s"><v>99</v></c></row>'
+    (tmp_path / "2020.xlsx").write_bytes(workbook_bytes(lines))
+    (tmp_path / "2021.xlsx").write_bytes(workbook_bytes(ROWS))
+    (tmp_path / "map.csv").write_text("ORIGINAL,FINAL\nID,ID\n")
+    files = {y: str(tmp_path / f"{y}.xlsx") for y in (2020, 2021)}
+    report = harmonise_files(spark, files, str(tmp_path / "map.csv"), 2021, str(tmp_path / "out"), target=table(ID=LONG))
+    assert list(report.skipped) == [2020] and "IndexError" in report.skipped[2020]
+    assert report.rows_by_release == {2021: 2}
+    headers = workbook_headers(spark.createDataFrame([("/b.xlsx", b"no"), ("/g.xlsx", workbook_bytes(ROWS))], "path STRING, content BINARY"))
+    assert headers.where("error is null").count() == 3 and headers.where("error is not null").count() == 1
+
+
+def test_manifest_text_survives_a_round_trip(spark, tmp_path):
+    values = ['"abc"', 'W/"a,b"', "line\nbreak", "back\\slash", "", 'tail"', " spaced "]
+    rows = spark.createDataFrame([(f"u{i}", v, i) for i, v in enumerate(values)], "url STRING, etag STRING, seq BIGINT")
+    rows = rows.select(*[F.col(n).cast(f.dataType).alias(n) if n in rows.columns else F.lit(None).cast(f.dataType).alias(n) for n, f in ((f.name, f) for f in MANIFEST)])
+    write_text_manifest(rows, str(tmp_path / "m"))
+    back = read_text_manifest(spark, str(tmp_path / "m")).orderBy("seq").collect()
+    assert [(r["url"], r["etag"] or "") for r in back] == [(f"u{i}", v) for i, v in enumerate(values)]
+    with open(tmp_path / "one.csv", "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(MANIFEST_TEXT.names)
+        for i, v in enumerate(values):
+            writer.writerow([f"u{i}" if n == "url" else v if n == "etag" else "" for n in MANIFEST_TEXT.names])
+    back = read_text_manifest(spark, str(tmp_path / "one.csv")).orderBy("seq").collect()
+    assert [(r["url"], r["etag"] or "") for r in back] == [(f"u{i}", v) for i, v in enumerate(values)]
+
+
+def test_replay_after_a_rewrite(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "l"))
+    rows = spark.range(3).select(*[F.concat(F.lit("u"), "id").alias(f.name) if f.name == "url" else F.lit("p" if f.name == "period" else None).cast(f.dataType).alias(f.name) for f in MANIFEST])
+    for batch in (0, 1):
+        store.append(rows.withColumn("url", F.concat("url", F.lit(f"-{batch}"))), batch)
+    store.replace(store.read())
+    before = sorted(map(str, store.read().collect()))
+    store.append(rows.withColumn("url", F.concat("url", F.lit("-0"))), 0)
+    assert sorted(map(str, store.read().collect())) == before
+    store.append(rows.limit(0), 1)
+    assert {r["url"] for r in store.read().collect()} == {"u0-0", "u1-0", "u2-0"}
 
 
 def test_sinks(spark, tmp_path):

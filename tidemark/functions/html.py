@@ -2,9 +2,9 @@
 
 Nearly every page is read with split and regexp expressions inside the JVM, each
 linear in the length of the page. A page those expressions cannot read faithfully
-(nested or unclosed rows, unclosed anchors, rarer character references) is detected
-per page and read by the standard library's HTML parser in a pandas UDF instead;
-all other pages reach that UDF as null.
+(nested or unclosed rows, unclosed anchors, anchors with a bare href, templates, text
+areas, rarer character references) is detected per page and read by the standard
+library's HTML parser in a pandas UDF instead; no other page enters Python.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from tidemark.functions.text import let, quoted, strip_sql
 ANCHORS = "array<struct<href:string,title:string,category:string>>"
 
 _INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b.*?(?:</\1\s*>|\z)"
+# Elements whose content only the parser treats rightly, and anchors whose href has no value.
+_UNPLAIN = r"(?is)<(?:template|textarea|xmp|plaintext|listing)[\s/>]|<a\s(?:[^>]*?[\s\"'/])?href\s*+(?!\s*=)"
 _ATTRIBUTES = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)"""
 _TAG = rf"""<[A-Za-z/!?]{_ATTRIBUTES}>"""
 _ROWS = r"(?i)(?=<tr[\s/>])|(?<=</tr>)"
@@ -85,7 +87,7 @@ def page_segments(html: str, category_header: str) -> str:
     return f"transform(split({visible}, {quoted(_ROWS)}), s -> {described})"
 
 
-def needs_parser(segments: str) -> str:
+def needs_parser(html: str, segments: str) -> str:
     """Whether a page holds something the expressions of `plain_anchors` misread."""
     rare = quoted(_RARE_REFERENCE)
     odd_anchor = (
@@ -95,7 +97,8 @@ def needs_parser(segments: str) -> str:
         f"s.cell IS NOT NULL AND (NOT {_closed('s.cell', 'td')} OR rlike(s.cell, {rare}) "
         f"OR rlike(s.cell, {quoted(r'(?i)<table[\s>]')}))"
     )
-    return f"exists({segments}, s -> s.open_row OR {odd_cell} OR exists(s.anchors, a -> {odd_anchor}))"
+    odd_segment = f"exists({segments}, s -> s.open_row OR {odd_cell} OR exists(s.anchors, a -> {odd_anchor}))"
+    return f"coalesce(rlike({html}, {quoted(_UNPLAIN)}) OR {odd_segment}, false)"
 
 
 def plain_anchors(segments: str) -> str:

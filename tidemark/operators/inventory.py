@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pyarrow as pa
-from pyarrow.fs import FileSelector, FileSystem, FileType
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,31 +13,39 @@ from tidemark.functions.names import base_name, folder_of_archive
 from tidemark.functions.text import blank_to_null, let
 from tidemark.operators.skew import skew_join
 from tidemark.session import materialise
+from tidemark.sources.binary import file_system, normal_folder, normal_path
+
+
+# Entries of a folder handed on together.
+_ENTRIES = 10_000
 
 
 def list_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Everything below `folder`, level by level: path, is_dir, length.
+    """Everything below `folder`, level by level, as normal paths: path, is_dir, length.
 
     The unit of work is a folder. Unlike a file source's listing this one holds empty
     files, empty folders and names Spark takes for hidden.
     """
+    layout = pa.schema([("path", pa.string()), ("is_dir", pa.bool_()), ("length", pa.int64())])
 
     def entries(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                system, inner = FileSystem.from_uri(path)
+                system, inner = file_system(path)
                 prefix = path[: len(path) - len(inner)]
                 found = system.get_file_info(FileSelector(inner))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "path": [prefix + f.path for f in found],
-                        "is_dir": [f.type == FileType.Directory for f in found],
-                        "length": [None if f.type == FileType.Directory else f.size for f in found],
-                    },
-                    schema=pa.schema([("path", pa.string()), ("is_dir", pa.bool_()), ("length", pa.int64())]),
-                )
-
-    level, levels = spark.createDataFrame([(folder.rstrip("/"),)], "path STRING"), []
+                for start in range(0, len(found), _ENTRIES):
+                    some = found[start : start + _ENTRIES]
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "path": [prefix + f.path for f in some],
+                            "is_dir": [f.type == FileType.Directory for f in some],
+                            "length": [None if f.type == FileType.Directory else f.size for f in some],
+                        },
+                        schema=layout,
+                    )
+
+    level, levels = spark.createDataFrame([(normal_folder(spark, folder),)], "path STRING"), []
     while not levels or not level.isEmpty():
         below = level.repartition("path").mapInArrow(entries, "path STRING, is_dir BOOLEAN, length BIGINT")
         levels.append(materialise(below))
@@ -72,6 +80,7 @@ def _spelling(path: Column) -> Column:
 
 def _presence(paths: DataFrame) -> DataFrame:
     """One row per path without ``.zip``: which spellings exist, and whether as a folder."""
+    paths = paths.withColumn("path", normal_path(F.col("path")))
     path = F.col("path")
     key = F.coalesce(folder_of_archive(path), path)
     return paths.groupBy(key.alias("_key")).agg(
@@ -86,10 +95,11 @@ def reconcile_status(manifest: DataFrame, paths: DataFrame) -> DataFrame:
     to a folder of its name, is repaired to point there. All others, and rows without
     a path, are removed. `paths` is (path, is_dir).
     """
-    folder = folder_of_archive(F.col("saved_path"))
-    keyed = manifest.withColumn("_key", blank_to_null(F.coalesce(folder, F.col("saved_path"))))
+    saved = normal_path(F.col("saved_path"))
+    folder = folder_of_archive(saved)
+    keyed = manifest.withColumn("_key", blank_to_null(F.coalesce(folder, saved)))
     joined = skew_join(keyed, _presence(paths), ["_key"], "left")
-    exists = F.coalesce(F.col("_spellings").bitwiseAND(_spelling(F.col("saved_path"))) != 0, F.lit(False))
+    exists = F.coalesce(F.col("_spellings").bitwiseAND(_spelling(saved)) != 0, F.lit(False))
     unpacked = folder.isNotNull() & F.coalesce("_folder", F.lit(False))
     status = F.when(exists, "kept").when(unpacked, "repaired").otherwise("removed")
     repaired = F.col("status") == "repaired"

@@ -15,9 +15,12 @@ from tidemark.functions.names import base_name, stored_name, versioned_name
 from tidemark.functions.text import blank_to_null, strip, to_long
 from tidemark.operators.skew import hot_key_hashes, skew_join
 from tidemark.session import BROADCAST_ROWS, fits
+from tidemark.sources.binary import hash_files, normal_path
 from tidemark.sources.schemas import KEY
 
 SAFE, FAST = "safe", "fast"
+# Periods that are written into a plan as a partition filter.
+MOST_PERIODS = 1000
 
 
 def _version(version: Column) -> Column:
@@ -33,11 +36,18 @@ def _text(value: Column) -> Column:
 def latest_manifest(manifest: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Latest row per key: the highest version, of equal ones the later row (`seq`).
 
-    With `keys` (period, url) only those keys are looked at: if the list was counted
-    and is small it filters the manifest before the shuffle.
+    With `keys` (period, url) only those keys are looked at. Their periods prune the
+    ledger's folders, and the keys filter its rows: broadcast if they were counted and are
+    few, otherwise by a semi-join that shares its shuffle with what follows.
     """
-    if keys is not None and fits(keys, BROADCAST_ROWS):
-        manifest = manifest.join(F.broadcast(keys.select(KEY)), KEY, "left_semi")
+    if keys is not None:
+        periods = keys.select("period").distinct()
+        # One period per release of a run; beyond the limit only the join prunes.
+        named = [r["period"] for r in periods.limit(MOST_PERIODS + 1).collect()]
+        if len(named) <= MOST_PERIODS:
+            manifest = manifest.where(F.col("period").isin([p for p in named if p is not None]))
+        keys = keys.select(KEY)
+        manifest = manifest.join(F.broadcast(keys) if fits(keys, BROADCAST_ROWS) else keys, KEY, "left_semi")
     order = F.struct(F.coalesce(_version(F.col("version")), F.lit(-1)), F.col("seq"))
     rest = [c for c in manifest.columns if c not in KEY]
     return (
@@ -134,12 +144,24 @@ def fingerprint_wanted(files: DataFrame, wanted: DataFrame, on, content: str = "
 
 
 def expected_path(base_dir: str) -> Column:
-    return F.concat_ws("/", F.lit(base_dir), "period", "filename")
+    return normal_path(F.concat_ws("/", F.lit(base_dir), "period", "filename"))
 
 
-def _digests(files: DataFrame) -> DataFrame:
-    digests = files if "sha256" in files.columns else fingerprint(files)
-    return digests.select("path", F.col("sha256").alias("file_sha256"), F.col("bytes").alias("file_bytes"))
+def _digests(files: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Digests of the `files` whose path is in `wanted` (path): path, file_sha256, file_bytes, file_there.
+
+    Files without content are joined first, and only what is left is opened and hashed.
+    """
+    files = files.withColumn("path", normal_path(F.col("path")))
+    if "sha256" in files.columns:
+        digests = files
+    elif "content" in files.columns:
+        digests = fingerprint_wanted(files, wanted, ["path"])
+    else:
+        digests = hash_files(files.select("path").join(wanted.distinct(), "path", "left_semi"))
+    return digests.select(
+        "path", F.col("sha256").alias("file_sha256"), F.col("bytes").alias("file_bytes"), F.lit(True).alias("file_there")
+    )
 
 
 def apply_changes(planned: DataFrame, base_dir: str, files: DataFrame | None = None, mode: str = SAFE) -> DataFrame:
@@ -153,16 +175,16 @@ def apply_changes(planned: DataFrame, base_dir: str, files: DataFrame | None = N
     unseen = F.col("decision") == "download"
     probed = planned.withColumn("path", F.when(unseen, expected_path(base_dir)))
     if files is not None:
-        probed = skew_join(probed, _digests(files), ["path"], "left")
+        probed = skew_join(probed, _digests(files, probed.where("path IS NOT NULL").select("path")), ["path"], "left")
     else:
         probed = probed.withColumns(
-            {"file_sha256": F.lit(None).cast("string"), "file_bytes": F.lit(None).cast("long")}
+            {"file_sha256": F.lit(None).cast("string"), "file_bytes": F.lit(None).cast("long"), "file_there": F.lit(False)}
         )
     same_content = F.lit(mode == SAFE) & F.col("seen") & (_text(F.col("prev_sha256")) == F.col("obs_sha256"))
     outcome = (
         F.when(F.col("decision") == "skip", "skipped")
         .when(F.col("decision") == "error", "errors")
-        .when(unseen & F.col("file_sha256").isNotNull(), "registered")
+        .when(unseen & F.coalesce("file_there", F.lit(False)), "registered")
         .when(F.col("obs_get_status") == 304, "unchanged")
         .when(F.col("obs_sha256").isNull(), "errors")
         .when(same_content, "unchanged")
@@ -193,7 +215,7 @@ def new_rows(applied: DataFrame, base_dir: str, source_id: str, seq: Column | in
         F.lit(source_id).alias("source_id"),
         *KEY,
         name.alias("filename"),
-        F.concat_ws("/", F.lit(base_dir), "period", name).alias("saved_path"),
+        normal_path(F.concat_ws("/", F.lit(base_dir), "period", name)).alias("saved_path"),
         F.when(registered, F.col("file_bytes")).otherwise(F.col("obs_bytes")).cast("long").alias("bytes"),
         F.when(registered, F.col("file_sha256")).otherwise(F.col("obs_sha256")).alias("sha256"),
         F.when(fetched, _text(F.col("obs_etag"))).alias("etag"),
@@ -224,14 +246,14 @@ def register_existing(
 ) -> DataFrame:
     """Ledger rows of files that lie at a link's expected path but were never recorded.
 
-    `links` is (period, url, filename), each key once; `files` is (path, content) or
-    (path, sha256, bytes). A key the ledger knows is left alone.
+    `links` is (period, url, filename), each key once; `files` is a listing (path),
+    (path, content) or (path, sha256, bytes). A key the ledger knows is left alone.
     """
     known = manifest.select(*KEY).distinct()
     probed = links.withColumn("path", expected_path(base_dir))
     unknown = probed.join(known, KEY, "left_anti")
     # Looked for among all links, so that the anti-join runs once.
-    found = skew_join(unknown, _digests(files), ["path"], "inner", hot=hot_key_hashes(probed, ["path"]))
+    found = skew_join(unknown, _digests(files, unknown.select("path")), ["path"], "inner", hot=hot_key_hashes(probed, ["path"]))
     return found.select(
         F.lit(source_id).alias("source_id"),
         *KEY,

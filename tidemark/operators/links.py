@@ -30,14 +30,11 @@ def page_anchors(
     cut = pages.select(*keys, F.col(html).alias("_html")).withColumn(
         "_segments", F.expr(H.page_segments("_html", category_header))
     )
-    # A column of its own, so that the test runs once per page.
-    tested = cut.withColumn("_odd", F.expr(H.needs_parser("_segments")))
-    read = tested.select(
-        *keys,
-        F.expr(f"if(_odd, null, {H.plain_anchors('_segments')})").alias("_plain"),
-        H.parsed_anchors(F.expr("if(_odd, _html, null)"), category_header).alias("_parsed"),
-    )
-    return read.select(*keys, F.posexplode(F.coalesce("_plain", "_parsed")).alias("pos", "_anchor")).select(
+    # A column of its own, so that the test runs once per page and branch.
+    tested = cut.withColumn("_odd", F.expr(H.needs_parser("_html", "_segments")))
+    plain = tested.where("NOT _odd").select(*keys, F.expr(H.plain_anchors("_segments")).alias("_anchors"))
+    parsed = tested.where("_odd").select(*keys, H.parsed_anchors(F.col("_html"), category_header).alias("_anchors"))
+    return plain.unionAll(parsed).select(*keys, F.posexplode("_anchors").alias("pos", "_anchor")).select(
         *keys, "pos", "_anchor.href", "_anchor.title", "_anchor.category"
     )
 

@@ -10,89 +10,93 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import COMBINED_YEARS, base_name, stem, suffix, year_in_name
 from tidemark.functions.text import let, quoted
 from tidemark.operators.skew import rank_within, skew_join
-from tidemark.session import materialise
+from tidemark.session import materialise, small_side
+from tidemark.sources.binary import normal_path
 
 # Candidate numbers one row unfolds into; a longer list is unfolded by many tasks.
 _BLOCK = 10_000
-_GROUP = ["folder", "name", "is_dir"]
+# What numbered names are made of: ``<head>_<number><tail>``. Two kinds of item with one head
+# and tail share their numbers.
+_FORM = ["folder", "head", "tail"]
+_NAME = ["folder", "name"]
 
 
 def free_names(incoming: DataFrame, taken: DataFrame) -> DataFrame:
     """Give every incoming item a name of its own: adds ``new_name``.
 
     `incoming` is (folder, name, is_dir, item) with `item` unique and deciding the
-    order; `taken` is (folder, name). The first item of a name keeps it if it is
-    free. The others become ``stem_1.ext``, ``stem_2.ext``, … in order, leaving out
-    numbers that are taken, by present files or by natural names of other items.
-    Folders take the number at the end of the whole name. Both tables are read more
-    than once and should be stored ones.
+    order; `taken` is (folder, name). Files and folders share one name space. The first
+    item of a name keeps it if it is free. The others become ``stem_1.ext``,
+    ``stem_2.ext``, … in order, leaving out numbers that are taken, by present files or
+    by natural names of other items. Folders take the number at the end of the whole
+    name. Only names that are wanted twice or present already are numbered, and only
+    numbers in their forms are looked for. Both tables are read more than once and
+    should be stored ones.
     """
-    used = taken.select("folder", "name").distinct()
-    numbers_taken = _numbers_taken(used.unionByName(incoming.select("folder", "name")).distinct())
-    counts = numbers_taken.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_taken"))
-    natural = incoming.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("_items"))
-    occupied = natural.join(used.withColumn("_used", F.lit(True)), ["folder", "name"], "left").withColumn(
-        "_used", F.coalesce("_used", F.lit(False))
-    )
-    # Only names wanted twice, or present already, need any numbering.
-    crowded = materialise(
-        occupied.where("_used or _items > 1")
-        .join(counts, _GROUP, "left")
-        .select(*_GROUP, "_items", "_used", F.coalesce("_taken", F.lit(0)).alias("_taken"))
-    )
-    largest = crowded.agg(F.max(F.col("_items") + F.col("_taken"))).first()[0]
-    if largest is None:
+    used = taken.select(*_NAME).distinct()
+    natural = incoming.groupBy(*_NAME).agg(F.count(F.lit(1)).alias("_items"), F.min("item").alias("_first"))
+    natural = natural.join(used.withColumn("_used", F.lit(True)), _NAME, "left").withColumn("_used", F.coalesce("_used", F.lit(False)))
+    crowded = materialise(natural.where("_used or _items > 1"))
+    if crowded.isEmpty():
         return incoming.withColumn("new_name", F.col("name"))
-
-    items = skew_join(incoming.select(*_GROUP, "item"), crowded, _GROUP, "inner", right_stored=True)
-    # Slot 0 is the plain name, if it is free.
-    slot = F.col("rank") - F.when(F.col("_used"), 0).otherwise(1)
-    placed = rank_within(items, _GROUP, [F.col("item")], largest=largest).withColumn("_slot", slot)
-    free = _candidates(crowded).join(numbers_taken, [*_GROUP, "_number"], "left_anti")
-    numbers = rank_within(free, _GROUP, [F.col("_number")], "_slot", largest)
-    number = F.col("_number").cast("string")
-    parted = F.when(F.col("is_dir"), F.concat_ws("_", "name", number)).otherwise(
-        F.concat(stem(F.col("name")), F.lit("_"), number, suffix(F.col("name")))
+    items = skew_join(incoming.select(*_NAME, "is_dir", "item"), crowded, _NAME, "inner", right_stored=True)
+    items = items.where("_used or item <> _first").select(
+        "folder",
+        F.when(F.col("is_dir"), F.col("name")).otherwise(stem(F.col("name"))).alias("head"),
+        F.when(F.col("is_dir"), F.lit("")).otherwise(suffix(F.col("name"))).alias("tail"),
+        "item",
     )
-    renamed = placed.join(numbers, [*_GROUP, "_slot"], "left").select(
-        "item", F.when(F.col("_slot") == 0, F.col("name")).otherwise(parted).alias("_name")
+    items = materialise(items)
+    forms = materialise(items.groupBy(*_FORM).agg(F.count(F.lit(1)).alias("_items")))
+    numbers_taken = materialise(_numbers_taken(used.unionByName(natural.select(*_NAME)).distinct(), forms))
+    counts = numbers_taken.groupBy(*_FORM).agg(F.count(F.lit(1)).alias("_taken"))
+    forms = forms.join(counts, _FORM, "left").withColumn("_taken", F.coalesce("_taken", F.lit(0)))
+    largest = forms.agg(F.max(F.col("_items") + F.col("_taken"))).first()[0]
+    placed = rank_within(items, _FORM, [F.col("item")], "_slot", largest)
+    free = _candidates(forms).join(numbers_taken, [*_FORM, "_number"], "left_anti")
+    numbers = rank_within(free, _FORM, [F.col("_number")], "_slot", largest)
+    number = F.col("_number").cast("string")
+    renamed = placed.join(numbers, [*_FORM, "_slot"]).select(
+        F.col("item").alias("_item"), F.concat("head", F.lit("_"), number, "tail").alias("_name")
     )
-    return incoming.join(renamed, "item", "left").select(
+    renamed = small_side(materialise(renamed))
+    return incoming.join(renamed, F.col("item") == F.col("_item"), "left").select(
         *incoming.columns, F.coalesce("_name", "name").alias("new_name")
     )
 
 
-def _numbers_taken(names: DataFrame) -> DataFrame:
-    """Numbers that present names block: group, _number.
+def _numbers_taken(names: DataFrame, forms: DataFrame) -> DataFrame:
+    """Numbers that present names block in the given forms: form, _number.
 
-    ``<stem>_<n><suffix>`` blocks number n of ``<stem><suffix>`` and, where the whole
-    name ends in ``_<n>``, of the folder named like the rest.
+    ``<stem>_<n><suffix>`` blocks number n of ``<stem>`` and ``<suffix>`` and, where the
+    whole name ends in ``_<n>``, of the rest without a suffix.
     """
     split = r"(?s)^(.+)_([1-9]\d{0,17})\z"
 
-    def blocked(numbered, ending, is_dir: bool) -> DataFrame:
+    def blocked(numbered, ending) -> DataFrame:
         return names.select(
             "folder",
-            F.concat(F.regexp_extract(numbered, split, 1), ending).alias("name"),
-            F.lit(is_dir).alias("is_dir"),
+            F.regexp_extract(numbered, split, 1).alias("head"),
+            ending.alias("tail"),
             F.regexp_extract(numbered, split, 2).try_cast("long").alias("_number"),
         ).where("_number is not null")
 
     name = F.col("name")
-    return blocked(stem(name), suffix(name), False).unionByName(blocked(name, F.lit(""), True)).distinct()
+    found = blocked(stem(name), suffix(name)).unionByName(blocked(name, F.lit("")))
+    return found.join(small_side(forms.select(*_FORM)), _FORM, "left_semi").distinct()
 
 
-def _candidates(crowded: DataFrame) -> DataFrame:
+def _candidates(forms: DataFrame) -> DataFrame:
     """Numbers to choose from: the first `items + taken` always hold enough free ones."""
     last = F.col("_items") + F.col("_taken")
-    blocks = crowded.select(
-        *_GROUP,
+    blocks = forms.select(
+        *_FORM,
         last.alias("_last"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / _BLOCK))).alias("_block"),
-    ).repartition(*_GROUP, "_block")
+    ).repartition(*_FORM, "_block")
     first = F.col("_block") * _BLOCK + 1
     return blocks.select(
-        *_GROUP, F.explode(F.sequence(first, F.least(F.col("_last"), first + (_BLOCK - 1)))).alias("_number")
+        *_FORM, F.explode(F.sequence(first, F.least(F.col("_last"), first + (_BLOCK - 1)))).alias("_number")
     )
 
 
@@ -135,7 +139,12 @@ def reassign_periods(
     re-points the ledger (see `moves_for_ledger`).
     """
     base = base_dir.rstrip("/")
-    assigned = assign_years(inventory, base, combined, years, strict)
+    homes = "|".join(str(y) for y in years)
+    in_home = F.col("path").rlike(rf"(?s)\A{re.escape(base)}/(?:{homes})/[^/]+\z")
+    # One pass over the inventory keeps both kinds of rows: what moves, and what lies in the targets.
+    inside = F.startswith(F.col("path"), F.lit(f"{base}/{combined}/"))
+    stored = materialise(inventory.where(inside | in_home))
+    assigned = assign_years(stored, base, combined, years, strict)
     target = F.concat_ws("/", F.lit(base), "period")
     assigned = materialise(
         assigned.withColumns({"folder": target, "name": base_name(F.col("root"))}).where(
@@ -143,15 +152,11 @@ def reassign_periods(
         )
     )
     roots = assigned.where("path = root").select("folder", "name", "is_dir", F.col("root").alias("item"))
-    homes = "|".join(str(y) for y in years)
-    in_home = F.col("path").rlike(rf"(?s)\A{re.escape(base)}/(?:{homes})/[^/]+\z")
-    present = materialise(
-        inventory.where(in_home).select(
-            F.regexp_extract("path", r"(?s)^(.*)/", 1).alias("folder"), base_name(F.col("path")).alias("name")
-        )
+    present = stored.where(in_home).select(
+        F.regexp_extract("path", r"(?s)^(.*)/", 1).alias("folder"), base_name(F.col("path")).alias("name")
     )
     named = free_names(roots, present).select(F.col("item").alias("root"), "new_name")
-    moved = skew_join(assigned, named, ["root"], "inner")
+    moved = assigned.join(named, "root")
     return moved.select(
         F.col("path").alias("old_path"),
         F.concat_ws("/", "folder", "new_name", F.nullif("inner", F.lit(""))).alias("new_path"),
@@ -163,7 +168,8 @@ def reassign_periods(
 
 def moves_for_ledger(manifest: DataFrame, moves: DataFrame) -> DataFrame:
     """Keys whose saved path moved, for `repoint`: period, url, new_path."""
-    paths = moves.select(F.col("old_path").alias("saved_path"), "new_path")
-    return skew_join(manifest.select("period", "url", "saved_path"), paths, ["saved_path"], "inner").select(
+    paths = moves.select(normal_path(F.col("old_path")).alias("saved_path"), "new_path")
+    saved = manifest.select("period", "url", normal_path(F.col("saved_path")).alias("saved_path"))
+    return skew_join(saved, paths, ["saved_path"], "inner").select(
         "period", "url", "new_path"
     )

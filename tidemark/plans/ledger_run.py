@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.functions.names import folder_of_archive
 from tidemark.operators.inventory import reconcile_status
 from tidemark.operators.ledger import SAFE, apply_changes, new_rows, plan_changes, repoint, run_summary
 from tidemark.operators.links import allowed_links, discover_releases, extract_links, first_per_url
@@ -14,6 +15,7 @@ from tidemark.operators.reassign import moves_for_ledger, reassign_periods
 from tidemark.operators.skew import skew_join
 from tidemark.session import fits, materialise
 from tidemark.sources.archives import expand_archives, moves_of_archives
+from tidemark.sources.binary import normal_path
 from tidemark.sources.ledger_store import LedgerStore
 
 
@@ -86,8 +88,15 @@ def run_ledger(
     return LedgerRun(applied, run_summary(applied))
 
 
-def unpack_archives(store: LedgerStore, archives: DataFrame) -> DataFrame:
-    """Members of `archives` (path, content); the stored ledger points to their folders."""
+def unpack_archives(store: LedgerStore, archives: DataFrame, batch: int | None = None) -> DataFrame:
+    """Members of `archives` (path, maybe content); the stored ledger points to their folders.
+
+    With `batch` only archives are opened that this batch of the ledger brought in.
+    """
+    if batch is not None:
+        brought = store.read().where((F.col("seq") == batch) & folder_of_archive(F.col("saved_path")).isNotNull())
+        wanted = brought.select(normal_path(F.col("saved_path")).alias("path")).distinct()
+        archives = archives.withColumn("path", normal_path(F.col("path"))).join(wanted, "path", "left_semi")
     members = materialise(expand_archives(archives, keep_content=True))
     followed = materialise(moves_of_archives(store.read(), members))
     if not followed.isEmpty():

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, stem
 from tidemark.operators.skew import skew_join
-from tidemark.sources.binary import read_binary
+from tidemark.sources.binary import CHUNK, normal_path, open_file, read_binary
 
 _MEMBERS = "archive STRING, member STRING, size BIGINT, sha256 STRING, content BINARY, error STRING"
 _ARROW = pa.schema(
@@ -37,37 +37,48 @@ _ROWS, _BYTES = 1000, 32 * 2**20
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives at or below `folder`: path, content."""
+    """Archives at or below `folder`: path, length. They are opened where they are expanded."""
     return read_binary(spark, folder, ".zip")
 
 
+# A value of a row holds less than 2 GiB.
+_LONGEST = 2**31 - 1024
+
+
+def _member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, keep_content: bool) -> dict:
+    """Size, hash and, if wanted, content of a member, read in chunks."""
+    digest, size, held = hashlib.sha256(), 0, []
+    with archive.open(info) as stream:
+        while chunk := stream.read(CHUNK):
+            digest.update(chunk)
+            size += len(chunk)
+            if keep_content and size <= _LONGEST:
+                held.append(chunk)
+    kept = keep_content and size <= _LONGEST
+    return {
+        "member": info.filename,
+        "size": size,
+        "sha256": digest.hexdigest(),
+        "content": b"".join(held) if kept else None,
+        "error": "member too large for a row" if keep_content and not kept else None,
+    }
+
+
 def _members(path: str, content: bytes | None, keep_content: bool) -> Iterator[dict]:
     nothing = {"archive": path, "member": None, "size": None, "sha256": None, "content": None}
-    if content is None:
-        yield {**nothing, "error": "too large"}
-        return
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with (open_file(path) if content is None else io.BytesIO(content)) as source, zipfile.ZipFile(source) as archive:
             for info in archive.infolist():
-                if info.is_dir():
-                    continue
-                data = archive.read(info)
-                yield {
-                    "archive": path,
-                    "member": info.filename,
-                    "size": len(data),
-                    "sha256": hashlib.sha256(data).hexdigest(),
-                    "content": data if keep_content else None,
-                    "error": None,
-                }
-    except zipfile.BadZipFile:
+                if not info.is_dir():
+                    yield {"archive": path, **_member(archive, info, keep_content)}
+    except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter where a file is too short to seek in
         yield {**nothing, "error": "not a valid archive"}
     except Exception as failure:  # an archive that cannot be read must not end the job
         yield {**nothing, "error": type(failure).__name__}
 
 
 def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFrame:
-    """Members of every archive in `archives` (path, content).
+    """Members of every archive in `archives` (path, and content unless it is to be opened there).
 
     Columns: archive, folder, member, path, size, sha256, content, error. `folder` is
     the archive's path without its ending, `path` where the member lands in it. An
@@ -77,8 +88,9 @@ def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFram
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                for row in _members(path.as_py(), content.as_py(), keep_content):
+            contents = batch.column(1) if batch.num_columns > 1 else [None] * batch.num_rows
+            for path, content in zip(batch.column(0), contents):
+                for row in _members(path.as_py(), content and content.as_py(), keep_content):
                     held.append(row)
                     size += len(row["content"] or b"")
                     if len(held) >= _ROWS or size >= _BYTES:
@@ -86,7 +98,9 @@ def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFram
                         held, size = [], 0
         yield pa.RecordBatch.from_pylist(held, schema=_ARROW)
 
-    members = archives.select("path", "content").mapInArrow(unpack, _MEMBERS)
+    columns = ["path", *[c for c in archives.columns if c == "content"]]
+    named = archives.select(*columns).withColumn("path", normal_path(F.col("path")))
+    members = named.mapInArrow(unpack, _MEMBERS)
     name = base_name(F.col("archive"))
     parent = F.substring(F.col("archive"), F.lit(1), F.length("archive") - F.length(name))
     folder = F.concat(parent, stem(name))
@@ -119,6 +133,7 @@ def moves_of_archives(manifest: DataFrame, members: DataFrame) -> DataFrame:
         .where("_failures = 0")
         .select(F.col("archive").alias("saved_path"), F.col("folder").alias("new_path"))
     )
-    return skew_join(manifest.select("period", "url", "saved_path"), unpacked, ["saved_path"], "inner").select(
+    saved = manifest.select("period", "url", normal_path(F.col("saved_path")).alias("saved_path"))
+    return skew_join(saved, unpacked, ["saved_path"], "inner").select(
         "period", "url", "new_path"
     )

@@ -8,16 +8,19 @@ from pyspark.sql import types as T
 
 from tidemark.operators.harmonise import YEAR
 from tidemark.sources.schemas import MANIFEST_TEXT, MAPPING, text_manifest
-from tidemark.sources.workbooks import read_workbooks, workbook_columns
+from tidemark.sources.workbooks import read_workbooks, workbook_columns, workbook_errors
 
 
 def read_release(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """One release by the ending of its path: a workbook, CSV with header, or Parquet.
 
-    A workbook arrives as text columns; types are given by the target schema later.
+    A workbook arrives as text columns; types are given by the target schema later. One
+    that cannot be read to its end is an error, so that none of its rows is taken.
     Without `schema` a CSV's columns are text too, named by its header line.
     """
     if path.lower().endswith(".xlsx"):
+        if errors := workbook_errors(spark, path):
+            raise ValueError(errors[0])
         names = schema.names if schema else workbook_columns(spark, path)
         return read_workbooks(spark, path, names).select(*[f"`{n}`" for n in names])
     if path.lower().endswith((".csv", ".csv.gz")):
@@ -28,6 +31,8 @@ def read_release(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 def release_schema(spark: SparkSession, path: str) -> T.StructType:
     """Names and types of a release; its rows are not read."""
+    if path.lower().endswith(".xlsx"):
+        return T.StructType([T.StructField(n, T.StringType()) for n in workbook_columns(spark, path)])
     return read_release(spark, path).schema
 
 
@@ -67,7 +72,8 @@ def write_text_manifest(rows: DataFrame, path: str) -> None:
     Written by many tasks; the files' names give the order.
     """
     ordered = rows.repartitionByRange(F.col("seq")).sortWithinPartitions("seq")
-    text_manifest(ordered).write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    text_manifest(ordered).write.mode("overwrite").options(header=True, quote='"', escape='"', **kept).csv(path)
 
 
 def write_harmonised(table: DataFrame, path: str) -> None:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.binary import read_binary
+from tidemark.sources.binary import normal_folder, normal_path, open_file, read_binary
 
 # Built-in number formats that show a date or time.
 _DATE_FORMATS = frozenset([*range(14, 23), *range(45, 48)])
@@ -122,38 +122,67 @@ def _cell_text(cell, shared: list[str], dates: set[int], from_1904: bool) -> str
     return None if kind == "e" else value
 
 
+def _contents(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
+    """Path and bytes of each workbook, opened here unless the batch holds them."""
+    for i, path in enumerate(batch.column(0).to_pylist()):
+        if batch.num_columns > 1:
+            yield path, batch.column(1)[i].as_py()
+        else:
+            with open_file(path) as stream:
+                yield path, stream.read()
+
+
+def _files(files: DataFrame) -> DataFrame:
+    columns = ["path", *[c for c in files.columns if c == "content"]]
+    return files.select(*columns).withColumn("path", normal_path(F.col("path")))
+
+
 def workbook_headers(files: DataFrame) -> DataFrame:
-    """Header of every workbook in `files` (path, content): path, pos, column_name."""
+    """Header of every workbook in `files` (path, maybe content): path, pos, column_name, error.
+
+    A workbook that cannot be read gives one row with `error`.
+    """
+    layout = pa.schema([("path", pa.string()), ("pos", pa.int32()), ("column_name", pa.string()), ("error", pa.string())])
 
     def first_rows(batches):
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                header = next(sheet_rows(content.as_py()), [])
-                named = [(i, n) for i, n in enumerate(header) if n is not None]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path.as_py()] * len(named), pa.string()),
-                        pa.array([i for i, _ in named], pa.int32()),
-                        pa.array([n for _, n in named], pa.string()),
-                    ],
-                    names=["path", "pos", "column_name"],
-                )
+            for path, content in _contents(batch):
+                try:
+                    header = next(sheet_rows(content), [])
+                    rows = [{"path": path, "pos": i, "column_name": n} for i, n in enumerate(header) if n is not None]
+                except Exception as failure:  # a broken workbook must not end the job
+                    rows = [{"path": path, "error": type(failure).__name__}]
+                yield pa.RecordBatch.from_pylist(rows, schema=layout)
 
-    return files.select("path", "content").mapInArrow(first_rows, "path STRING, pos INT, column_name STRING")
+    return _files(files).mapInArrow(first_rows, "path STRING, pos INT, column_name STRING, error STRING")
 
 
 def workbook_columns(spark: SparkSession, path: str) -> list[str]:
     """Column names of the workbooks at or below `path`, each once, in order of place."""
-    headers = workbook_headers(read_binary(spark, path, ".xlsx"))
+    headers = workbook_headers(read_workbook_files(spark, path)).where("error IS NULL")
     first = headers.groupBy("column_name").agg(F.min("pos").alias("pos"))
     return [r["column_name"] for r in first.orderBy("pos", "column_name").collect()]
 
 
+def read_workbook_files(spark: SparkSession, path: str) -> DataFrame:
+    """One workbook, or all at or below a folder: path."""
+    if path.lower().endswith(".xlsx"):
+        return spark.createDataFrame([(normal_folder(spark, path),)], "path STRING")
+    return read_binary(spark, path, ".xlsx")
+
+
+def workbook_errors(spark: SparkSession, path: str) -> list[str]:
+    """What is wrong with the workbooks at or below `path`, one line for each that cannot be read."""
+    broken = decode_workbooks(read_workbook_files(spark, path), []).where("error IS NOT NULL")
+    return [f"{r['error']} in {r['path']}" for r in broken.select("path", "error").collect()]
+
+
 def decode_workbooks(files: DataFrame, columns, missing=MISSING, rows_per_batch: int = 4096) -> DataFrame:
-    """Rows of every workbook in `files` (path, content) as text columns.
+    """Rows of every workbook in `files` (path, maybe content) as text columns.
 
     Result: path, row_no (from 1), `columns` in the given order, error. A column a
-    workbook lacks is null. A file that cannot be read gives one row with `error`.
+    workbook lacks is null. A file that cannot be read to its end gives one row with
+    `error` and no other: it is read through before its first row is handed on.
     """
     columns, missing = list(columns), frozenset(missing)
     schema = T.StructType(
@@ -193,17 +222,18 @@ def decode_workbooks(files: DataFrame, columns, missing=MISSING, rows_per_batch:
 
     def decode(batches):
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
+            for path, content in _contents(batch):
                 try:
-                    yield from decode_one(path.as_py(), content.as_py())
+                    for _ in sheet_rows(content):
+                        pass
                 except Exception as failure:  # a broken workbook must not end the job
-                    empty = {c: None for c in arrow.names}
-                    broken = {**empty, "path": path.as_py(), "error": type(failure).__name__}
-                    yield pa.RecordBatch.from_pylist([broken], schema=arrow)
+                    yield pa.RecordBatch.from_pylist([{"path": path, "error": type(failure).__name__}], schema=arrow)
+                    continue
+                yield from decode_one(path, content)
 
-    return files.select("path", "content").mapInArrow(decode, schema)
+    return _files(files).mapInArrow(decode, schema)
 
 
 def read_workbooks(spark: SparkSession, path: str, columns, missing=MISSING) -> DataFrame:
     """Rows of the workbooks at or below `path`, see `decode_workbooks`."""
-    return decode_workbooks(read_binary(spark, path, ".xlsx"), columns, missing)
+    return decode_workbooks(read_workbook_files(spark, path), columns, missing)

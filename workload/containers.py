@@ -110,7 +110,7 @@ def workbook_ingest(spark, sf):
 
 
 def workbook_header_names(spark, sf):
-    return workbook_headers(workbooks(spark, sf)).select("path", F.col("pos").cast("long").alias("pos"), "column_name")
+    return workbook_headers(workbooks(spark, sf)).where("error IS NULL").select("path", F.col("pos").cast("long").alias("pos"), "column_name")
 
 
 def harmonise_workbooks(spark, sf):
