@@ -137,3 +137,22 @@ def test_types_of_the_anchor(spark):
     release = spark.createDataFrame([("7", "n"), ("x", None)], "ID STRING, NAME STRING")
     kept = harmonise({1: release}, {"ID": "ID", "NAME": "NAME"}, T.StructType(TARGET.fields))
     assert sorted((r.ID or 0) for r in kept.collect()) == [0, 7]
+
+
+def test_release_folders_are_direct_children(spark, tmp_path):
+    from tidemark.plans.harmonise_run import release_files
+
+    for place in ("2020", "old/2020", "2021/more", "2021"):
+        (tmp_path / place).mkdir(parents=True, exist_ok=True)
+        (tmp_path / place / f"{place.replace('/', '_')}.xlsx").write_bytes(b"")
+    assert release_files(spark, f"file:{tmp_path}/") == {2020: f"file:{tmp_path}/2020/2020.xlsx", 2021: f"file:{tmp_path}/2021/2021.xlsx"}
+
+
+def test_a_text_anchor_needs_declared_types(spark, tmp_path):
+    import pytest
+
+    from tidemark.plans.harmonise_run import harmonise_files
+
+    (tmp_path / "2020.csv").write_text("ID\n1\n")
+    with pytest.raises(ValueError, match="declare the types"):
+        harmonise_files(spark, {2020: str(tmp_path / "2020.csv")}, str(tmp_path / "m.csv"), 2020, str(tmp_path / "out"))

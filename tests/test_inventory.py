@@ -144,3 +144,16 @@ def test_reassigning(spark, strict):
     if not strict:
         expected["/d/1996/1997_table.xls"] = ("/d/1997/1997_table.xls", True)
     assert got == expected
+
+
+def test_a_key_of_a_few_thousandths_is_salted_on_many_partitions(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        rows = spark.range(100_000).selectExpr("if(id % 250 = 0, -1, id) AS k", "id")
+        found = skew.hot_keys(rows, ["k"]).collect()
+        wanted = rows.where("k = -1").selectExpr("xxhash64(k) AS h").first()["h"]
+        assert [(r["_hash"], r["_salts"]) for r in found] == [(wanted, 5)]
+        assert skew.hot_keys(rows.limit(0), ["k"]) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

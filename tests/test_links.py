@@ -52,3 +52,30 @@ def test_a_long_list_of_releases_is_joined_to_the_links(spark, monkeypatch):
     assert sorted(map(tuple, short)) == sorted(map(tuple, long)) == [
         ("2001", f"{SITE}/x.pdf", "x"), ("2002", f"{SITE}/x.pdf", "x"), ("2002", f"{SITE}/y.zip", "y"),
     ]
+
+
+def test_every_page_is_read_by_one_meaning(spark):
+    """The expressions and the parser agree; what they could not agree on goes to the parser."""
+    from tidemark.functions.html import _AnchorReader
+    from tidemark.operators.links import CATEGORY_HEADER, page_anchors
+
+    rare = "&copy;"
+    kinds = [
+        '<template><a href="x.pdf">T</a></template>', "<a href>Yearbook 2003</a>", '<a href="">e</a>', '<a class="c" href>b</a>', "<A HREF=x.pdf>up</A>",
+        '<textarea><a href="t.pdf">t</a></textarea><a href="u.pdf">u</a>', '<a href="v.pdf">v<template>hidden</template></a>',
+        '<table><tr><td headers="view-field-data-categories-table-column">Cat</td><td><a href="r.pdf">r</a></td></tr></table>',
+        "<table><tr><td><table><tr><td><a href='n.pdf'>n</a></td></tr></table></td></tr></table>", '<a href="q.pdf" title="href">q</a>',
+    ]
+    rows = [k + extra for k in kinds for extra in ("", rare)]
+    found = {}
+    for r in page_anchors(pages(spark, *rows), ["page_id"]).collect():
+        found.setdefault(r["page_id"], []).append((r["pos"], r["href"], r["title"], r["category"]))
+    for i, row in enumerate(rows):
+        want = [(n, a["href"], a["title"], a["category"]) for n, a in enumerate(_AnchorReader(CATEGORY_HEADER).anchors(row))]
+        assert sorted(found.get(i, [])) == want, row
+
+
+def test_missing_pages_have_no_anchors(spark):
+    from tidemark.operators.links import page_anchors
+
+    assert page_anchors(spark.createDataFrame([(1, None), (2, "")], "page_id INT, html STRING"), ["page_id"]).count() == 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import base_name, stored_name, versioned_name
 from tidemark.functions.text import blank_to_null, strip, to_long
-from tidemark.operators.skew import hot_key_hashes, skew_join
+from tidemark.operators.skew import hot_keys, skew_join
 from tidemark.session import BROADCAST_ROWS, fits
 from tidemark.sources.binary import hash_files, normal_path
 from tidemark.sources.schemas import KEY
@@ -253,7 +253,7 @@ def register_existing(
     probed = links.withColumn("path", expected_path(base_dir))
     unknown = probed.join(known, KEY, "left_anti")
     # Looked for among all links, so that the anti-join runs once.
-    found = skew_join(unknown, _digests(files, unknown.select("path")), ["path"], "inner", hot=hot_key_hashes(probed, ["path"]))
+    found = skew_join(unknown, _digests(files, unknown.select("path")), ["path"], "inner", hot=hot_keys(probed, ["path"]))
     return found.select(
         F.lit(source_id).alias("source_id"),
         *KEY,

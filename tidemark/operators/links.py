@@ -27,7 +27,7 @@ def page_anchors(
 ) -> DataFrame:
     """One row per anchor with an href: `keys`, pos, href, title, category."""
     keys = list(keys)
-    cut = pages.select(*keys, F.col(html).alias("_html")).withColumn(
+    cut = pages.select(*keys, F.col(html).alias("_html")).where("_html IS NOT NULL").withColumn(
         "_segments", F.expr(H.page_segments("_html", category_header))
     )
     # A column of its own, so that the test runs once per page and branch.

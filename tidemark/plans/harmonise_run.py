@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.operators.audit import audit_columns, headers_of, mapping_for, pick_release_files, unmapped_report
 from tidemark.operators.harmonise import IGNORED_COLUMNS, REJECTED, YEAR, harmonise, resolve_columns
 from tidemark.operators.inventory import list_paths
+from tidemark.sources.binary import normal_folder
 from tidemark.sources.tables import read_mapping, read_release, release_schema, write_harmonised, write_unmapped_report
 
 
@@ -29,14 +31,18 @@ class HarmoniseReport:
 
 
 def release_files(spark: SparkSession, folder: str, releases=None) -> dict[int, str]:
-    """Main file of each release folder ``<folder>/<year>``; the list is one entry per year."""
+    """Main file of each release folder ``<folder>/<year>``; the list is one entry per year.
+
+    Only files directly in such a folder count, and only folders directly in `folder`.
+    """
+    given, folder = folder.rstrip("/"), normal_folder(spark, folder)
     files = list_paths(spark, folder).where("NOT is_dir")
-    year = F.regexp_extract("path", r"/(\d{4})/[^/]*\z", 1).try_cast("int")
+    year = F.regexp_extract("path", rf"\A{re.escape(folder.rstrip('/'))}/(\d{{4}})/[^/]*\z", 1).try_cast("int")
     listing = files.select(
         year.alias("release"), F.regexp_extract("path", r"[^/]*\z", 0).alias("file_name")
     ).where("release is not null")
     picked = pick_release_files(listing, releases=releases).where("file_name is not null")
-    return {r["release"]: f"{folder.rstrip('/')}/{r['release']}/{r['file_name']}" for r in picked.collect()}
+    return {r["release"]: f"{given}/{r['release']}/{r['file_name']}" for r in picked.collect()}
 
 
 def harmonise_files(
@@ -54,9 +60,12 @@ def harmonise_files(
 
     A release that cannot be opened is left out and named in the report; a value that
     does not fit its column is counted. Counts are observed while the table is
-    written, so the releases are read once.
+    written, so the releases are read once. Without `target` the anchor's own types
+    count; an anchor that arrives as text has none, so a target must be declared then.
     """
     result = HarmoniseReport()
+    if target is None and files[anchor].lower().endswith((".xlsx", ".csv", ".csv.gz")):
+        raise ValueError(f"{files[anchor]} holds text only: declare the types of the target")
     target = target or release_schema(spark, files[anchor])
     mapping_table = read_mapping(spark, mapping_path)
     releases: dict[int, DataFrame] = {}

@@ -19,6 +19,17 @@ from tidemark.sources.binary import normal_path
 from tidemark.sources.ledger_store import LedgerStore
 
 
+@dataclass
+class ReleaseRun:
+    """What a whole run did: counters, rows the cleanup kept or not, releases without a page, moves."""
+
+    summary: DataFrame
+    cleaned: DataFrame
+    failed: DataFrame
+    members: DataFrame | None = None
+    moves: DataFrame | None = None
+
+
 @dataclass
 class LedgerRun:
     """What a run did, as tables."""
@@ -52,15 +63,18 @@ def clean_ledger(store: LedgerStore, paths: DataFrame) -> DataFrame:
     The next snapshot is written once, its rows counted on the way; it takes the ledger's
     place only if a row was removed or repaired.
     """
-    spark, seen = store.spark, Observation("clean")
-    judged = reconcile_status(store.read(), paths)
+    ledger, layout = store.read(), "status STRING, row_count BIGINT"
+    if ledger.isEmpty():
+        return store.spark.createDataFrame([], layout)
+    snapshot, seen = store.following(), Observation("clean")
+    judged = reconcile_status(ledger, paths)
     kinds = ("kept", "repaired", "removed")
     judged = judged.observe(seen, *[F.count_if(F.col("status") == k).alias(k) for k in kinds])
-    snapshot = store.stage(judged.where("status <> 'removed'").drop("status"))
+    store.stage(judged.where("status <> 'removed'").drop("status"), snapshot)
     counts = seen.get
     if counts["repaired"] or counts["removed"]:
         store.commit(snapshot)
-    return spark.createDataFrame([(k, counts[k]) for k in kinds if counts[k]], "status STRING, row_count BIGINT")
+    return store.spark.createDataFrame([(k, counts[k]) for k in kinds if counts[k]], layout)
 
 
 def run_ledger(
@@ -111,3 +125,41 @@ def refile_combined(store: LedgerStore, inventory: DataFrame, base_dir: str, **o
     if not followed.isEmpty():
         store.replace(repoint(store.read(), followed))
     return moves
+
+
+def run_release_ledger(
+    store: LedgerStore,
+    index_pages: DataFrame,
+    release_pages: DataFrame,
+    observations: DataFrame,
+    index_url: str,
+    site_root: str,
+    base_dir: str,
+    source_id: str,
+    batch: int,
+    paths: DataFrame,
+    archives: DataFrame | None = None,
+    combined: str | None = None,
+    mode: str = SAFE,
+    **options,
+) -> ReleaseRun:
+    """One run from the crawled pages to the ledger.
+
+    Cleanup against `paths` (path, is_dir), discovery, links, plan, appending what is new,
+    unpacking the `archives` that this batch brought in and following them, the summary,
+    and re-filing of the `combined` release. A release whose page is missing or empty is
+    reported in `failed` (period, url) and the others go on. Running it again over the same
+    pages and observations changes nothing.
+    """
+    cleaned = clean_ledger(store, paths)
+    releases = discover_releases(index_pages, index_url)
+    named = releases.select(F.col("year").cast("string").alias("period"), "url").distinct()
+    fetched = release_pages.where("html IS NOT NULL AND html <> ''").select("url").distinct()
+    failed = materialise(named.join(fetched, "url", "left_anti"))
+    found = links_of_crawl(index_pages, release_pages, index_url, site_root, **options)
+    found = found.groupBy("period", "url").agg(F.min("filename").alias("filename"))
+    files = paths.where("NOT is_dir").select("path")
+    done = run_ledger(store, found, observations, base_dir, source_id, batch, files, mode)
+    members = unpack_archives(store, archives, batch) if archives is not None else None
+    moves = refile_combined(store, paths, base_dir, combined=combined) if combined else None
+    return ReleaseRun(done.summary, cleaned, failed, members, moves)

@@ -32,10 +32,21 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{_application_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def _stored(spark: SparkSession, path: str):
+    """A path as the file system that holds it sees it, and that file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    found, system = _stored(spark, path)
+    return system.exists(found)
+
+
 def remove_tables(spark: SparkSession) -> None:
     """Remove every intermediate table of this application; none may be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    found, system = _stored(spark, _application_dir(spark))
+    system.delete(found, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:

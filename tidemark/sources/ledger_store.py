@@ -9,11 +9,11 @@ number first. One writer at a time.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import path_exists
 from tidemark.sources.schemas import MANIFEST
 
 # A rewrite keeps no batch folders apart.
@@ -26,10 +26,7 @@ class LedgerStore:
         self.root = root.rstrip("/")
 
     def _exists(self, path: str) -> bool:
-        try:
-            return bool(self.spark.read.schema("x INT").parquet(path).columns)
-        except AnalysisException:
-            return False
+        return path_exists(self.spark, path)
 
     def _snapshot(self) -> int:
         path = f"{self.root}/commits"
@@ -76,11 +73,13 @@ class LedgerStore:
         number.write.mode("append").parquet(self._appended(snapshot))
         self._write(rows.withColumn("seq", F.lit(batch).cast("long")), snapshot, batch)
 
-    def stage(self, rows: DataFrame) -> int:
-        """Write `rows` as the next snapshot, which nobody sees before it is committed."""
-        following = self._snapshot() + 1
-        self._write(rows, following, _REWRITTEN)
-        return following
+    def following(self) -> int:
+        """Number of the next snapshot."""
+        return self._snapshot() + 1
+
+    def stage(self, rows: DataFrame, snapshot: int) -> None:
+        """Write `rows` as snapshot `snapshot`, which nobody sees before it is committed."""
+        self._write(rows, snapshot, _REWRITTEN)
 
     def commit(self, snapshot: int) -> None:
         line = self.spark.range(1).select(F.lit(snapshot).cast("int").alias("snapshot"))
@@ -88,4 +87,6 @@ class LedgerStore:
 
     def replace(self, rows: DataFrame) -> None:
         """Put `rows` in place of the whole ledger; also compacts it."""
-        self.commit(self.stage(rows))
+        snapshot = self.following()
+        self.stage(rows, snapshot)
+        self.commit(snapshot)

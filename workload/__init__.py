@@ -1,5 +1,5 @@
 """Queries over the driver's tables, each with SQL that gives the same rows."""
 
-from workload import containers, ledger, lineage, links, releases, streams
+from workload import containers, files, ledger, lineage, links, releases, streams
 
-AREAS = (releases, links, ledger, lineage, containers, streams)
+AREAS = (releases, files, links, ledger, lineage, containers, streams)

@@ -16,7 +16,7 @@ from tidemark.operators.ledger import (
     run_summary,
     to_fetch,
 )
-from tidemark.plans.ledger_run import links_of_crawl, run_ledger
+from tidemark.plans.ledger_run import links_of_crawl, run_ledger, run_release_ledger
 from tidemark.session import materialise, shared_dir
 from tidemark.sources.ledger_store import LedgerStore
 from tidemark.sources.tables import read_text_manifest, write_text_manifest
@@ -258,6 +258,26 @@ def incremental_summary(spark, sf):
     return runs[0].summary.withColumn("run", F.lit(0)).unionByName(runs[1].summary.withColumn("run", F.lit(1)))
 
 
+def release_run(spark, sf):
+    """Two whole runs over the same crawl and files; every seventh page was not fetched.
+
+    The second run finds nothing new. What is given are both runs' counters, the ledger's
+    rows after each, and the releases that failed.
+    """
+    index, pages = crawl(spark, sf)
+    pages = pages.withColumn("html", F.when(F.col("page_id") % 7 != 3, F.col("html")))
+    store = LedgerStore(spark, shared_dir(spark, "ledger"))
+    sightings = materialise(_sightings(crawl_links(spark, sf), 0))
+    out = None
+    for run in (0, 1):
+        there = materialise(store.read().select(F.col("saved_path").alias("path"), F.lit(False).alias("is_dir")))
+        done = run_release_ledger(store, index, pages, sightings, f"{SITE}/topics/yearbook", SITE, BASE, SOURCE, run, there)
+        counted = done.summary.select(F.lit(run).alias("run"), "*").crossJoin(store.read().agg(F.count("*").alias("row_count")))
+        counted = counted.crossJoin(done.failed.agg(F.count("*").alias("failed")))
+        out = materialise(counted) if out is None else out.unionByName(materialise(counted))
+    return out
+
+
 QUERIES = {
     "manifest_latest": lambda spark, sf: latest_manifest(manifest(spark, sf)).select("period", "url", "version", "seq", "etag"),
     "plan_fast": _decisions("fast"),
@@ -277,6 +297,7 @@ QUERIES = {
     "crawl_links": crawl_links,
     "incremental_ledger": incremental_ledger,
     "incremental_summary": incremental_summary,
+    "release_run": release_run,
 }
 
 _LEDGER = f"""
@@ -406,6 +427,14 @@ ORACLE = {
                '/data/' || period || '/' || CASE WHEN version = 1 THEN name ELSE regexp_replace(name, '[.]', '.v2.') END AS saved_path,
                sha256(content) AS sha256, seq
         FROM (SELECT *, split_part(split_part(url, '?', 1), '/', -1) AS name FROM versions)""",
+    "release_run": f"""WITH {_CRAWLED},
+        fetched AS (SELECT * FROM found WHERE (p_partkey // 100) % 7 <> 3),
+        lost AS (SELECT count(DISTINCT p_partkey // 100) AS failed FROM part WHERE (p_partkey // 100) % 7 = 3),
+        kept AS (SELECT count(*) FILTER (p_partkey % 50 <> 7) AS good, count(*) FILTER (p_partkey % 50 = 7) AS bad,
+                 count(*) FILTER (p_partkey % 50 <> 7 AND p_partkey % 9 = 8) AS unseen FROM fetched)
+        SELECT 0 AS run, good AS downloaded, 0 AS new_versions, 0 AS skipped, 0 AS unchanged, bad AS errors, good AS row_count, failed
+        FROM kept, lost
+        UNION ALL SELECT 1, 0, 0, good - unseen, unseen, bad, good, failed FROM kept, lost""",
     "incremental_summary": f"""WITH {_CRAWLED}
         SELECT 0 AS run, count(*) FILTER (p_partkey % 50 <> 7) AS downloaded, 0 AS new_versions, 0 AS skipped, 0 AS unchanged,
                count(*) FILTER (p_partkey % 50 = 7) AS errors FROM found

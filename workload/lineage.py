@@ -99,6 +99,15 @@ def collision_names(spark, sf):
     return free_names(incoming, taken).select("item", "new_name")
 
 
+def collision_kinds(spark, sf):
+    """Files without an ending and folders under one name; some of the plain names are taken."""
+    parts = table(spark, sf, "part")
+    named = "concat('/parts/', p_brand) AS folder", "concat('n', p_size) AS name"
+    incoming = parts.selectExpr(*named, "p_partkey % 2 = 0 AS is_dir", "p_partkey AS item")
+    taken = parts.where("p_partkey % 5 = 0").selectExpr(*named)
+    return free_names(incoming, taken).select("item", "new_name")
+
+
 def ranks_in_status(spark, sf):
     """Numbering inside three very large groups."""
     orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderdate", "o_orderkey")
@@ -114,6 +123,7 @@ QUERIES = {
     "reassign_periods_strict": _reassigned(True),
     "reassigned_ledger": reassigned_ledger,
     "collision_names": collision_names,
+    "collision_kinds": collision_kinds,
     "ranks_in_status": ranks_in_status,
 }
 
@@ -180,6 +190,13 @@ ORACLE = {
             FROM incoming i JOIN grouped USING (p_brand, head, tail))
         SELECT item, CASE WHEN slot = 0 THEN head || tail ELSE head || '_' || j || tail END AS new_name
         FROM ranked LEFT JOIN free USING (p_brand, head, tail, slot)""",
+    "collision_kinds": """
+        WITH named AS (
+            SELECT p_partkey AS item, 'n' || p_size AS name,
+                   row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey)
+                       - (NOT bool_or(p_partkey % 5 = 0) OVER (PARTITION BY p_brand, p_size))::INT AS slot
+            FROM part)
+        SELECT item, CASE WHEN slot = 0 THEN name ELSE name || '_' || slot END AS new_name FROM named""",
     "ranks_in_status": """
         SELECT o_orderstatus, o_orderkey,
                row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders""",

@@ -12,7 +12,6 @@ from tidemark.sources.schemas import INT, LONG, TEXT, table as layout
 from tidemark.sources.tables import write_harmonised
 from workload.data import table
 
-YEARS = range(1995, 2002)
 CASES = layout(CASE_ID=LONG, CASE_STATUS=TEXT, PRIORITY=TEXT, CUSTOMER=LONG, TOTAL=T.DoubleType())
 CASE_MAPPING = {
     "CASE_NO": "CASE_ID",
@@ -27,6 +26,12 @@ CASE_MAPPING = {
 }
 
 
+def years(spark, sf):
+    """The years that `orders` holds; one number per release."""
+    found = table(spark, sf, "orders").select(F.year("o_orderdate").alias("year")).distinct()
+    return sorted(r["year"] for r in found.collect())
+
+
 def slices(spark, sf, columns):
     """One release per year of `orders`; `columns` gives the SQL columns of a year."""
     orders = table(spark, sf, "orders")
@@ -34,7 +39,7 @@ def slices(spark, sf, columns):
         y: orders.where(
             f"o_orderdate >= timestamp_ntz'{y}-01-01' and o_orderdate < timestamp_ntz'{y + 1}-01-01'"
         ).selectExpr(*columns(y))
-        for y in YEARS
+        for y in years(spark, sf)
     }
 
 
@@ -87,8 +92,7 @@ def harmonised_sink(spark, sf):
     write_harmonised(drifted_cases(spark, sf), path)
     stored = spark.read.parquet(path)
     return (
-        stored.where("SOURCE_YEAR >= 1998")
-        .groupBy("SOURCE_YEAR", "CASE_STATUS")
+        stored.groupBy("SOURCE_YEAR", "CASE_STATUS")
         .agg(F.count("PRIORITY").alias("priorities"), F.max("CASE_ID").alias("last_case"))
     )
 
@@ -164,13 +168,11 @@ QUERIES = {
     "release_file_pick": release_file_pick,
 }
 
-_CASES = " UNION ALL ".join(
-    f"""SELECT o_orderkey AS "CASE_ID", o_orderstatus AS "CASE_STATUS",
-    {'o_orderpriority' if y >= 1998 else 'CAST(NULL AS VARCHAR)'} AS "PRIORITY",
-    o_custkey AS "CUSTOMER", o_totalprice AS "TOTAL", {y} AS "SOURCE_YEAR"
-    FROM orders WHERE year(o_orderdate) = {y}"""
-    for y in YEARS
-)
+_CASES = """
+    SELECT o_orderkey AS "CASE_ID", o_orderstatus AS "CASE_STATUS",
+           CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS "PRIORITY",
+           o_custkey AS "CUSTOMER", o_totalprice AS "TOTAL", CAST(year(o_orderdate) AS INTEGER) AS "SOURCE_YEAR"
+    FROM orders"""
 
 ORACLE = {
     "harmonise_orders_by_year": _CASES,
@@ -194,8 +196,8 @@ ORACLE = {
         FROM orders GROUP BY 1""",
     "harmonised_sink": """
         SELECT CAST(year(o_orderdate) AS INTEGER) AS "SOURCE_YEAR", o_orderstatus AS "CASE_STATUS",
-               count(o_orderpriority) AS priorities, max(o_orderkey) AS last_case
-        FROM orders WHERE year(o_orderdate) >= 1998 GROUP BY 1, 2""",
+               count(CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END) AS priorities, max(o_orderkey) AS last_case
+        FROM orders GROUP BY 1, 2""",
     "unmapped_columns": """
         SELECT o_orderstatus || '_' || o_custkey AS "COLUMN_NAME",
                string_agg(DISTINCT CAST(year(o_orderdate) AS VARCHAR), ', ' ORDER BY CAST(year(o_orderdate) AS VARCHAR))
