@@ -14,9 +14,10 @@ def components(edges: DataFrame) -> DataFrame:
     `edges` has two long columns, `a` and `b`. Every round links each node's greater neighbours
     to its least neighbour, then each node to the least of its lesser neighbours, until nothing
     changes (large-star, small-star). Neighbours are never gathered: a node's least neighbour is
-    an aggregate with map-side combining, joined back to the edges, and a node with very many
-    edges is a skewed key that Spark splits. Each round's edges are written to the shared
-    folder; what reaches the driver is their number and a checksum.
+    an aggregate with map-side combining. It is written before it is joined back to the edges, so
+    that both sides are shuffled for the join and Spark can split a node with very many edges.
+    Each round's edges are written to the shared folder as well; what reaches the driver is their
+    number and a checksum.
     """
     current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     seen = None
@@ -27,8 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
             return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen = now
         both = current.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(current.select("b", "a"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialise(large)
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         current = small.unionAll(least.select("a", F.col("m").alias("b"))).distinct()

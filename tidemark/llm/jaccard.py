@@ -169,14 +169,14 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     signed = materialise(rows.select("doc_id", "k", signature("text").alias("s")).select("doc_id", "k", "s.*"))
     nodes = signed.where("node IS NOT NULL").dropDuplicates(["node"])
     keys = nodes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.xxhash64("band", "hash").alias("bucket"))
-    hubs = keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
+    hubs = materialise(keys.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"))
     stars = keys.join(hubs, "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = components(stars)
     members = groups.unionAll(groups.select("root", "root").distinct()).select("node", F.col("root").alias("component"))
     members = materialise(members.join(nodes.select("node", "n_shingles", "doc_id", "k"), "node"))
     sized = members.groupBy("component").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    members = null_safe_join(members, sized.select("component", blocks.alias("blocks")), ["component"])
+    members = members.join(materialise(sized.select("component", blocks.alias("blocks"))), "component")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     members = members.select("k", "doc_id", "node", "component", "blocks", "block")
     total = members.count()
@@ -212,9 +212,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     found = materialise(similar(docs, text, doc_id, threshold))
     worded = found.where("node IS NOT NULL")
-    # Both with map-side combining: one row per group or set and task is shuffled.
-    classes = worded.groupBy("root").agg(F.min("doc_id").alias("class_id")).withColumnRenamed("root", "of")
-    copies = worded.groupBy("node").agg(F.count("*").alias("n_copies")).withColumnRenamed("node", "set")
+    # Both with map-side combining, and written, so that Spark can split a large group in the joins.
+    classes = materialise(worded.groupBy("root").agg(F.min("doc_id").alias("class_id")).withColumnRenamed("root", "of"))
+    copies = materialise(worded.groupBy("node").agg(F.count("*").alias("n_copies")).withColumnRenamed("node", "set"))
     rows = found.join(classes, F.col("root") == F.col("of"), "left").join(copies, F.col("node") == F.col("set"), "left")
     alone = F.col("node").isNull()
     return rows.select("doc_id", "k", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "n_links", F.coalesce("n_copies", F.lit(1)).alias("n_copies"), "n_shingles")
