@@ -101,7 +101,7 @@ def test_anchors_of_odd_and_plain_pages(spark):
     frame = spark.createDataFrame([(i, p[0]) for i, p in enumerate(PAGES)], "id INT, html STRING")
     cut = frame.withColumn("s", F.expr(H.page_segments("html", "x")))
     read = cut.select(
-        "id", F.expr(H.needs_parser("s")), F.expr(H.plain_anchors("s")), H.parsed_anchors(F.col("html"), "x")
+        "id", F.expr(H.needs_parser("html", "s")), F.expr(H.plain_anchors("s")), H.parsed_anchors(F.col("html"), "x")
     ).orderBy("id")
     for (_, odd, expected), row in zip(PAGES, read.collect()):
         assert row[1] == odd
@@ -114,7 +114,7 @@ def test_both_ways_agree_on_real_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     cut = pages.withColumn("s", F.expr(H.page_segments("html", "x")))
     both = cut.select(
-        F.expr(H.needs_parser("s")).alias("odd"), F.expr(H.plain_anchors("s")).alias("a"), H.parsed_anchors(F.col("html"), "x").alias("b")
+        F.expr(H.needs_parser("html", "s")).alias("odd"), F.expr(H.plain_anchors("s")).alias("a"), H.parsed_anchors(F.col("html"), "x").alias("b")
     )
     assert both.where("NOT odd AND a <> b").count() == 0
     assert both.where("NOT odd").count() > 0
