@@ -204,8 +204,10 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     limits = materialise(bands(rows))
     # As many rows as there are languages, and counted before it is broadcast.
     own = small_side(limits.where("group <> '*'"))
-    common = limits.where("group = '*'").select(*[F.col(c).alias(f"common_{c}") for c in limits.columns])
-    rows = rows.withColumn("group", _group(F.col("lang"))).join(own, "group", "left").join(F.broadcast(common), F.lit(True), "left")
+    # The band of all languages is one row.
+    common = F.broadcast(limits.where("group = '*'").select(*[F.col(c).alias(f"common_{c}") for c in limits.columns]))
+    rows = rows.withColumns({"group": _group(F.col("lang")), "common_group": F.lit("*")})
+    rows = rows.join(own, "group", "left").join(common, "common_group", "left")
     inside = F.lit(True)
     for name in MEASURES:
         low, high = (F.coalesce(f"{name}_{end}", f"common_{name}_{end}") for end in ("low", "high"))
