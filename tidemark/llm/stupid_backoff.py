@@ -23,7 +23,7 @@ from tidemark.llm.common import row_key, word_count
 ORDER = 2
 BACKOFF = 0.4
 LEAST_COUNT = 2  # n-grams of two words or more count as unseen below this
-BATCH_CHARS = 12_000_000  # what a task holds of the corpus at a time, unless a text is longer
+BATCH_CHARS = 16_000_000  # what a task holds of the corpus at a time, unless a text is longer
 
 _MEMO = 500_000  # words whose hashes a worker remembers
 _LISTED = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("batch", T.IntegerType()), T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
