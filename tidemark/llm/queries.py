@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, pii, stupid_backoff, toxicity
+from tidemark.llm import decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, stupid_backoff, toxicity
 from tidemark.llm.common import bucket_of, word_count
 
 
@@ -77,6 +77,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "removed_words", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"), "kept_text")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages, word by word, that occurred before."""
+    return passage_dedup.dedup_passages(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "kept_text", "removed_words")
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words in every document."""
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -172,6 +177,7 @@ QUERIES = {
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
+    "op9_passages": op9_passages,
     "op10_decontamination": op10_decontamination,
 }
 
