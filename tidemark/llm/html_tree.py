@@ -27,7 +27,11 @@ _ENDS = {
 # Blocks nested deeper are read as siblings, each still a block of its own.
 DEEPEST = 100
 
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""")
+# A quote counts only where a value begins; any other is a character of the tag, which ends at its own ">".
+_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+_VALUE_OR_TAG = re.compile(r"""=\s*+(?:"[^"]*+"|'[^']*+')|<""")
+# Of these the rest of the page is code if they have no end.
+_CODE = frozenset(["script", "style"])
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _LETTERS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
@@ -68,9 +72,15 @@ def _block(name: str, attributes: str) -> Block:
 
 
 def parse(html: str) -> Block:
-    """The tree below a nameless root. Linear in the page; markup cut off at its end is dropped."""
+    """The tree below a nameless root. Linear in the page.
+
+    A tag cut off at the page's end is dropped, and so are a comment, a script and a style sheet
+    without an end; any other "<" that begins no tag is text.
+    """
     root = Block("")
     stack, linked, at = [root], False, 0
+    endless: set[str] = set()  # elements of which no end tag follows
+    no_tags: set[int] = set()  # where a tag begins that never ends
 
     def text(piece: str) -> None:
         if piece:
@@ -90,19 +100,30 @@ def parse(html: str) -> Block:
             at = tag_at + 1
             continue
         text(html[at:tag_at])
-        match = _TAG.match(html, tag_at)
+        match = None if tag_at in no_tags else _TAG.match(html, tag_at)
         if not match:
-            end = html.find(">", tag_at) if follower == "/" else -1
-            if end < 0:
+            end = html.find(">", tag_at)
+            if end < 0 or html.find("<", tag_at + 1) < 0:
                 return root
-            at = end + 1
+            if follower == "/":
+                at = end + 1
+                continue
+            if tag_at not in no_tags:  # what stands in it outside of values does not end either
+                no_tags.update(m.start() for m in _VALUE_OR_TAG.finditer(html, tag_at) if m.group() == "<")
+            text("<")
+            at = tag_at + 1
             continue
         at, closing, name = match.end(), match.group(1), match.group(2).lower()
         if name in RAW and not closing:
-            end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
-            if not end:
+            if name in ("svg", "math") and match.group(3).endswith("/"):
+                continue
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
+            if end:
+                at = html.find(">", end.start()) + 1 or len(html)
+            elif name in _CODE and not match.group(3).endswith("/"):
                 return root
-            at = html.find(">", end.start()) + 1 or len(html)
+            else:
+                endless.add(name)
         elif name in INLINE:
             if name == "a":
                 linked = not closing
