@@ -1,5 +1,7 @@
 """Nothing of a page is lost by broken markup, depth, width or what else its host has."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,3 +37,35 @@ def test_broken_tags(page, text):
 def test_endless_tags_are_read_in_linear_time():
     assert "end" in extracted('<p>a</p><i x=">" ' * 1 + '<i x=">" ' * 100_000 + "<p>end")
     assert extracted("<template>" * 100_000 + "<p>end") == "end"
+
+
+def test_deep_blocks_close_themselves():
+    page = "<div>" * 94 + "<article><p>first</p>" + "<div>" * 10 + "deep" + "</div>" * 10 + "<p>rest of the article</p></article>" + "</div>" * 94 + "<p>outside</p>"
+    assert extracted(page) == "first\n\ndeep\n\nrest of the article"
+
+
+def plain_alignment(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < len(a) or j < len(b):
+        if i < len(a) and j < len(b) and a[i] == b[j]:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
+            out.append((i, None))
+            i += 1
+        else:
+            out.append((None, j))
+            j += 1
+    return out
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 60, 450])
+def test_rows_are_aligned_alike_at_every_width(size):
+    deal = random.Random(size)
+    a, b = (["pdas"[deal.randrange(4)] for _ in range(size + extra)] for extra in (0, 7))
+    assert html_main._aligned(a, b) == plain_alignment(a, b)
+    assert html_main._aligned(b, a) == plain_alignment(b, a)

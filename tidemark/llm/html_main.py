@@ -37,7 +37,6 @@ _NO_ARTICLE_MARKS = frozenset(
 _ARTICLE_MARKS = frozenset("articlebody article story post entry content main".split())
 
 SALT = 32  # partial wrappers of a host are merged in so many groups first
-WIDEST = 400  # children of a block above which they are aligned by their kind instead of their order
 # A text is the template's if this many pages, and this share of the host's, agree on it ...
 TEMPLATE_PAGES, TEMPLATE_SHARE = 8, 0.6
 TEMPLATE_CHARS = 300  # ... and it is shorter than this
@@ -125,30 +124,29 @@ def _aligned(a: list[str], b: list[str]) -> list[tuple[int | None, int | None]]:
     """Both rows of signs as one row of places in either, along a longest common subsequence."""
     if a == b:
         return [(i, i) for i in range(len(a))]
-    if max(len(a), len(b)) > WIDEST:  # by kind: the n-th of a sign meets the n-th of the same sign
-        where: dict[str, list[int]] = {}
-        for i, sign in enumerate(a):
-            where.setdefault(sign, []).append(i)
-        taken, out = set(), []
-        for j, sign in enumerate(b):
-            if where.get(sign):
-                i = where[sign].pop(0)
-                taken.add(i)
-                out.append((i, j))
-            else:
-                out.append((None, j))
-        return [(i, None) for i in range(len(a)) if i not in taken] + out
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    # Row by row from the end, a bit for each place of `b`, counted from its end: a bit that is not
+    # set says that the subsequence grows by one there.
+    where: dict[str, int] = {}
+    for j, sign in enumerate(reversed(b)):
+        where[sign] = where.get(sign, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    rows = [full] * (len(a) + 1)
     for i in range(len(a) - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(len(b) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
+        row = rows[i + 1]
+        met = row & where.get(a[i], 0)
+        rows[i] = ((row + met) | (row - met)) & full
+
+    def best(i: int, j: int) -> int:
+        """Length of the longest common subsequence of what follows in both."""
+        rest = len(b) - j
+        return rest - (rows[i] & ((1 << rest) - 1)).bit_count()
+
     out, i, j = [], 0, 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i] == b[j]:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
+        elif j == len(b) or i < len(a) and best(i + 1, j) >= best(i, j + 1):
             out.append((i, None))
             i += 1
         else:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -81,19 +82,43 @@ def parse(html: str) -> Block:
     stack, linked, at = [root], False, 0
     endless: set[str] = set()  # elements of which no end tag follows
     no_tags: set[int] = set()  # where a tag begins that never ends
+    deep: list[str] = []  # open blocks below the deepest, inside the last one of the stack
+    in_deep: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         if piece:
             stack[-1].parts.append((unescape(piece) if "&" in piece else piece, linked))
 
+    def end(own, within) -> None:
+        """Ends the innermost open block called like one of `own`, unless one of `within` is met first."""
+        if any(in_deep[n] for n in own):
+            for i in range(len(deep) - 1, -1, -1):
+                if deep[i] in own:
+                    in_deep.subtract(deep[i:])
+                    del deep[i:]
+                    text("\n")
+                    return
+                if deep[i] in within:
+                    return
+        if any(in_deep[n] for n in within):
+            return
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].name in own:
+                del stack[i:]
+                deep.clear()
+                in_deep.clear()
+                return
+            if stack[i].name in within:
+                return
+
     while (tag_at := html.find("<", at)) >= 0:
         follower = html[tag_at + 1 : tag_at + 2]
         if follower == "!" or follower == "?":
             text(html[at:tag_at])
-            end = html.find("-->", tag_at + 2) + 2 if html.startswith("<!--", tag_at) else html.find(">", tag_at)
-            if end < tag_at + 1:
+            last = html.find("-->", tag_at + 2) + 2 if html.startswith("<!--", tag_at) else html.find(">", tag_at)
+            if last < tag_at + 1:
                 return root
-            at = end + 1
+            at = last + 1
             continue
         if not (follower == "/" or follower.isascii() and follower.isalpha()):
             text(html[at : tag_at + 1])  # a plain less-than sign
@@ -102,11 +127,11 @@ def parse(html: str) -> Block:
         text(html[at:tag_at])
         match = None if tag_at in no_tags else _TAG.match(html, tag_at)
         if not match:
-            end = html.find(">", tag_at)
-            if end < 0 or html.find("<", tag_at + 1) < 0:
+            last = html.find(">", tag_at)
+            if last < 0 or html.find("<", tag_at + 1) < 0:
                 return root
             if follower == "/":
-                at = end + 1
+                at = last + 1
                 continue
             if tag_at not in no_tags:  # what stands in it outside of values does not end either
                 no_tags.update(m.start() for m in _VALUE_OR_TAG.finditer(html, tag_at) if m.group() == "<")
@@ -117,9 +142,9 @@ def parse(html: str) -> Block:
         if name in RAW and not closing:
             if name in ("svg", "math") and match.group(3).endswith("/"):
                 continue
-            end = None if name in endless else re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
-            if end:
-                at = html.find(">", end.start()) + 1 or len(html)
+            own_end = None if name in endless else re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(html, at)
+            if own_end:
+                at = html.find(">", own_end.start()) + 1 or len(html)
             elif name in _CODE and not match.group(3).endswith("/"):
                 return root
             else:
@@ -131,32 +156,21 @@ def parse(html: str) -> Block:
                 text(" ")
         elif closing:
             linked = False
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
+            end((name,), ())
         elif name in VOID:
             text("\n")
         else:
             linked = False
             if name in _P_ENDS:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name == "p":
-                        del stack[i:]
-                        break
-                    if stack[i].name in ("td", "th", "button", "table"):
-                        break
+                end(("p",), ("td", "th", "button", "table"))
             if name in _ENDS:
-                own, within = _ENDS[name]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].name in own:
-                        del stack[i:]
-                        break
-                    if stack[i].name in within:
-                        break
+                end(*_ENDS[name])
             block = _block(name, match.group(3))
             stack[-1].parts.append(block)
             if len(stack) < DEEPEST:
                 stack.append(block)
+            else:
+                deep.append(name)
+                in_deep[name] += 1
     text(html[at:])
     return root
