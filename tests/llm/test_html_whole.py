@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.llm import html_main
 from tidemark.llm.html_main import main_blocks, rules, wrapper_of
@@ -69,3 +68,16 @@ def test_rows_are_aligned_alike_at_every_width(size):
     a, b = (["pdas"[deal.randrange(4)] for _ in range(size + extra)] for extra in (0, 7))
     assert html_main._aligned(a, b) == plain_alignment(a, b)
     assert html_main._aligned(b, a) == plain_alignment(b, a)
+
+
+def test_each_page_of_a_host_is_read_by_its_own_kind(spark):
+    bodies = [("article", "<article>", "</article>", 1), ("div", "<div class=content>", "</div>", 20), ("main", "<main>", "</main>", 3), ("plain", "<div class=a><div class=b>", "</div></div>", 9), ("other", "<section><div>", "</div></section>", 2)]
+    rows = []
+    for kind, begin, close, n in bodies:
+        for i in range(n):
+            text = f"<p>First {kind} {i} with some words</p><p>Second {kind} {i}</p>"
+            rows.append((f"{kind} {i}", None if i % 2 else "http://h/x", f"<body><nav><p>Menu</p></nav>{begin}{text}{close}<footer>(c)</footer></body>"))
+    rows.append(("empty", "http://h/x", "<body></body>"))
+    found = html_main.extract_main(spark.createDataFrame(rows, "name string, url string, html string").repartition(3)).collect()
+    assert len(found) == len(rows)
+    assert {r.name: r.text for r in found} == {name: "" if name == "empty" else f"First {name} with some words\n\nSecond {name}" for name, _, _ in rows}

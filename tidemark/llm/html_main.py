@@ -3,10 +3,11 @@
 A page is a nested stream of block tags and texts. Neighbouring groups of equal tags in it become
 repeated groups. The streams of one host are aligned one after the other: tags that only some
 pages have become optional groups, texts that differ become slots, texts that never differ stay
-part of the template. A host's wrapper then says which of its places hold the article: its
-template says where menus, adverts and footers are, its slots where the pages differ. Every page
-of a host takes part: partial wrappers are made where the pages lie, and only these are shuffled
-and merged, in two steps. Then the pages are read a second time and matched to their wrapper.
+part of the template. Pages of a host that keep their text in different kinds of places have a
+wrapper each, which says which of its places hold the article: the template
+says where menus, adverts and footers are, the slots where the pages differ. Every page of a
+host takes part: partial wrappers are made where the pages lie, and only these are shuffled
+and merged, in two steps. Then the pages are read again and matched to their wrapper.
 """
 
 from __future__ import annotations
@@ -203,22 +204,41 @@ def _tops(node: dict, wanted) -> list[dict]:
     return found
 
 
+_REGIONS = (
+    lambda name, marks: name == "article" or "articlebody" in marks or {"article", "body"} <= marks,
+    lambda name, marks: name == "main" or "main" in marks,
+    lambda name, marks: bool(marks & _ARTICLE_MARKS),
+)
+
+
+def _bulk(root: dict) -> list[dict]:
+    """The places from the root down to the one that has most of the text."""
+    path = [root]
+    while True:
+        whole = _weight(path[-1])
+        inner = [k for k in path[-1]["k"] if not _no_article(k["s"], False) and k["k"] and _weight(k) >= 0.85 * whole]
+        if not inner or not whole:
+            return path
+        path.append(inner[0])
+
+
 def _region(root: dict) -> list[dict]:
     """The places that hold the article: by element, else by name, else by where the text is."""
-    for wanted in (
-        lambda name, marks: name == "article" or "articlebody" in marks or {"article", "body"} <= marks,
-        lambda name, marks: name == "main" or "main" in marks,
-        lambda name, marks: bool(marks & _ARTICLE_MARKS),
-    ):
+    for wanted in _REGIONS:
         if found := _tops(root, wanted):
             return found
-    node = root
-    while True:
-        whole = _weight(node)
-        inner = [k for k in node["k"] if not _no_article(k["s"], False) and k["k"] and _weight(k) >= 0.85 * whole]
-        if not inner or not whole:
-            return [node]
-        node = inner[0]
+    return _bulk(root)[-1:]
+
+
+def template_of(page: dict) -> str:
+    """Which template of its host a page has, from its own wrapper: the first kind of region that
+    it has itself, else the way down to its text. Pages of one template have the same region, so
+    that none is left without by what another one has."""
+    for i, wanted in enumerate(_REGIONS):
+        if _tops(page, wanted):
+            return str(i)
+    signs = " ".join(k["s"] for k in _bulk(page))
+    return f"{len(_REGIONS)}.{_hash(signs):x}"
 
 
 def rules(root: dict) -> dict:
@@ -305,6 +325,18 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
 
 
+def _key(host: str, page: dict) -> str:
+    """Template and host; a template has no space in its name."""
+    return f"{template_of(page)} {host}"
+
+
+@F.pandas_udf(T.StringType())
+def page_key(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """Host and template of each page."""
+    for hosts, pages in batches:
+        yield pd.Series([_key(host, wrapper_of(parse(html or ""))) for host, html in zip(hosts, pages, strict=True)], dtype=object)
+
+
 _PARTIAL = "host string, salt int, part int, wrapper string"
 
 
@@ -321,6 +353,7 @@ def _partial_wrappers(salt: int):
         for batch in batches:
             for host, html in zip(batch["host"], batch["html"], strict=True):
                 page = wrapper_of(parse(html or ""))
+                host = _key(host, page)
                 found[host] = merge(found[host], page) if host in found else page
             if len(found) > 5_000:  # many hosts in one file: what is there may go
                 yield rows()
@@ -347,7 +380,7 @@ def _host_rules(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """`host` and `rule`, the wrapper reduced to what it keeps, of every host in `pages`."""
+    """`host`, a host's template as in `page_key`, and `rule`, its wrapper reduced to what it keeps."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     partial = rows.mapInPandas(_partial_wrappers(SALT), _PARTIAL)
     salted = partial.groupBy("host", "salt").applyInPandas(_merge_salted, _PARTIAL)
@@ -373,14 +406,15 @@ def extract_main(pages: DataFrame, url: str = "url", html: str = "html", out: st
 
     Character references are decoded; white space inside a block becomes one space. Null and
     empty pages, and pages without an article, give an empty text. Pages of any length are read
-    whole. A null or unreadable URL belongs to one nameless host; a host with one page is wrapped
-    by that page alone. Repeated rows get equal texts; an empty table stays empty; a column
+    whole. A null or unreadable URL belongs to one nameless host. The pages of a host are told apart
+    by the kind of place that holds their own text, and each kind has a wrapper; a page that is
+    the only one of its kind is wrapped by itself alone. Repeated rows get equal texts; an empty table stays empty; a column
     already called `out` is replaced, all others are kept. The wrappers are written to the
     shared folder, so Spark knows their size when it joins them by host.
     """
     found = materialise(wrappers(pages, url, html))
     host, rule = free_name(pages, "host"), free_name(pages, "rule")
-    keyed = pages.withColumn(host, host_of(F.col(url)))
+    keyed = pages.withColumn(host, page_key(host_of(F.col(url)), F.col(html)))
     found = found.select(F.col("host").alias(f"other_{host}"), F.col("rule").alias(rule))
     rows = keyed.join(found, keyed[host] == found[f"other_{host}"], "left")
     names = [c for c in pages.columns if c.lower() != out.lower()]
