@@ -37,7 +37,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MASKED_DOMAIN = re.compile(r"\s?([A-Za-z0-9-]+(?:\s?(?:\.|\(dot\)|\[dot\]|\{dot\}| dot )\s?[A-Za-z0-9-]+)*(?:\s?(?:\(dot\)|\[dot\]|\{dot\}| dot )\s?|\.)[A-Za-z]{2,})")
 _LOGIN = re.compile(r"://[^\s/@:<>\"']+:[^\s/@<>\"']+@[A-Za-z0-9.-]+")
 _IBAN = re.compile(r"[\s:.#=-]{0,4}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
-_SECRET = re.compile(r"\s{0,2}[=:]\s{0,2}[\"']?([^\s\"',;]{6,256})")
+_SECRET = re.compile(r"\s{0,2}[=:]\s{0,2}[\"']?([^\s\"',;]{6,})")
 _ACCOUNT = re.compile(r"(?i:\x20?(?:number|nummer|numero|número|numéro|nr|no|n°|is|ist|est|es))?\.?\s{0,2}[:=#]?\s{0,2}([A-Z]{0,3}[0-9](?:[\x20/-]?[0-9]){5,23})(?![A-Za-z0-9])")
 
 
