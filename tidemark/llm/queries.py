@@ -56,6 +56,12 @@ def op6_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
 
 
+def op6_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document from n-grams of up to three words."""
+    found = stupid_backoff.score(table(spark, sf_dir, "documents"), order=3)
+    return found.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("mean_log", 6).alias("mean_log"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -143,6 +149,30 @@ SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(s, 0.0), 4) AS log_scor
 FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) LEFT JOIN summed USING (r)
 """
 
+_TRIGRAMS = r"""
+WITH words AS (
+    SELECT r, i, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a, CASE WHEN i > 2 THEN w[i - 2] END AS z
+    FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM (
+        SELECT row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))
+), single AS (
+    SELECT b AS w, count(*) AS n FROM words GROUP BY b
+), pair AS (
+    SELECT a, b, count(*) AS n FROM words WHERE a IS NOT NULL GROUP BY a, b HAVING count(*) >= 2
+), triple AS (
+    SELECT z, a, b, count(*) AS n FROM words WHERE z IS NOT NULL GROUP BY z, a, b HAVING count(*) >= 2
+), scored AS (
+    SELECT r, CASE WHEN triple.n IS NOT NULL THEN ln(triple.n / p.n)
+        ELSE CASE WHEN words.z IS NULL THEN 0 ELSE ln(0.4) END + CASE WHEN pair.n IS NOT NULL THEN ln(pair.n / c.n)
+            ELSE ln(o.n / (SELECT sum(n) FROM single)) + CASE WHEN words.a IS NULL THEN 0 ELSE ln(0.4) END END END AS s
+    FROM words JOIN single o ON words.b = o.w LEFT JOIN single c ON words.a = c.w LEFT JOIN pair ON words.a = pair.a AND words.b = pair.b
+        LEFT JOIN pair p ON words.z = p.a AND words.a = p.b LEFT JOIN triple ON words.z = triple.z AND words.a = triple.a AND words.b = triple.b
+), summed AS (
+    SELECT r, count(*) AS n, sum(s) AS s FROM scored GROUP BY r
+)
+SELECT doc_id, coalesce(n, 0) AS n_words, round(coalesce(s, 0.0), 4) AS log_score, round(s / n, 6) AS mean_log
+FROM (SELECT doc_id, row_number() OVER () AS r FROM documents) LEFT JOIN summed USING (r)
+"""
+
 _WINDOWS = r"""
 WITH doc AS (
     SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -174,6 +204,7 @@ QUERIES = {
     "op4_fertility": op4_fertility,
     "op5_jaccard": op5_jaccard,
     "op6_backoff": op6_backoff,
+    "op6_trigrams": op6_trigrams,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
@@ -181,4 +212,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE = {"op6_backoff": _BACKOFF, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS}
+ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS}
