@@ -196,3 +196,36 @@ def mix(rows, **options):
                 taken[i] += min(size, left)
                 left -= min(size, left)
     return taken
+
+
+def trie(rows):
+    """Nodes of the trie of rebuilt conversations; rows are (conv_id, turn, role, text) with distinct turns."""
+    import hashlib
+    import zlib
+
+    turns = {}
+    for c, _, role, text in sorted((r for r in rows if r[0] is not None), key=lambda r: (r[0], r[1] is not None, r[1] or 0)):
+        turns.setdefault(c, []).append((role or "", text or ""))
+    nodes, ends = {}, {}
+    for c, own in turns.items():
+        h = zlib.crc32(str(c).encode()) % 6
+        path = turns.get(c - c % 100, [])[:h] + own[h:]
+        for d in range(len(path) + 1):
+            nodes.setdefault(tuple(path[:d]), []).append(c)
+        ends.setdefault(tuple(path), []).append(c)
+    children = {}
+    for n in nodes:
+        if n:
+            children.setdefault(n[:-1], []).append(n)
+    leaves, saved = {}, {}
+    for n in sorted(nodes, key=len, reverse=True):
+        below = children.get(n, [])
+        leaves[n] = sum(leaves[m] for m in below) or 1
+        saved[n] = sum(saved[m] for m in below) + ((len(nodes[n]) - 1) * len(n[-1][1]) if n else 0)
+    return sorted(
+        (
+            min(who), len(n), min(nodes[n[:-1]]) if n else None, len(who), len(children.get(n, [])), leaves[n], saved[n],
+            hashlib.sha256(",".join(map(str, sorted(ends.get(n, [])))).encode()).hexdigest(),
+        )
+        for n, who in nodes.items()
+    )

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, stupid_backoff, toxicity
+from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, prefix_trie, stupid_backoff, toxicity
 from tidemark.llm.common import bucket_of, word_count
+from tidemark.session import materialise
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,6 +122,12 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all conversations, rebuilt with common beginnings."""
+    turns = materialise(prefix_trie.turn_keys(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(turns), turns)
+
+
 _SIZES = r"""
 WITH sized AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
@@ -251,6 +258,7 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_decontamination": op10_decontamination,
     "op11_chat": op11_chat,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS, "op11_chat": _CHAT}
