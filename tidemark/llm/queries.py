@@ -106,7 +106,8 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted for training, read back from the formatted string."""
     planted = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    turns = turns.unionByName(spark.createDataFrame([(-7, 0, "user", planted), (-7, 1, "assistant", planted)], "conv_id long, turn long, role string, text string"))
+    more = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(planted).alias("text"))
+    turns = turns.unionByName(more)
     found = chat_format.format_chat(turns).withColumns(
         {"turns": chat_format.read_turns(F.col("formatted")), "loss": F.array_join(chat_format.read_loss(F.col("formatted"), F.col("loss_mask")), "")}
     )
@@ -244,6 +245,39 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM marked GROUP BY conv_id
 """
 
+_TRIE = r"""
+WITH own AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT conv_id, conv_id - (conv_id % 100 + 100) % 100 AS lender,
+        xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+            lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM own)
+), rebuilt AS (
+    SELECT ids.conv_id, i, t FROM ids JOIN own ON own.conv_id = lender AND i <= h
+    UNION ALL SELECT conv_id, i, t FROM ids JOIN own USING (conv_id) WHERE i > h
+), paths AS (
+    SELECT conv_id, coalesce(list(t ORDER BY i) FILTER (t IS NOT NULL), []) AS p FROM ids LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), steps AS (
+    SELECT conv_id, depth, p[1:depth] AS n, depth = len(p) AS ends FROM (SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS depth FROM paths)
+), nodes AS (
+    SELECT n, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+        (count(*) - 1) * coalesce(length(n[depth].text), 0) AS own_saved
+    FROM steps GROUP BY n, depth
+), below AS (
+    SELECT n[1:depth - 1] AS n, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN below USING (n, depth)
+), totals AS (
+    SELECT n[1:a] AS n, a AS depth, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(own_saved) AS BIGINT) AS saved_tokens
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM counted) GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN totals USING (n, depth) LEFT JOIN nodes up ON up.depth = c.depth - 1 AND up.n = c.n[1:c.depth - 1]
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_langid": op2_langid,
@@ -261,4 +295,4 @@ QUERIES = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS, "op11_chat": _CHAT}
+ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS, "op11_chat": _CHAT, "op13_prefix_trie": _TRIE}
