@@ -229,3 +229,60 @@ def trie(rows):
         )
         for n, who in nodes.items()
     )
+
+
+def edits(word):
+    """The word without one of its characters, and with a gap in the place of one."""
+    for i in range(len(word)):
+        yield word[:i] + word[i + 1 :]
+        yield word[:i] + "\0" + word[i + 1 :]
+
+
+def near(words):
+    """All words one edit away from each word."""
+    words = set(words)
+    by_gap, out = {}, {w: set() for w in words}
+    for w in words:
+        for e in set(edits(w)):
+            by_gap.setdefault(e, set()).add(w)
+    for gap, there in by_gap.items():
+        if "\0" not in gap:
+            for w in there & words:
+                out[w].discard(w)
+            if gap in words:
+                for w in there:
+                    out[w].add(gap)
+                    out[gap].add(w)
+        else:
+            for w in there:
+                out[w] |= there - {w}
+    return out
+
+
+def spelling(docs, misprint=199):
+    import zlib
+    from collections import Counter
+
+    counts = Counter()
+    for doc_id, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % misprint == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return variants({w: n for w, n in counts.items() if len(w) >= 6 and n >= 5})
+
+
+def variants(counts):
+    around, form, out = near(counts), {}, []
+    for w, n in counts.items():
+        best = min(around[w], key=lambda o: (-counts[o], o), default=None)
+        if best is not None and counts[best] >= 5 * n:
+            form[w] = best
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(around[w]), counts[form[w]] if w in form else None))
+    return sorted(out, key=lambda r: r[0])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, prefix_trie, stupid_backoff, toxicity
+from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, prefix_trie, spelling, stupid_backoff, toxicity
 from tidemark.llm.common import bucket_of, word_count
 from tidemark.session import materialise
 
@@ -123,6 +123,11 @@ def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, with planted misprints."""
+    return spelling.spelling_variants(spelling.count_words(table(spark, sf_dir, "documents"), misprint=199))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of all conversations, rebuilt with common beginnings."""
     turns = materialise(prefix_trie.turn_keys(table(spark, sf_dir, "conversations")))
@@ -292,6 +297,7 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_decontamination": op10_decontamination,
     "op11_chat": op11_chat,
+    "op12_spelling": op12_spelling,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
