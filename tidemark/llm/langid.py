@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,7 +23,9 @@ UNKNOWN = "und"
 LONGEST = 5  # characters of the longest n-gram, the mark at a word's ends included
 MARK = "_"
 
-_WORD = re.compile(r"[^\W\d_]+")
+# Letters as \p{L} has them: of word characters neither digits nor numerals like ½, ² and Ⅷ.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
+_WORD = re.compile(rf"[^\W_{_NUMERALS}]+")
 _MEMO = 100_000  # unseen words whose scores a worker remembers
 
 
@@ -96,23 +99,22 @@ def learn(
     rows_per_language: int = 1500,
     words_per_language: int = 40_000,
     grams_per_language: int = 8_000,
-    spread_by: str | None = None,
 ) -> LanguageModel:
     """Word and n-gram frequencies of each language in `df`.
 
-    The classifier is fitted on a bounded sample: about `rows_per_language` rows of each
-    language, drawn by a hash of the row (`spread_by` and the text), and of those the most
-    frequent `words_per_language` words and `grams_per_language` n-grams of each length. So the
-    model is bounded, and a rerun draws the same rows. Rows with a null text or language are
-    not learned from. An empty table gives a model without languages.
+    The classifier is fitted on a bounded sample: about `rows_per_language` different texts of each
+    language, drawn by a hash of the text, and of those the most frequent `words_per_language`
+    words and `grams_per_language` n-grams of each length. So the model is bounded, however often
+    a text is repeated, and a rerun draws the same. Rows with a null text or language are not
+    learned from. An empty table gives a model without languages.
     """
-    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.pmod(F.xxhash64(*([spread_by] if spread_by else []), F.col(text)), F.lit(1 << 20)).alias("draw")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text)).alias("hash")).where("text IS NOT NULL AND lang IS NOT NULL")
+    sizes = {r["lang"]: r["count"] for r in rows.select("lang", "hash").distinct().groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([])
     share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(math.ceil((1 << 20) * min(1.0, rows_per_language / sizes[k]))))])
-    sample = rows.where(F.col("draw") < share[F.col("lang")])
+    sample = rows.where(F.pmod("hash", F.lit(1 << 20)) < share[F.col("lang")]).dropDuplicates(["lang", "hash"])
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1))).alias("entry"))
         .groupBy("lang", "entry")
@@ -154,11 +156,12 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text", out: str =
     does a model without languages. Ties go to the language first in code point order. Repeated
     rows get equal results; a column already called `out` is replaced, all others are kept.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # Plain data, which executors can read without this package.
+    shared = df.sparkSession.sparkContext.broadcast((model.languages, model.words, model.grams, model.word_logs, model.gram_logs))
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model, memo = shared.value, {}
+        model, memo = LanguageModel(*shared.value), {}
         for texts in batches:
             yield pd.DataFrame([model.predict(t, memo) for t in texts], columns=["lang", "score"])
 

@@ -296,7 +296,8 @@ def learn(
 
     A classifier on a bounded sample: about `toxic_rows` and `other_rows` labels of either kind
     among those that satisfy `learn_from`, drawn by a hash of the key, so reruns draw the same;
-    the sampled labels, and nothing else, are broadcast to the documents. Labels are the
+    the sampled labels, and nothing else, are broadcast to the documents. Of several documents of
+    one key the one with the least hash is taken, so the sample has a row per label. Labels are the
     documents'; a document's sentence that the machine finds most toxic stands for it, in a
     second round that is fitted to these sentences. Of several labels of one key the highest
     counts. Null keys, labels and texts teach nothing.
@@ -315,7 +316,8 @@ def learn(
 
     limit = F.when(F.col("toxic") == 1, share(toxic_rows, sizes[1])).otherwise(share(other_rows, sizes[0]))
     drawn = F.broadcast(marked.where(draw < limit))
-    sample = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").join(drawn, "doc_id").cache()
+    sample = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL").join(drawn, "doc_id")
+    sample = sample.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).cache()
     words = _landmark_words(sample, landmarks) if sample.select("toxic").distinct().count() == 2 else []
     if not words:
         return None
@@ -363,11 +365,13 @@ def score(df: DataFrame, model: ToxicityModel | None, text: str = "text", out: s
     """
     if model is None:
         return df.withColumn(out, F.lit(0.0))
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # Plain data, which executors can read without this package.
+    shared = df.sparkSession.sparkContext.broadcast((model.landmarks, model.machine.weights, model.machine.bias, model.curve))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = shared.value
+        landmarks, weights, bias, curve = shared.value
+        model = ToxicityModel(landmarks, Machine(weights, bias), curve)
         reader = Reader(model.landmarks)
         for texts in batches:
             evidence = [model.machine.evidence(found, text) for found, text in zip(reader.sentences(texts), texts, strict=True)]
