@@ -25,9 +25,9 @@ from tidemark.llm.common import free_name
 from tidemark.llm.html_tree import Block, parse
 from tidemark.session import materialise
 
-# Elements and words in class, id or role of what is no article (fixed values).
+# Elements that are no article, elements that take a caption, words of what is one (fixed values).
 _NO_ARTICLE_TAGS = frozenset("nav footer aside form head menu dialog button search fieldset".split())
-_NO_ARTICLE_MARKS = frozenset(
+_ARTICLE_MARKS = frozenset(
     """ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner
     nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer topbar masthead toolbar
     cookie cookies consent gdpr notice notices alert popup modal overlay
@@ -35,12 +35,14 @@ _NO_ARTICLE_MARKS = frozenset(
     comment comments commentlist respond replies reply disqus discussion
     pagination pager widget copyright contentinfo complementary banneritem""".split()
 )
+_FORMS = frozenset("form fieldset search button".split())
 _ARTICLE_MARKS = frozenset("articlebody article story post entry content main".split())
 
 SALT = 32  # partial wrappers of a host are merged in so many groups first
-# A text is the template's if this many pages, and this share of the host's, agree on it ...
-TEMPLATE_PAGES, TEMPLATE_SHARE = 8, 0.6
-TEMPLATE_CHARS = 300  # ... and it is shorter than this
+TEMPLATE_CHARS = 300  # a longer text is never the template's
+# Places of one row in a wrapper; beyond that those of the fewest pages are left out. A block
+# without a place is judged by its own page.
+PLACES = 200
 
 
 def _node(sign: str) -> dict:
@@ -173,20 +175,25 @@ def merge(wrapper: dict, other: dict, same_page: bool = False) -> dict:
         wrapper["k"] = theirs
     elif theirs:
         row = _aligned([k["s"] for k in mine], [k["s"] for k in theirs])
-        wrapper["k"] = [theirs[j] if i is None else mine[i] if j is None else merge(mine[i], theirs[j], same_page) for i, j in row]
+        places = [theirs[j] if i is None else mine[i] if j is None else merge(mine[i], theirs[j], same_page) for i, j in row]
+        if len(places) > PLACES:
+            most = sorted(range(len(places)), key=lambda i: (-places[i]["n"], i))[:PLACES]
+            places = [places[i] for i in sorted(most)]
+        wrapper["k"] = places
     return wrapper
 
 
 def _name_and_marks(sign: str) -> tuple[str, set[str]]:
-    name, *marks = sign.rstrip("!").split(".")
+    name, *marks = sign.rstrip("!~^").split(".")
     return name, set(marks)
 
 
 def _no_article(sign: str, in_article: bool) -> bool:
     name, marks = _name_and_marks(sign)
-    if sign.endswith("!") or name in _NO_ARTICLE_TAGS or marks & _NO_ARTICLE_MARKS:
+    flags = sign[len(sign.rstrip("!~^")) :]
+    if "!" in flags or name in _NO_ARTICLE_TAGS:
         return True
-    return (name == "header" or "header" in marks) and not in_article
+    return "^" in flags if in_article else "~" in flags or name == "header" or "header" in marks
 
 
 def _weight(node: dict) -> int:
@@ -241,54 +248,85 @@ def template_of(page: dict) -> str:
     return f"{len(_REGIONS)}.{_hash(signs):x}"
 
 
+def _linked(node: dict) -> tuple[int, int]:
+    """Characters inside, and those of them in links."""
+    inner = [_linked(k) for k in node["k"]]
+    return node["c"] + sum(c for c, _ in inner), node["l"] + sum(n for _, n in inner)
+
+
+def _reduced(node: dict, inside: bool, kept: set[int], pages: int) -> dict:
+    """What matching needs of a place. `pages` is the number of pages the wrapper stands for if
+    their texts differ at all, else 0."""
+    top = id(node) in kept
+    inside = inside or top
+    nothing = {"s": node["s"], "x": 0, "k": []}
+    if inside and not top:
+        chars, links = _linked(node)
+        if _no_article(node["s"], True) or chars and links > 0.8 * chars and (node["r"] or any(k["r"] for k in node["k"])):
+            return nothing
+    out = [_reduced(k, inside, kept, pages) for k in node["k"]]
+    if not inside and not any(k["x"] or k["k"] for k in out):
+        return nothing
+    rule = {"s": node["s"], "x": int(inside), "k": out}
+    if inside and pages > 1 and node["n"] >= pages:
+        # Texts that all pages have here: the template's, if they introduce a form.
+        same = node.get("q", []) if node["r"] else [node["h"]] if node.get("h") and not node["k"] and node["c"] <= TEMPLATE_CHARS * node["n"] else []
+        if same:
+            rule["q"] = same
+    return rule
+
+
 def rules(root: dict) -> dict:
-    """The wrapper reduced to what matching needs: sign, kept or not (`x`), places inside."""
-    kept = {id(node) for node in _region(root)}
+    """The wrapper reduced to what matching needs: sign, kept or not (`x`), places inside, and
+    texts that every page has there (`q`)."""
+    region = _region(root)
 
     def varies(node: dict) -> bool:
         return node.get("h") == 0 or any(varies(k) for k in node["k"])
 
-    template = any(varies(n) for n in _region(root))
-
-    def linked(node: dict) -> tuple[int, int]:
-        inner = [linked(k) for k in node["k"]]
-        return node["c"] + sum(c for c, _ in inner), node["l"] + sum(n for _, n in inner)
-
-    def reduced(node: dict, inside: bool) -> dict:
-        top = id(node) in kept
-        inside = inside or top
-        if inside and not top:
-            chars, links = linked(node)
-            fixed = template and node.get("h") and not node["r"] and not node["k"] and node["n"] >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * root["n"])
-            if _no_article(node["s"], True) or fixed and node["c"] <= TEMPLATE_CHARS * node["n"]:
-                return {"s": node["s"], "x": 0, "k": []}
-            if chars and links > 0.8 * chars and (node["r"] or any(k["r"] for k in node["k"])):
-                return {"s": node["s"], "x": 0, "k": []}
-        out = [reduced(k, inside) for k in node["k"]]
-        if not inside and not any(k["x"] or k["k"] for k in out):
-            return {"s": node["s"], "x": 0, "k": []}
-        rule = {"s": node["s"], "x": int(inside), "k": out}
-        if inside and template and node["r"] and node["n"] >= max(TEMPLATE_PAGES, root["n"]) and node.get("q"):
-            rule["q"] = node["q"]  # among repeated blocks, those that are the template's
-        return rule
-
-    return reduced(root, False)
+    return _reduced(root, False, {id(node) for node in region}, root["n"] if any(varies(n) for n in region) else 0)
+
+
+def _own_rule(block: Block, kept: int) -> dict:
+    """The rule for a block of which the wrapper knows nothing, from the block itself."""
+    if not kept:
+        return {"s": "", "x": 0, "k": []}
+    return _reduced(wrapper_of(block, block.sign), True, set(), 0)
+
+
+def _placed(block: Block, rule: dict, places: dict[int, dict]) -> None:
+    """The rules of the blocks inside a block or inside one round of a repeated group."""
+    row = _occurrences(block)
+    for i, j in _aligned([sign for sign, _ in row], [k["s"] for k in rule["k"]]):
+        if i is None:
+            continue
+        for occurrence in row[i][1]:
+            if occurrence.name == "()":
+                _placed(occurrence, rule["k"][j] if j is not None else {"x": rule["x"], "k": []}, places)
+            else:
+                places[id(occurrence)] = rule["k"][j] if j is not None else _own_rule(occurrence, rule["x"])
+
+
+def _captions(blocks: list[Block]) -> set[int]:
+    """Blocks that stand directly before a form, adverts and the like left aside."""
+    found, before = set(), None
+    for block in blocks:
+        if block.name in _FORMS:
+            if before is not None:
+                found.add(id(before))
+            before = None
+        elif not _no_article(block.sign, True):
+            before = block
+    return found
 
 
 def main_blocks(block: Block, rule: dict, out: list[str]) -> list[str]:
     """Texts of a page's blocks that its host's wrapper keeps, in page order."""
-    if not rule["x"] and not rule["k"] or rule.get("q") and _hash(block.own_text()) in rule["q"]:
+    if not rule["x"] and not rule["k"]:
         return out
-    row = _occurrences(block)
     places: dict[int, dict] = {}
-    for i, j in _aligned([sign for sign, _ in row], [k["s"] for k in rule["k"]]):
-        if i is not None:
-            inner = rule["k"][j] if j is not None else {"s": "", "x": rule["x"], "k": []}
-            for occurrence in row[i][1]:
-                if occurrence.name == "()":
-                    _grouped(occurrence, inner, places)
-                else:
-                    places[id(occurrence)] = inner
+    _placed(block, rule, places)
+    captions = _captions(block.blocks())
     run: list[str] = []
 
     def flush() -> None:
@@ -300,26 +338,15 @@ def main_blocks(block: Block, rule: dict, out: list[str]) -> list[str]:
     for part in block.parts:
         if isinstance(part, Block):
             flush()
-            main_blocks(part, places[id(part)], out)
+            inner = places[id(part)]
+            if not (id(part) in captions and inner.get("q") and _hash(part.own_text()) in inner["q"]):
+                main_blocks(part, inner, out)
         elif rule["x"]:
             run.append(part[0])
     flush()
     return out
 
 
-def _grouped(group: Block, rule: dict, places: dict[int, dict]) -> None:
-    """The places of the blocks in one round of a repeated group."""
-    row = _occurrences(group)
-    for i, j in _aligned([sign for sign, _ in row], [k["s"] for k in rule["k"]]):
-        if i is not None:
-            inner = rule["k"][j] if j is not None else {"s": "", "x": rule["x"], "k": []}
-            for occurrence in row[i][1]:
-                if occurrence.name == "()":
-                    _grouped(occurrence, inner, places)
-                else:
-                    places[id(occurrence)] = inner
-
-
 def host_of(url: Column) -> Column:
     """Lower-cased host and port of a URL; empty for null and for anything else."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
@@ -352,6 +379,8 @@ def _partial_wrappers(salt: int):
 
         for batch in batches:
             for host, html in zip(batch["host"], batch["html"], strict=True):
+                if not host:
+                    continue
                 page = wrapper_of(parse(html or ""))
                 host = _key(host, page)
                 found[host] = merge(found[host], page) if host in found else page
@@ -393,6 +422,10 @@ def main_text(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
     for pages, rule_texts in batches:
         out = []
         for html, rule in zip(pages, rule_texts, strict=True):
+            if rule is None:
+                tree = parse(html or "")
+                out.append("\n\n".join(main_blocks(tree, rules(wrapper_of(tree)), [])))
+                continue
             if rule not in known:
                 if len(known) >= 1_000:
                     known.clear()
@@ -406,9 +439,10 @@ def extract_main(pages: DataFrame, url: str = "url", html: str = "html", out: st
 
     Character references are decoded; white space inside a block becomes one space. Null and
     empty pages, and pages without an article, give an empty text. Pages of any length are read
-    whole. A null or unreadable URL belongs to one nameless host. The pages of a host are told apart
-    by the kind of place that holds their own text, and each kind has a wrapper; a page that is
-    the only one of its kind is wrapped by itself alone. Repeated rows get equal texts; an empty table stays empty; a column
+    whole. A page with a null or unreadable URL is wrapped by itself alone. The pages of a host are
+    told apart by the kind of place that holds their own text, and each kind has a wrapper. Inside
+    the article only hidden blocks, elements and whole classes that say so, lists of links, and a
+    text before a form that all pages have there, are left out, however many pages there are. Repeated rows get equal texts; an empty table stays empty; a column
     already called `out` is replaced, all others are kept. The wrappers are written to the
     shared folder, so Spark knows their size when it joins them by host.
     """

@@ -35,22 +35,55 @@ _VALUE_OR_TAG = re.compile(r"""=\s*+(?:"[^"]*+"|'[^']*+')|<""")
 _CODE = frozenset(["script", "style"])
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _LETTERS = re.compile(r"[a-z]+")
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+# Words in a name of what is no article, and words that only say what kind of box it is (fixed values).
+NO_ARTICLE_MARKS = frozenset(
+    """ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner
+    nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer topbar masthead toolbar
+    cookie cookies consent gdpr notice notices alert popup modal overlay
+    share sharing social related recommended recommendations newsletter subscribe subscription signup login search
+    comment comments commentlist respond replies reply disqus discussion
+    pagination pager widget copyright contentinfo complementary banneritem""".split()
+)
+_BOX_WORDS = frozenset(
+    """area bar block box btn button buttons container content element form group holder icons inline inner item items
+    links list main nav outer panel post posts region row section site slot thread title top unit wrap wrapper""".split()
+)
+# Ids by which reader comments are found inside an article (fixed values).
+_COMMENT_IDS = frozenset("comments respond disqus disqus_thread".split())
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+def _is_furniture(name: str) -> bool:
+    """Whether a whole class or id names what is no article: each of its words does, or says what
+    kind of box it is. So `related-posts` does, `related-work` and `with-sidebar` do not."""
+    words = _words(name)
+    return bool(words & NO_ARTICLE_MARKS) and words <= NO_ARTICLE_MARKS | _BOX_WORDS
+
+
+def _words(value: str) -> set[str]:
+    return set(_LETTERS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
+
+
 class Block:
-    """A block element: what it is called, its attributes' words, and texts and blocks in order."""
+    """A block element: what it is called, its attributes' words, and texts and blocks in order.
+
+    `flags` has "!" if it is hidden, "~" if its names say that it is no article, "^" if they say
+    so even of a block inside the article: there ids name what a section is about, so that only
+    classes count, and nothing speaks against a heading.
+    """
 
-    __slots__ = ("name", "marks", "hidden", "parts")
+    __slots__ = ("name", "marks", "flags", "parts")
 
-    def __init__(self, name: str, marks: tuple[str, ...] = (), hidden: bool = False):
-        self.name, self.marks, self.hidden = name, marks, hidden
+    def __init__(self, name: str, marks: tuple[str, ...] = (), flags: str = ""):
+        self.name, self.marks, self.flags = name, marks, flags
         self.parts: list = []  # Block, or (text, inside a link)
 
     @property
     def sign(self) -> str:
-        return ".".join((self.name, *self.marks)) + ("!" if self.hidden else "")
+        return ".".join((self.name, *self.marks)) + self.flags
 
     def blocks(self) -> list[Block]:
         return [p for p in self.parts if isinstance(p, Block)]
@@ -63,13 +96,17 @@ def _block(name: str, attributes: str) -> Block:
     if not attributes.strip():
         return Block(name)
     marks, hidden = set(), bool(_HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
+    outside = inside = False
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id", "role", "itemprop"):
-            marks.update(_LETTERS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value).lower()))
+            marks |= _words(value)
+            furniture = any(_is_furniture(n) for n in value.split())
+            outside = outside or furniture
+            inside = inside or furniture and key != "id" or key == "id" and value.strip().lower() in _COMMENT_IDS
         elif key == "aria-hidden" and value.lower() == "true" or key == "style" and _NO_DISPLAY.search(value):
             hidden = True
-    return Block(name, tuple(sorted(marks)), hidden)
+    return Block(name, tuple(sorted(marks)), "!" * hidden + "~" * outside + "^" * (inside and name not in _HEADINGS))
 
 
 def parse(html: str) -> Block:
