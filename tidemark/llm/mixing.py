@@ -56,32 +56,32 @@ def mix(
     The order is the MD5 of `key` as text, so reruns agree; of a null key it is the MD5 of
     nothing, and rows with one key follow by size. Rows equal in both are interchangeable. A
     null size counts as 0; a null source is a source of its own; an empty table stays empty.
-    Columns already called like the three new ones are replaced. Only the sums per source and
-    per range are gathered; rows move once, to their range.
+    Columns already called like the three new ones, in any case, are replaced; all others may have
+    any name. Only the sums per source and per range are gathered; rows move once, to their range.
     """
-    names = [c for c in df.columns if c not in ("source_size", "target", "taken")]
-    rows = df.select(*names).withColumns(
-        {
-            "_size": F.coalesce(F.col(size), F.lit(0)).cast("long"),
-            "_null": F.col(source).isNull(),
-            "_source": F.coalesce(F.col(source).cast("string"), F.lit("")),
-            "_key": F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")),
-        }
+    names = [c for c in df.columns if c.lower() not in ("source_size", "target", "taken")]
+    # The given columns travel as one, so that no name of theirs meets one of these.
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("given"),
+        F.coalesce(F.col(f"`{size}`"), F.lit(0)).cast("long").alias("words"),
+        F.col(f"`{source}`").isNull().alias("nameless"),
+        F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("of"),
+        F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")).alias("hash"),
     )
-    rows = rows.withColumn("_range", F.substring("_key", 1, RANGE_DIGITS))
-    where = ["_null", "_source"]
-    ranges = rows.groupBy(*where, "_range").agg(F.sum("_size").alias("_words"))
+    rows = rows.withColumn("part", F.substring("hash", 1, RANGE_DIGITS))
+    where = ["nameless", "of"]
+    ranges = rows.groupBy(*where, "part").agg(F.sum("words").alias("words"))
     # One row per source; the ranges above bound what one source gathers.
-    sizes = ranges.groupBy(*where).agg(F.sum("_words").alias("source_size"))
-    targets = source_targets(sizes.select(F.when(~F.col("_null"), F.col("_source")).alias("source"), "source_size"), weights, share, most)
-    targets = targets.select(F.col("source").isNull().alias("_null"), F.coalesce("source", F.lit("")).alias("_source"), "source_size", "target")
-    before = Window.partitionBy(*where).orderBy("_range")
-    starts = ranges.join(targets, where).withColumn("_start", F.sum("_words").over(before) - F.col("_words")).drop("_words")
-    inside = Window.partitionBy(*where, "_range").orderBy("_key", "_size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.withColumn("_place", F.sum("_size").over(inside) - F.col("_size")).join(starts, [*where, "_range"])
-    place = F.col("_start") + F.col("_place")
+    sizes = ranges.groupBy(*where).agg(F.sum("words").alias("source_size"))
+    targets = source_targets(sizes.select(F.when(~F.col("nameless"), F.col("of")).alias("source"), "source_size"), weights, share, most)
+    targets = targets.select(F.col("source").isNull().alias("nameless"), F.coalesce("source", F.lit("")).alias("of"), "source_size", "target")
+    before = Window.partitionBy(*where).orderBy("part")
+    starts = ranges.join(targets, where).withColumn("start", F.sum("words").over(before) - F.col("words")).drop("words")
+    inside = Window.partitionBy(*where, "part").orderBy("hash", "words").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.withColumn("place", F.sum("words").over(inside) - F.col("words")).join(starts, [*where, "part"])
+    place = F.col("start") + F.col("place")
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.expr("CAST(floor(target) AS BIGINT) DIV source_size")).otherwise(F.lit(0)).cast("long")
     rest = budget - epochs * F.col("source_size")
-    taken = epochs * F.col("_size") + F.greatest(F.lit(0), F.least(F.col("_size"), rest - place))
-    return placed.withColumn("taken", taken.cast("long")).select(*names, "source_size", "target", "taken")
+    taken = epochs * F.col("words") + F.greatest(F.lit(0), F.least(F.col("words"), rest - place))
+    return placed.select(*[F.col("given")[c].alias(c) for c in names], "source_size", "target", taken.cast("long").alias("taken"))
