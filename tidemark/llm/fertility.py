@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,8 @@ PIECE_VOCABULARY = "piece_bpe_32k.model"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SYMBOLS = "#*$%&|<>"
 WINDOW = 100  # tokens
-LONGEST_RUN = 10_000  # characters without a space that are merged in one go
+# White space that the pattern cannot go through in one go: `\s` of the tokenizer's expressions.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 MEASURES = ("chars_per_token", "byte_share", "token_entropy")
 # Least half width of a band: a share of the median, or (bytes) an absolute share.
@@ -53,9 +55,15 @@ class Vocabularies:
         self.characters = {piece for i in range(pieces.get_piece_size()) if len(piece := pieces.id_to_piece(i)) == 1} | set(SPACE_CHARS)
 
     def tokens(self, text: str) -> np.ndarray:
-        if len(text) <= LONGEST_RUN or max(map(len, text.split()), default=0) <= LONGEST_RUN:
-            return np.asarray(self.encoding.encode_ordinary(text), dtype=np.int64)
-        return np.concatenate([np.asarray(self.encoding.encode_ordinary(text[i : i + LONGEST_RUN]), dtype=np.int64) for i in range(0, len(text), LONGEST_RUN)])
+        """Tokens of the whole text. A very long run of white space is one piece of the pattern, all
+        but its last character if something follows, and is handed over as such."""
+        found, at = [], 0
+        for run in _BLANKS.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            found += self.encoding.encode_ordinary(text[at : run.start()])
+            found += self.encoding._encode_single_piece(text[run.start() : end])
+            at = end
+        return np.asarray(found + self.encoding.encode_ordinary(text[at:]), dtype=np.int64)
 
     def byte_share(self, text: str, n_bytes: int) -> float:
         """Share of the bytes that belong to characters outside the piece vocabulary."""
