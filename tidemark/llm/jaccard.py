@@ -221,8 +221,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of `docs` without those that are near copies of a row that stays.
+    """One row of each group of `docs` whose rows are similar directly or through others.
 
+    Of a chain of near copies only the first stays, also where its ends are less alike than
+    `threshold`: what goes is like a row of its group, not always like the one that stays.
     Of each group the row with the least id stays (null last; of one id the least row hash), and
     one of rows equal in id and text. Rows without words all stay.
     """

@@ -211,15 +211,24 @@ def find_pii(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
 
 def redact(text: Column, spans: Column) -> Column:
     """`text` with every span replaced by its kind in angle brackets; of overlapping spans the first counts."""
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-
-    def step(state, span):
-        piece = F.concat(state["done"], F.substring(text, state["at"] + 1, span["start"] - state["at"]), F.lit("<"), span["kind"], F.lit(">"))
-        skip = span["start"] < state["at"]
-        return F.struct(F.when(skip, state["at"]).otherwise(span["end"]).alias("at"), F.when(skip, state["done"]).otherwise(piece).alias("done"))
-
-    return F.aggregate(ordered, start, step, lambda state: F.concat(state["done"], F.substring(text, state["at"] + 1, F.length(text))))
+    parts = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    return _redacted(text, F.array_sort(parts))
+
+
+@F.pandas_udf(T.StringType())
+def _redacted(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    out = []
+    for text, found in zip(texts, spans, strict=True):
+        if text is None or found is None:
+            out.append(None)
+            continue
+        done, at = [], 0
+        for span in found:
+            if span["start"] >= at:
+                done += [text[at : span["start"]], "<", span["kind"], ">"]
+                at = span["end"]
+        out.append("".join([*done, text[at:]]))
+    return pd.Series(out, dtype=object)
 
 
 def span_text(spans: Column) -> Column:
