@@ -33,6 +33,17 @@ def _text(value: Column) -> Column:
     return blank_to_null(value)
 
 
+def of_keys(manifest: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of the keys in `keys` (period, url), which is read more than once."""
+    periods = keys.select("period").distinct()
+    # One period per release of a run; beyond the limit only the join prunes.
+    named = [r["period"] for r in periods.limit(MOST_PERIODS + 1).collect()]
+    if len(named) <= MOST_PERIODS:
+        manifest = manifest.where(F.col("period").isin([p for p in named if p is not None]))
+    keys = keys.select(KEY)
+    return manifest.join(F.broadcast(keys) if fits(keys, BROADCAST_ROWS) else keys, KEY, "left_semi")
+
+
 def latest_manifest(manifest: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Latest row per key: the highest version, of equal ones the later row (`seq`).
 
@@ -41,13 +52,7 @@ def latest_manifest(manifest: DataFrame, keys: DataFrame | None = None) -> DataF
     few, otherwise by a semi-join that shares its shuffle with what follows.
     """
     if keys is not None:
-        periods = keys.select("period").distinct()
-        # One period per release of a run; beyond the limit only the join prunes.
-        named = [r["period"] for r in periods.limit(MOST_PERIODS + 1).collect()]
-        if len(named) <= MOST_PERIODS:
-            manifest = manifest.where(F.col("period").isin([p for p in named if p is not None]))
-        keys = keys.select(KEY)
-        manifest = manifest.join(F.broadcast(keys) if fits(keys, BROADCAST_ROWS) else keys, KEY, "left_semi")
+        manifest = of_keys(manifest, keys)
     order = F.struct(F.coalesce(_version(F.col("version")), F.lit(-1)), F.col("seq"))
     rest = [c for c in manifest.columns if c not in KEY]
     return (
@@ -68,12 +73,18 @@ def latest_observation(observations: DataFrame) -> DataFrame:
 
 
 def plan_changes(
-    links: DataFrame, manifest: DataFrame, observations: DataFrame, mode: str = SAFE, links_stored: bool = False
+    links: DataFrame,
+    manifest: DataFrame,
+    observations: DataFrame,
+    mode: str = SAFE,
+    links_stored: bool = False,
+    manifest_latest: bool = False,
 ) -> DataFrame:
     """Decide for every link whether to skip it, fetch it, or fetch a new version.
 
     `links` holds each key once; say `links_stored` if they are a written table, so
-    that counting them is cheap and a short list can prune the manifest. Adds
+    that counting them is cheap and a short list can prune the manifest, and
+    `manifest_latest` if the manifest holds each key once, as a store's index does. Adds
     ``decision`` and ``reason``, and keeps what later steps compare with: ``prev_*`` of
     the latest ledger row, ``obs_*`` of the sighting. A key whose stored size is no
     number is decided ``error`` in safe mode.
@@ -83,7 +94,7 @@ def plan_changes(
         raise ValueError(f"mode is {SAFE!r} or {FAST!r}")
     compared = ("bytes", "sha256", "etag", "last_modified", "version")
     rows = manifest.select(*KEY, *compared, "seq")
-    prev = latest_manifest(rows, links if links_stored else None).select(
+    prev = (rows if manifest_latest else latest_manifest(rows, links if links_stored else None)).select(
         *KEY, F.lit(True).alias("_seen"), *[F.col(c).alias(f"prev_{c}") for c in compared]
     )
     seen_now = latest_observation(observations)

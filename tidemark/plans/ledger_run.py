@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import folder_of_archive
@@ -60,21 +60,25 @@ def links_of_crawl(
 def clean_ledger(store: LedgerStore, paths: DataFrame) -> DataFrame:
     """Reconcile the stored ledger with `paths` (path, is_dir); returns status counts.
 
-    The next snapshot is written once, its rows counted on the way; it takes the ledger's
-    place only if a row was removed or repaired.
+    The ledger is judged once; what is written anew are the periods in which a row was
+    removed or repaired, and none if all is well.
     """
-    ledger, layout = store.read(), "status STRING, row_count BIGINT"
-    if ledger.isEmpty():
+    layout = "status STRING, row_count BIGINT"
+    if not store.state().rows:
         return store.spark.createDataFrame([], layout)
-    snapshot, seen = store.following(), Observation("clean")
-    judged = reconcile_status(ledger, paths)
-    kinds = ("kept", "repaired", "removed")
-    judged = judged.observe(seen, *[F.count_if(F.col("status") == k).alias(k) for k in kinds])
-    store.stage(judged.where("status <> 'removed'").drop("status"), snapshot)
-    counts = seen.get
-    if counts["repaired"] or counts["removed"]:
-        store.commit(snapshot)
-    return store.spark.createDataFrame([(k, counts[k]) for k in kinds if counts[k]], layout)
+    counts = materialise(reconcile_status(store.read(), paths).groupBy("period", "status").agg(F.count("*").alias("row_count")))
+    touched = [r["period"] for r in counts.where("status <> 'kept'").select("period").distinct().collect()]
+    if touched:
+        judged = reconcile_status(store.read(periods=touched), paths)
+        store.rewrite(judged.where("status <> 'removed'").drop("status"), touched)
+    return counts.groupBy("status").agg(F.sum("row_count").alias("row_count"))
+
+
+def _follow(store: LedgerStore, moves: DataFrame) -> None:
+    """Re-point the stored ledger's keys in `moves` (period, url, new_path); only their periods are written."""
+    touched = [r["period"] for r in moves.select("period").distinct().collect()]
+    if touched:
+        store.rewrite(repoint(store.read(periods=touched), moves), touched)
 
 
 def run_ledger(
@@ -94,7 +98,8 @@ def run_ledger(
     replaces its rows.
     """
     links = materialise(links)
-    planned = plan_changes(links, store.read(before=batch), observations, mode, links_stored=True)
+    known = store.latest(links, before=batch)
+    planned = plan_changes(links, known, observations, mode, manifest_latest=True)
     if files is not None:
         planned = materialise(planned)
     applied = materialise(apply_changes(planned, base_dir, files, mode))
@@ -111,19 +116,15 @@ def unpack_archives(store: LedgerStore, archives: DataFrame, batch: int | None =
         brought = store.read().where((F.col("seq") == batch) & folder_of_archive(F.col("saved_path")).isNotNull())
         wanted = brought.select(normal_path(F.col("saved_path")).alias("path")).distinct()
         archives = archives.withColumn("path", normal_path(F.col("path"))).join(wanted, "path", "left_semi")
-    members = materialise(expand_archives(archives, keep_content=True))
-    followed = materialise(moves_of_archives(store.read(), members))
-    if not followed.isEmpty():
-        store.replace(repoint(store.read(), followed))
+    members = materialise(expand_archives(archives))
+    _follow(store, materialise(moves_of_archives(store.read(), members)))
     return members
 
 
 def refile_combined(store: LedgerStore, inventory: DataFrame, base_dir: str, **options) -> DataFrame:
     """Move list of the combined release; the stored ledger follows it."""
     moves = materialise(reassign_periods(inventory, base_dir, **options))
-    followed = materialise(moves_for_ledger(store.read(), moves))
-    if not followed.isEmpty():
-        store.replace(repoint(store.read(), followed))
+    _follow(store, materialise(moves_for_ledger(store.read(), moves)))
     return moves
 
 
@@ -148,9 +149,17 @@ def run_release_ledger(
     Cleanup against `paths` (path, is_dir), discovery, links, plan, appending what is new,
     unpacking the `archives` that this batch brought in and following them, the summary,
     and re-filing of the `combined` release. A release whose page is missing or empty is
-    reported in `failed` (period, url) and the others go on. Running it again over the same
-    pages and observations changes nothing.
+    reported in `failed` (period, url) and the others go on. The ledger changes in one commit at
+    the end, so a run that fails leaves it as it was; running it again over the same pages and
+    observations changes nothing.
     """
+    with store.run():
+        return _release_run(
+            store, index_pages, release_pages, observations, index_url, site_root, base_dir, source_id, batch, paths, archives, combined, mode, options
+        )
+
+
+def _release_run(store, index_pages, release_pages, observations, index_url, site_root, base_dir, source_id, batch, paths, archives, combined, mode, options) -> ReleaseRun:
     cleaned = clean_ledger(store, paths)
     releases = discover_releases(index_pages, index_url)
     named = releases.select(F.col("year").cast("string").alias("period"), "url").distinct()

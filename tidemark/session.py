@@ -43,6 +43,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all; an error if it is there already."""
+    found, system = _stored(spark, path)
+    system.mkdirs(found.getParent())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(found.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    files = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(found.toUri(), spark._jsc.hadoopConfiguration())
+    # Without a choice that allows it, a rename never replaces a file.
+    none = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    files.rename(draft, found, none)
+
+
 def remove_tables(spark: SparkSession) -> None:
     """Remove every intermediate table of this application; none may be read afterwards."""
     found, system = _stored(spark, _application_dir(spark))
