@@ -11,7 +11,7 @@ from tidemark.functions.names import COMBINED_YEARS, base_name, stem, suffix, ye
 from tidemark.functions.text import let, quoted
 from tidemark.operators.skew import rank_within, skew_join
 from tidemark.session import materialise, small_side
-from tidemark.sources.binary import normal_path
+from tidemark.sources.binary import normal_folder, normal_path
 
 # Candidate numbers one row unfolds into; a longer list is unfolded by many tasks.
 _BLOCK = 10_000
@@ -136,9 +136,11 @@ def reassign_periods(
 
     Rows with ``is_root`` are the moves to make; the others follow along with their
     folder. An item already in place is not listed. The list keyed by `old_path`
-    re-points the ledger (see `moves_for_ledger`).
+    re-points the ledger (see `moves_for_ledger`). Paths of the inventory and `base_dir` may
+    have any form that `normal_path` knows; what comes out is normal.
     """
-    base = base_dir.rstrip("/")
+    base = normal_folder(inventory.sparkSession, base_dir)
+    inventory = inventory.withColumn("path", normal_path(F.col("path")))
     homes = "|".join(str(y) for y in years)
     in_home = F.col("path").rlike(rf"(?s)\A{re.escape(base)}/(?:{homes})/[^/]+\z")
     # One pass over the inventory keeps both kinds of rows: what moves, and what lies in the targets.

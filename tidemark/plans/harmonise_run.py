@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.operators.audit import audit_columns, headers_of, mapping_for, pick_release_files, unmapped_report
 from tidemark.operators.harmonise import IGNORED_COLUMNS, REJECTED, YEAR, harmonise, resolve_columns
 from tidemark.operators.inventory import list_paths
+from tidemark.operators.types import infer_types
 from tidemark.sources.binary import normal_folder
 from tidemark.sources.tables import read_mapping, read_release, release_schema, write_harmonised, write_unmapped_report
 
@@ -55,16 +56,19 @@ def harmonise_files(
     target: T.StructType | None = None,
     ignored: Mapping[int, tuple] = IGNORED_COLUMNS,
     identity: bool = False,
+    infer: bool = False,
 ) -> HarmoniseReport:
     """Stack `files` (year to path) under the schema of the `anchor` release.
 
     A release that cannot be opened is left out and named in the report; a value that
     does not fit its column is counted. Counts are observed while the table is
     written, so the releases are read once. Without `target` the anchor's own types
-    count; an anchor that arrives as text has none, so a target must be declared then.
+    count; an anchor that arrives as text has none, so that a target must be declared, or
+    with `infer` types are found in the cells of all releases, which are read once more for that.
     """
     result = HarmoniseReport()
-    if target is None and files[anchor].lower().endswith((".xlsx", ".csv", ".csv.gz")):
+    untyped = target is None and files[anchor].lower().endswith((".xlsx", ".csv", ".csv.gz"))
+    if untyped and not infer:
         raise ValueError(f"{files[anchor]} holds text only: declare the types of the target")
     target = target or release_schema(spark, files[anchor])
     mapping_table = read_mapping(spark, mapping_path)
@@ -79,6 +83,8 @@ def harmonise_files(
 
     names = [c for data in releases.values() for c in data.columns]
     mapping = mapping_for(names, mapping_table)
+    if untyped:
+        target = inferred_target(releases, mapping, target.names, ignored, identity)
     for year, data in releases.items():
         found = resolve_columns(year, data.columns, mapping, target.names, ignored.get(year, ()), identity)
         if found.collisions():
@@ -104,6 +110,18 @@ def harmonise_files(
     return result
 
 
+def inferred_target(
+    releases: Mapping[int, DataFrame],
+    mapping: Mapping[str, str],
+    names: list[str],
+    ignored: Mapping[int, tuple] = IGNORED_COLUMNS,
+    identity: bool = False,
+) -> T.StructType:
+    """The columns `names` with the narrowest types that hold their cells in all releases."""
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    return infer_types(harmonise(releases, mapping, text, ignored, identity).drop(YEAR))
+
+
 def audit_of(
     spark: SparkSession,
     releases: Mapping[int, DataFrame],

@@ -74,7 +74,7 @@ def clean_ledger(store: LedgerStore, paths: DataFrame) -> DataFrame:
     return counts.groupBy("status").agg(F.sum("row_count").alias("row_count"))
 
 
-def _follow(store: LedgerStore, moves: DataFrame) -> None:
+def follow_moves(store: LedgerStore, moves: DataFrame) -> None:
     """Re-point the stored ledger's keys in `moves` (period, url, new_path); only their periods are written."""
     touched = [r["period"] for r in moves.select("period").distinct().collect()]
     if touched:
@@ -117,14 +117,14 @@ def unpack_archives(store: LedgerStore, archives: DataFrame, batch: int | None =
         wanted = brought.select(normal_path(F.col("saved_path")).alias("path")).distinct()
         archives = archives.withColumn("path", normal_path(F.col("path"))).join(wanted, "path", "left_semi")
     members = materialise(expand_archives(archives))
-    _follow(store, materialise(moves_of_archives(store.read(), members)))
+    follow_moves(store, materialise(moves_of_archives(store.read(), members)))
     return members
 
 
 def refile_combined(store: LedgerStore, inventory: DataFrame, base_dir: str, **options) -> DataFrame:
     """Move list of the combined release; the stored ledger follows it."""
     moves = materialise(reassign_periods(inventory, base_dir, **options))
-    _follow(store, materialise(moves_for_ledger(store.read(), moves)))
+    follow_moves(store, materialise(moves_for_ledger(store.read(), moves)))
     return moves
 
 

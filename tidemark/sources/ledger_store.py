@@ -27,8 +27,9 @@ from tidemark.operators.ledger import MOST_PERIODS, latest_manifest, of_keys
 from tidemark.session import path_exists, write_text_once
 from tidemark.sources.schemas import MANIFEST
 
-# Buckets of a period's keys in the index of a new ledger.
-BUCKETS = 16
+# Buckets of a period's keys in the index of a new ledger. More of them let an append to a period
+# of very many keys write less; fewer keep small periods in few files.
+BUCKETS = 4
 # The folder name that stands for a missing period.
 _NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 # Columns that are folders.

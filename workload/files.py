@@ -22,7 +22,7 @@ SOURCE = "yearbook"
 
 
 def stored_documents(spark, sf):
-    """Two of three documents as files of their own, below a folder per language: the folder."""
+    """Every document as a file of its own, below a folder per language: the folder."""
     folder = normal_folder(spark, shared_dir(spark, "files"))
 
     def write(batches):
@@ -34,7 +34,7 @@ def stored_documents(spark, sf):
                     out.write(text.encode())
             yield pd.DataFrame({"path": batch["path"]})
 
-    documents = table(spark, sf, "documents").where("n_chars % 3 <> 0")
+    documents = table(spark, sf, "documents")
     path = F.format_string("%s/%s/%d.txt", F.lit(folder), "lang", "doc_id")
     written = documents.select(path.alias("path"), "text").mapInPandas(write, "path STRING")
     written.write.format("noop").mode("overwrite").save()
@@ -48,11 +48,16 @@ def listed_files(spark, sf):
 
 
 def registered_files(spark, sf):
-    """Files found at their expected places and hashed there; labelled documents are known already."""
+    """Files found at their expected places and hashed there; labelled documents are known already,
+    and every part is a link whose file is not there."""
     folder = stored_documents(spark, sf)
     links = table(spark, sf, "documents").selectExpr(
         "lang AS period", "concat('https://docs.example.org/', source, '/', doc_id, '.TXT') AS url", "concat(doc_id, '.txt') AS filename", "doc_id"
     )
+    absent = table(spark, sf, "part").selectExpr(
+        "'en' AS period", "concat('https://docs.example.org/absent/', p_partkey) AS url", "concat('absent-', p_partkey, '.txt') AS filename", "cast(null AS BIGINT) AS doc_id"
+    )
+    links = links.unionByName(absent)
     known = links.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").select("period", "url")
     files = list_paths(spark, f"file:{folder}" if folder.startswith("/") else folder).where("NOT is_dir").select("path")
     return register_existing(links.drop("doc_id"), known, files, folder, SOURCE).select("period", "url", "filename", "bytes", "sha256", "version")
@@ -114,6 +119,39 @@ def unmapped_file(spark, sf):
     return spark.read.option("header", True).csv(_harmonised(spark, sf)[1])
 
 
+def _drifting(spark, sf):
+    """Harmonising without a declared target: the table's types come from the cells of all releases."""
+    mapping, output = shared_dir(spark, "mapping"), shared_dir(spark, "harmonised")
+    lines = [("CASE_NO", "CASE_ID"), ("TOTAL", "TOTAL")]
+    # Columns in another order, one more, and the final name's as the mapping file calls it; other names stay.
+    columns = spark.createDataFrame([(i, "x", final, original) for i, (original, final) in enumerate(lines)], "i INT, NOTE STRING, FINAL_2025 STRING, ORIGINAL STRING")
+    columns.coalesce(1).orderBy("i").drop("i").write.option("header", True).csv(mapping)
+    files = csv_releases(spark, sf)
+    # The newest release with a column for every target decides their names.
+    harmonise_files(spark, files, mapping, max(y for y in files if y % 2), output, infer=True, identity=True)
+    return spark.read.parquet(output)
+
+
+def inferred_types(spark, sf):
+    found = _drifting(spark, sf).schema
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in found], "column_name STRING, type STRING")
+
+
+def inferred_releases(spark, sf):
+    return _drifting(spark, sf).select("CASE_ID", "STATUS", "RECEIVED", "TOTAL", "CUSTOMER", "SOURCE_YEAR")
+
+
+def mapping_shuffled(spark, sf):
+    """A long mapping in two folders' worth of files whose headers differ in order and columns."""
+    folder = shared_dir(spark, "mapping")
+    lines = table(spark, sf, "orders").selectExpr("o_orderkey", "concat('C', o_custkey) AS ORIGINAL", "concat(o_orderpriority, ', x') AS FINAL_2025", "o_orderstatus AS CLERK")
+    kept = {"header": True, "escape": '"'}
+    for name, columns in (("a", ["CLERK", "FINAL_2025", "ORIGINAL"]), ("b", ["ORIGINAL", "FINAL_2025"])):
+        part = lines.where(F.col("o_orderkey") % 2 == int(name == "b")).repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+        part.select(*columns).write.options(**kept).csv(f"{folder}/{name}")
+    return read_mapping(spark, f"{folder}/*").groupBy("original", "final").agg(F.count("*").alias("line_count"))
+
+
 def mapping_file(spark, sf):
     """A long mapping written as CSV with quotes and commas, and read back in order."""
     folder = shared_dir(spark, "mapping")
@@ -154,6 +192,9 @@ QUERIES = {
     "observed_counts": observed_counts,
     "unmapped_file": unmapped_file,
     "mapping_file": mapping_file,
+    "mapping_shuffled": mapping_shuffled,
+    "inferred_types": inferred_types,
+    "inferred_releases": inferred_releases,
     "report_file": report_file,
     "odd_page_anchors": odd_page_anchors,
 }
@@ -163,12 +204,12 @@ _HREF = "'/p/' || p_partkey || '.pdf'"
 
 ORACLE = {
     "listed_files": """
-        SELECT lang || '/' || doc_id || '.txt' AS path, false AS is_dir, octet_length(encode(text)) AS length FROM documents WHERE n_chars % 3 <> 0
-        UNION ALL SELECT DISTINCT lang, true, CAST(NULL AS BIGINT) FROM documents WHERE n_chars % 3 <> 0""",
+        SELECT lang || '/' || doc_id || '.txt' AS path, false AS is_dir, octet_length(encode(text)) AS length FROM documents
+        UNION ALL SELECT DISTINCT lang, true, CAST(NULL AS BIGINT) FROM documents""",
     "registered_files": """
         SELECT lang AS period, 'https://docs.example.org/' || source || '/' || doc_id || '.TXT' AS url, doc_id || '.txt' AS filename,
                octet_length(encode(text)) AS bytes, sha256(text) AS sha256, 1 AS version
-        FROM documents WHERE n_chars % 3 <> 0 AND doc_id NOT IN (SELECT doc_id FROM labels)""",
+        FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "release_headers": f"""
         WITH y AS (SELECT DISTINCT {_YEAR} AS release FROM orders),
         named AS (SELECT release, unnest([CASE WHEN release <= 1997 THEN 'CASE_NO' ELSE 'CASE_ID' END, 'STATUS', 'RECEIVED', 'TOTAL', 'CUSTOMER']) AS column_name,
@@ -183,6 +224,17 @@ ORACLE = {
         FROM orders WHERE year(o_orderdate) % 2 = 1""",
     "mapping_file": """
         SELECT '"C", ' || o_custkey AS original, arg_max(o_orderpriority, o_orderkey) || ' "x"' AS final FROM orders GROUP BY o_custkey""",
+    "mapping_shuffled": """
+        SELECT 'C' || o_custkey AS original, o_orderpriority || ', x' AS final, count(*) AS line_count FROM orders GROUP BY ALL""",
+    "inferred_types": r"""
+        SELECT unnest(['CASE_ID', 'STATUS', 'RECEIVED', 'TOTAL', 'CUSTOMER', 'SOURCE_YEAR']) AS column_name,
+               unnest(['bigint', 'string', CASE WHEN bool_and(o_orderdate = CAST(o_orderdate AS DATE)) AND min(typeof(o_orderdate)) = 'DATE' THEN 'date' ELSE 'timestamp' END,
+                       'double', CASE WHEN bool_or(year(o_orderdate) % 2 = 1 AND o_orderkey % 9 = 0) THEN 'string' ELSE 'bigint' END, 'int']) AS type
+        FROM orders""",
+    "inferred_releases": f"""
+        SELECT o_orderkey AS "CASE_ID", o_orderstatus AS "STATUS", o_orderdate AS "RECEIVED", o_totalprice AS "TOTAL",
+               CASE WHEN year(o_orderdate) % 2 = 1 THEN CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END END AS "CUSTOMER",
+               {_YEAR} AS "SOURCE_YEAR" FROM orders""",
     "report_file": f"""
         SELECT 'c' || o_custkey AS "COLUMN_NAME", string_agg(DISTINCT CAST({_YEAR} AS VARCHAR), ', ' ORDER BY CAST({_YEAR} AS VARCHAR)) AS "YEARS_APPEARED"
         FROM orders GROUP BY o_custkey""",

@@ -16,7 +16,7 @@ from tidemark.operators.ledger import (
     run_summary,
     to_fetch,
 )
-from tidemark.plans.ledger_run import links_of_crawl, run_ledger, run_release_ledger
+from tidemark.plans.ledger_run import follow_moves, links_of_crawl, run_ledger, run_release_ledger
 from tidemark.session import materialise, shared_dir
 from tidemark.sources.ledger_store import LedgerStore
 from tidemark.sources.tables import read_text_manifest, write_text_manifest
@@ -161,7 +161,11 @@ def register_existing_files(spark, sf):
         "concat('https://docs.example.org/', source, '/', doc_id, '.TXT') AS url",
         "concat(doc_id, '.txt') AS filename",
     )
-    files = documents.where("n_chars % 3 <> 0").select(
+    # Links of parts, whose files are not there.
+    found = found.unionByName(
+        table(spark, sf, "part").selectExpr("'en' AS period", "concat('https://docs.example.org/absent/', p_partkey) AS url", "concat('absent-', p_partkey, '.txt') AS filename")
+    )
+    files = documents.select(
         F.format_string(f"{BASE}/%s/%d.txt", "lang", "doc_id").alias("path"), F.col("text").alias("content")
     )
     known = documents.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi").selectExpr(
@@ -202,6 +206,59 @@ def ledger_store(spark, sf):
     return store.read().select("seq", "period", "url", "version", "sha256", "bytes")
 
 
+def manifest_shuffled(spark, sf):
+    """The safe plan from a ledger in CSV files whose columns are in another order, beside others, or missing."""
+    folder = shared_dir(spark, "manifest")
+    cells = text_manifest(manifest(spark, sf)).withColumn("NOTE", F.lit('not "this", one'))
+    orders = {"a": sorted([*MANIFEST_TEXT.names, "NOTE"], reverse=True), "b": [c for c in MANIFEST_TEXT.names if c not in ("filename", "saved_path")]}
+    for name, columns in orders.items():
+        part = cells.where(F.pmod(F.hash("period"), F.lit(2)) == int(name == "b"))
+        # In order of the ledger, which decides between equal versions.
+        ordered = part.repartitionByRange("downloaded_at").sortWithinPartitions("downloaded_at")
+        ordered.select(*columns).write.options(header=True, quote='"', escape='"', emptyValue="").csv(f"{folder}/{name}")
+    known = typed_manifest(read_text_manifest(spark, f"{folder}/*")).drop("problem")
+    return plan_changes(links(spark, sf), known, observations(spark, sf)).select("period", "url", "decision")
+
+
+def ledger_index(spark, sf):
+    """Latest rows by the store's index after batches, a batch applied again, and a rewritten period."""
+    store = LedgerStore(spark, shared_dir(spark, "ledger"))
+    rows = manifest(spark, sf)
+    # A batch for each third of the versions; the second one brings too much at first.
+    for batch in range(3):
+        store.append(rows.where(f"version % 3 = {batch}" + (" OR version = 15" if batch == 1 else "")), batch)
+    store.append(rows.where("version % 3 = 1"), 1)
+    store.rewrite(store.read(periods=["click"]).where("version <> 14"), ["click"])
+    return store.latest().select("period", "url", "version", "seq")
+
+
+def _one_period(spark, sf):
+    """A ledger of a period per month, in which the moves of one month's keys are followed."""
+    store = LedgerStore(spark, shared_dir(spark, "ledger"))
+    rows = table(spark, sf, "orders").selectExpr(
+        f"'{SOURCE}' AS source_id", "date_format(o_orderdate, 'yyyy-MM') AS period", "concat('https://files.example.org/o', o_orderkey) AS url",
+        "concat(o_orderkey, '.pdf') AS filename", f"concat('{BASE}/', date_format(o_orderdate, 'yyyy-MM'), '/', o_orderkey, '.pdf') AS saved_path",
+        "cast(o_custkey AS BIGINT) AS bytes", "md5(cast(o_orderkey AS STRING)) AS sha256", "cast(null AS STRING) AS etag", "cast(null AS STRING) AS last_modified",
+        "1 AS version", "cast(o_orderdate AS TIMESTAMP) AS downloaded_at", "cast(0 AS BIGINT) AS seq",
+    )
+    store.append(rows, 0)
+    before = store.state()
+    moves = rows.where("period = '1997-05' AND bytes % 2 = 0").selectExpr("period", "url", "concat('/moved/', filename) AS new_path")
+    follow_moves(store, materialise(moves))
+    return store, before
+
+
+def repointed_store(spark, sf):
+    return _one_period(spark, sf)[0].read().select("period", "url", "saved_path")
+
+
+def repointed_folders(spark, sf):
+    """Per period, whether its folders are those from before the moves."""
+    store, before = _one_period(spark, sf)
+    old = {(p.period, p.folder) for p in before.rows}
+    return spark.createDataFrame([(p.period, (p.period, p.folder) in old) for p in store.state().rows], "period STRING, untouched BOOLEAN")
+
+
 # --- a whole run -----------------------------------------------------------------
 
 # Release pages share a few years; an index page names every year once.
@@ -293,7 +350,11 @@ QUERIES = {
     "register_existing": register_existing_files,
     "repoint_paths": _repointed(False),
     "repoint_latest": _repointed(True),
+    "manifest_shuffled": manifest_shuffled,
     "ledger_store": ledger_store,
+    "ledger_index": ledger_index,
+    "repointed_store": repointed_store,
+    "repointed_folders": repointed_folders,
     "crawl_links": crawl_links,
     "incremental_ledger": incremental_ledger,
     "incremental_summary": incremental_summary,
@@ -379,6 +440,16 @@ ORACLE = {
                CASE WHEN reason = 'unseen' THEN 'unseen' ELSE 'seen-fast' END AS reason FROM plan""",
     "plan_safe": f"WITH {_PLAN} SELECT period, url, decision, reason FROM plan",
     "manifest_csv": f"WITH {_PLAN} SELECT period, url, decision, reason FROM plan",
+    "manifest_shuffled": f"WITH {_PLAN} SELECT period, url, decision FROM plan",
+    "ledger_index": f"""WITH {_LEDGER}
+        SELECT period, url, version, CAST(version % 3 AS BIGINT) AS seq FROM ledger WHERE period <> 'click' OR version <> 14
+        QUALIFY row_number() OVER (PARTITION BY period, url ORDER BY version DESC) = 1""",
+    "repointed_store": """
+        SELECT strftime(o_orderdate, '%Y-%m') AS period, 'https://files.example.org/o' || o_orderkey AS url,
+               CASE WHEN period = '1997-05' AND o_custkey % 2 = 0 THEN '/moved/' ELSE '/data/' || period || '/' END || o_orderkey || '.pdf' AS saved_path
+        FROM orders""",
+    "repointed_folders": """
+        SELECT strftime(o_orderdate, '%Y-%m') AS period, NOT bool_or(period = '1997-05' AND o_custkey % 2 = 0) AS untouched FROM orders GROUP BY 1""",
     "links_to_fetch": f"WITH {_PLAN} SELECT period, url FROM plan WHERE decision <> 'skip'",
     "apply_outcomes": f"WITH {_APPLY} SELECT period, url, outcome FROM done",
     "next_version_rows": f"""WITH {_APPLY}
@@ -414,7 +485,7 @@ ORACLE = {
         SELECT lang AS period, 'https://docs.example.org/' || source || '/' || doc_id || '.TXT' AS url,
                doc_id || '.txt' AS filename, '/data/' || lang || '/' || doc_id || '.txt' AS saved_path,
                octet_length(encode(text)) AS bytes, sha256(text) AS sha256, 1 AS version
-        FROM documents WHERE n_chars % 3 <> 0 AND doc_id NOT IN (SELECT doc_id FROM labels)""",
+        FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "repoint_paths": _REPOINT.format(only="true"),
     "repoint_latest": _REPOINT.format(
         only="row_number() OVER (PARTITION BY l.period, l.url ORDER BY l.version DESC, l.seq DESC) = 1"

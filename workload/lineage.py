@@ -70,6 +70,12 @@ def _reassigned(strict):
     return lambda spark, sf: reassign_periods(combined_release(spark, sf), BASE, strict=strict)
 
 
+def reassigned_forms(spark, sf):
+    """The same moves from an inventory and a folder that are named with their scheme, slashes doubled."""
+    inventory = combined_release(spark, sf).withColumn("path", F.concat(F.lit("file://"), F.regexp_replace("path", "^/data/", "/data//")))
+    return reassign_periods(inventory, f"file:{BASE}/")
+
+
 def reassigned_ledger(spark, sf):
     """The ledger of the combined release after its files were re-filed."""
     inventory = combined_release(spark, sf)
@@ -121,6 +127,7 @@ QUERIES = {
     "inventory_folders": inventory_folders,
     "reassign_periods": _reassigned(False),
     "reassign_periods_strict": _reassigned(True),
+    "reassigned_forms": reassigned_forms,
     "reassigned_ledger": reassigned_ledger,
     "collision_names": collision_names,
     "collision_kinds": collision_kinds,
@@ -165,6 +172,10 @@ ORACLE = {
         UNION ALL
         SELECT DISTINCT '/data/1996/t' || yy, '/data/' || yyyy || '/t' || yy, yyyy, true, true
         FROM files WHERE inside AND k % 6 = 3 AND yyyy <> '1996'""",
+    "reassigned_forms": f"""WITH {_COMBINED} {_MOVED.format(which="k % 6 <> 5")}
+        UNION ALL
+        SELECT DISTINCT '/data/1996/t' || yy, '/data/' || yyyy || '/t' || yy, yyyy, true, true
+        FROM files WHERE inside AND k % 6 = 3 AND yyyy <> '1996'""",
     "reassign_periods_strict": f"""WITH {_COMBINED} {_MOVED.format(which="k % 6 IN (1, 2, 4)")}""",
     "reassigned_ledger": f"""WITH {_COMBINED}, moved AS ({_MOVED.format(which="k % 6 <> 5")}),
         paths AS (SELECT f.name, coalesce(m.new_path, f.old_path) AS saved_path FROM files f LEFT JOIN moved m USING (old_path))
