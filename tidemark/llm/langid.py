@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,9 +22,7 @@ UNKNOWN = "und"
 LONGEST = 5  # characters of the longest n-gram, the mark at a word's ends included
 MARK = "_"
 
-# Letters as \p{L} has them: of word characters neither digits nor numerals like ½, ² and Ⅷ.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isalpha())
-_WORD = re.compile(rf"[^\W_{_NUMERALS}]+")
+_WORD = re.compile(r"[^\W\d_]+")
 _MEMO = 100_000  # unseen words whose scores a worker remembers
 
 
@@ -50,7 +47,7 @@ class LanguageModel:
 
     def predict(self, text: str | None, memo: dict) -> tuple[str, float]:
         """Language and confidence; `und` and 0 without a letter or without a model."""
-        counts = Counter(_WORD.findall(text.lower())) if text else None
+        counts = word_counts(text) if text else None
         if not counts or not self.languages:
             return UNKNOWN, 0.0
         known, times, total = [], [], np.zeros(len(self.languages))
@@ -74,6 +71,17 @@ class LanguageModel:
         return self.languages[best], float(1.0 / np.exp(logs - logs[best]).sum())
 
 
+def word_counts(text: str) -> Counter[str]:
+    """Words of a text in lower case: runs of letters, as \\p{L} has them."""
+    counts = Counter(_WORD.findall(text.lower()))
+    # The pattern takes numerals like ½, ² and Ⅷ for letters; few texts have one.
+    for word in [w for w in counts if not w.isalpha()]:
+        n = counts.pop(word)
+        for part in "".join(c if c.isalpha() else " " for c in word).split():
+            counts[part] += n
+    return counts
+
+
 def _logs(rows, languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
     """(entry, language, count, total) rows as natural log frequencies. What a language lacks
     counts, for all languages alike, as a tenth of an occurrence in the one with most text."""
