@@ -15,11 +15,11 @@ import tidemark  # noqa: E402
 from tidemark.llm import decontaminate, jaccard, langid, line_dedup, mixing  # noqa: E402
 from tidemark.llm.common import free_name, word_count  # noqa: E402
 from tidemark.llm.queries import table  # noqa: E402
-from tidemark.session import materialise, use_root  # noqa: E402
+from tidemark.session import materialise, use_trial_root  # noqa: E402
 
 cloudpickle.register_pickle_by_value(tidemark)
-# Used where the session names no folder for intermediate tables, as in a local trial run.
-use_root("/tmp/checkpoints")
+# For trial runs on one machine; a cluster names the folder for intermediate tables itself.
+use_trial_root("/tmp/checkpoints")
 
 # Below this confidence, and without a letter, a document's language counts as not known.
 MIN_LANGUAGE_SCORE = 0.5

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import reassign_periods, reconcile
-from tidemark.operators import reassign, skew
+from tidemark.operators import skew
 from tidemark.operators.inventory import list_paths, reconcile_status, with_folders
 from tidemark.operators.reassign import free_names
 from tidemark.operators.skew import rank_within, skew_join
@@ -104,10 +104,9 @@ CROWD = [("/f", n, d, i) for i, (n, d) in enumerate(
 TAKEN = [("/f", n) for n in ("a.pdf", "a_2.pdf", "a.tar_1.gz", "dir.x", "dir_1.x", "dir.x_2", "many_7.pdf", "many_07.pdf", "many_59.pdf")]
 
 
-@pytest.mark.parametrize("group_rows, block", [(1_000_000, 10_000), (0, 4)])
-def test_free_names(spark, monkeypatch, group_rows, block):
+@pytest.mark.parametrize("group_rows", [1_000_000, 0])
+def test_free_names(spark, monkeypatch, group_rows):
     monkeypatch.setattr(skew, "GROUP_ROWS", group_rows)
-    monkeypatch.setattr(reassign, "_BLOCK", block)
     incoming = spark.createDataFrame(CROWD, "folder STRING, name STRING, is_dir BOOLEAN, item BIGINT")
     taken = spark.createDataFrame(TAKEN, "folder STRING, name STRING")
     got = {r["item"]: r["new_name"] for r in free_names(incoming, taken).collect()}
@@ -115,6 +114,19 @@ def test_free_names(spark, monkeypatch, group_rows, block):
     assert [got[i] for i in range(5)] == ["a_3.pdf", "a_4.pdf", "a_5.pdf", "a_6.pdf", "a_7.pdf"]
 
 
+@pytest.mark.parametrize("group_rows", [1_000_000, 0])
+def test_numbers_far_apart_are_gaps(spark, monkeypatch, group_rows):
+    """Taken numbers of any size cost a row each, the free ones between them nothing."""
+    monkeypatch.setattr(skew, "GROUP_ROWS", group_rows)
+    names = [("/f", "a.pdf", False, i) for i in range(40)]
+    taken = [("/f", "a.pdf"), *[("/f", f"a_{n}.pdf") for n in (1, 2, 5, 9, 10, 11, 30, 10**6, 10**17)]]
+    incoming = spark.createDataFrame(names, "folder STRING, name STRING, is_dir BOOLEAN, item BIGINT")
+    found = free_names(incoming, spark.createDataFrame(taken, "folder STRING, name STRING"))
+    assert {r["item"]: r["new_name"] for r in found.collect()} == named_one_by_one(names, taken)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "sequence(" not in plan
+
+
 def test_no_collisions(spark):
     incoming = spark.createDataFrame([("/f", "a", False, 1)], "folder STRING, name STRING, is_dir BOOLEAN, item BIGINT")
     taken = spark.createDataFrame([("/f", "b")], "folder STRING, name STRING")

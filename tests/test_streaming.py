@@ -4,6 +4,7 @@ from tidemark import run_incremental
 from tidemark.operators.ledger import plan_changes
 from tidemark.plans.ledger_run import run_ledger
 from tidemark.sources.ledger_store import LedgerStore
+from tidemark.sources.merge_log import MergeLog
 from tidemark.sources.schemas import KEY, OBSERVATION
 from tidemark.streaming.incremental import first_seen, observation_stream, write_first_seen
 
@@ -54,5 +55,38 @@ def test_first_sightings(spark, tmp_path):
     assert sorted(got) == sorted({r["k"] for r in rows.select("k").distinct().collect()})
 
 
+def test_keys_are_first_seen_once_for_ever(spark, tmp_path):
+    """Sightings days apart, a restart between them: with a delay of an hour a key is reported again, without one it is not."""
+    known = spark.createDataFrame([("old",)], "k STRING")
+    got = {}
+    for name, delay in (("short", "1 hour"), ("ever", None)):
+        out, folder, checkpoint = (str(tmp_path / f"{name}-{p}") for p in ("out", "in", "checkpoint"))
+        for day in range(4):
+            rows = spark.createDataFrame([(k,) for k in ("a", "old", f"day{day}")], "k STRING").withColumn("at", F.timestamp_seconds(F.lit(1_700_000_000 + 86_400 * day)))
+            rows.coalesce(1).write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(rows.schema).parquet(folder)
+            write_first_seen(first_seen(stream, ["k"], "at", delay, known), out, checkpoint).awaitTermination()
+        got[name] = sorted(r["k"] for r in spark.read.parquet(out).collect())
+    assert got["ever"] == ["a", "day0", "day1", "day2", "day3"]
+    assert got["short"].count("a") > 1 and "old" not in got["short"]
+
+
+def test_many_batches_are_few_folders(spark, tmp_path):
+    log, want = MergeLog(spark, str(tmp_path / "log"), fanout=3), {}
+    schema = "period STRING, url STRING, version INT"
+    for batch in range(30):
+        keys = [batch % 4, batch % 7 + 10, batch]
+        changed = spark.createDataFrame([("p", f"u{k}", batch) for k in sorted(set(keys))], schema)
+        log.append(changed, batch)
+        log.append(changed, batch)
+        want.update({f"u{k}": batch for k in keys})
+        assert len(log.runs()) <= 2 * 4 and [r.first for r in log.runs()] == sorted(r.first for r in log.runs())
+    assert {r["url"]: r["version"] for r in log.read(changed.schema).collect()} == want
+    # An older batch again changes nothing.
+    log.append(spark.createDataFrame([("p", "u1", 99)], schema), 3)
+    assert log.read(changed.schema).count() == len(want)
+    assert MergeLog(spark, str(tmp_path / "none")).read(changed.schema).collect() == []
+
+
 def test_observation_layout():
     assert OBSERVATION.names[:2] == KEY

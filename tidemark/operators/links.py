@@ -30,11 +30,11 @@ def page_anchors(
     cut = pages.select(*keys, F.col(html).alias("_html")).where("_html IS NOT NULL").withColumn(
         "_segments", F.expr(H.page_segments("_html", category_header))
     )
-    # A column of its own, so that the test runs once per page and branch.
-    tested = cut.withColumn("_odd", F.expr(H.needs_parser("_html", "_segments")))
-    plain = tested.where("NOT _odd").select(*keys, F.expr(H.plain_anchors("_segments")).alias("_anchors"))
-    parsed = tested.where("_odd").select(*keys, H.parsed_anchors(F.col("_html"), category_header).alias("_anchors"))
-    return plain.unionAll(parsed).select(*keys, F.posexplode("_anchors").alias("pos", "_anchor")).select(
+    # A column of its own, so that the test runs once per page; only what the parser reads goes on as HTML.
+    tested = cut.withColumn("_odd", F.when(F.expr(H.needs_parser("_html", "_segments")), F.col("_html"))).drop("_html")
+    parsed = tested.withColumn("_parsed", H.parsed_anchors(F.col("_odd"), category_header))
+    anchors = F.coalesce(F.col("_parsed"), F.expr(H.plain_anchors("_segments")))
+    return parsed.select(*keys, F.posexplode(anchors).alias("pos", "_anchor")).select(
         *keys, "pos", "_anchor.href", "_anchor.title", "_anchor.category"
     )
 

@@ -13,8 +13,6 @@ from tidemark.operators.skew import rank_within, skew_join
 from tidemark.session import materialise, small_side
 from tidemark.sources.binary import normal_folder, normal_path
 
-# Candidate numbers one row unfolds into; a longer list is unfolded by many tasks.
-_BLOCK = 10_000
 # What numbered names are made of: ``<head>_<number><tail>``. Two kinds of item with one head
 # and tail share their numbers.
 _FORM = ["folder", "head", "tail"]
@@ -49,16 +47,8 @@ def free_names(incoming: DataFrame, taken: DataFrame) -> DataFrame:
     items = materialise(items)
     forms = materialise(items.groupBy(*_FORM).agg(F.count(F.lit(1)).alias("_items")))
     numbers_taken = materialise(_numbers_taken(used.unionByName(natural.select(*_NAME)).distinct(), forms))
-    counts = numbers_taken.groupBy(*_FORM).agg(F.count(F.lit(1)).alias("_taken"))
-    forms = forms.join(counts, _FORM, "left").withColumn("_taken", F.coalesce("_taken", F.lit(0)))
-    largest = forms.agg(F.max(F.col("_items") + F.col("_taken"))).first()[0]
-    placed = rank_within(items, _FORM, [F.col("item")], "_slot", largest)
-    free = _candidates(forms).join(numbers_taken, [*_FORM, "_number"], "left_anti")
-    numbers = rank_within(free, _FORM, [F.col("_number")], "_slot", largest)
-    number = F.col("_number").cast("string")
-    renamed = placed.join(numbers, [*_FORM, "_slot"]).select(
-        F.col("item").alias("_item"), F.concat("head", F.lit("_"), number, "tail").alias("_name")
-    )
+    numbers = _free_numbers(items, numbers_taken, forms)
+    renamed = numbers.select(F.col("item").alias("_item"), F.concat("head", F.lit("_"), F.col("_number").cast("string"), "tail").alias("_name"))
     renamed = small_side(materialise(renamed))
     return incoming.join(renamed, F.col("item") == F.col("_item"), "left").select(
         *incoming.columns, F.coalesce("_name", "name").alias("new_name")
@@ -86,18 +76,22 @@ def _numbers_taken(names: DataFrame, forms: DataFrame) -> DataFrame:
     return found.join(small_side(forms.select(*_FORM)), _FORM, "left_semi").distinct()
 
 
-def _candidates(forms: DataFrame) -> DataFrame:
-    """Numbers to choose from: the first `items + taken` always hold enough free ones."""
-    last = F.col("_items") + F.col("_taken")
-    blocks = forms.select(
-        *_FORM,
-        last.alias("_last"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / _BLOCK))).alias("_block"),
-    ).repartition(*_FORM, "_block")
-    first = F.col("_block") * _BLOCK + 1
-    return blocks.select(
-        *_FORM, F.explode(F.sequence(first, F.least(F.col("_last"), first + (_BLOCK - 1)))).alias("_number")
+def _free_numbers(items: DataFrame, numbers_taken: DataFrame, forms: DataFrame) -> DataFrame:
+    """The items (form, item) with ``_number``: in order, the first numbers that are not taken.
+
+    The i-th taken number t of a form has t - i free ones below it, so item s goes behind all
+    taken numbers with fewer than s free ones below. With both in one row in this order, the place of
+    an item in the row is its number: no number is looked at that is neither taken nor given.
+    """
+    counts = numbers_taken.groupBy(*_FORM).agg(F.count(F.lit(1)).alias("_taken"))
+    sizes = forms.join(counts, _FORM, "left").select(F.col("_items") + F.coalesce("_taken", F.lit(0)))
+    largest = sizes.agg(F.max(sizes.columns[0])).first()[0]
+    placed = rank_within(items, _FORM, [F.col("item")], "_slot", largest)
+    ranked = rank_within(numbers_taken, _FORM, [F.col("_number")], "_rank", largest)
+    row = placed.select(*_FORM, (F.col("_slot") - 1).alias("_free"), "item", F.lit(True).alias("_given")).unionByName(
+        ranked.select(*_FORM, (F.col("_number") - F.col("_rank")).alias("_free"), F.lit(None).cast(items.schema["item"].dataType).alias("item"), F.lit(False).alias("_given"))
     )
+    return rank_within(row, _FORM, [F.col("_free"), F.col("_given"), F.col("item")], "_number", largest).where("_given")
 
 
 def assign_years(

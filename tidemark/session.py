@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,25 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 100_000
 
 _own_root: str | None = None
+_trial_root: str | None = None
 
 
 def use_root(folder: str | None) -> None:
-    """Folder for intermediate tables of sessions that do not name one in ``spark.checkpoint.dir``."""
-    global _own_root
-    _own_root = folder
+    """Folder for intermediate tables of sessions that do not name one in ``spark.checkpoint.dir``; None forgets it."""
+    global _own_root, _trial_root
+    _own_root, _trial_root = folder, _trial_root if folder else None
+
+
+def use_trial_root(folder: str) -> None:
+    """Folder for sessions on this machine alone, where neither `use_root` nor the session names one."""
+    global _trial_root
+    _trial_root = folder
 
 
 def _application_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or _own_root
+    if not root and re.match(r"local(\[|$)", spark.sparkContext.master):
+        root = _trial_root
     if not root:
         raise RuntimeError("set spark.checkpoint.dir, or call use_root(), to a folder every executor can reach")
     # One folder per application, so that it can be removed as a whole afterwards.
@@ -43,6 +53,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(found)
 
 
+def files_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly in a folder; none if it is not there."""
+    found, system = _stored(spark, folder)
+    return [f.getPath().getName() for f in system.listStatus(found)] if system.exists(found) else []
+
+
 def write_text_once(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that appears whole or not at all; an error if it is there already."""
     found, system = _stored(spark, path)

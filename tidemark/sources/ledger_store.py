@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.ledger import MOST_PERIODS, latest_manifest, of_keys
-from tidemark.session import path_exists, write_text_once
+from tidemark.session import files_in, write_text_once
 from tidemark.sources.schemas import MANIFEST
 
 # Buckets of a period's keys in the index of a new ledger. More of them let an append to a period
@@ -85,9 +85,7 @@ class LedgerStore:
 
     def _files(self, folder: str) -> list[str]:
         """Names in a folder below the root."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+        return files_in(self.spark, f"{self.root}/{folder}")
 
     def _commits(self) -> list[int]:
         return sorted(int(name.removesuffix(".json")) for name in self._files("commits") if name.endswith(".json"))

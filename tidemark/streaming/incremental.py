@@ -12,6 +12,7 @@ from tidemark.operators.ledger import SAFE, latest_manifest
 from tidemark.operators.skew import SALTS
 from tidemark.plans.ledger_run import run_ledger
 from tidemark.sources.ledger_store import LedgerStore
+from tidemark.sources.merge_log import MergeLog
 from tidemark.sources.schemas import KEY, OBSERVATION
 
 
@@ -49,15 +50,25 @@ def run_incremental(
     )
 
 
-def first_seen(rows: DataFrame, keys, event_time: str, delay: str) -> DataFrame:
-    """First sighting of every key within `delay` of event time.
+def first_seen(rows: DataFrame, keys, event_time: str, delay: str | None, known: DataFrame | None = None) -> DataFrame:
+    """First sighting of every key: within `delay` of event time, or, with None, ever.
+
+    Without a delay the state holds every key it has met, as a key counts as unseen only once; keep
+    it in a state store on disk. Keys in `known`, such as those of the stored ledger when the
+    stream begins, are never reported; they are joined to each batch and need no state.
 
     Sightings of one key are first thinned out in `SALTS` separate groups, so that a
     key with very many of them does not run through a single task.
     """
     keys = list(keys)
+    if known is not None:
+        rows = rows.join(known.select(*keys).distinct(), keys, "left_anti")
     salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
-    thinned = rows.withColumn("_salt", salt).withWatermark(event_time, delay)
+    thinned = rows.withColumn("_salt", salt)
+    if delay is None:
+        # Of a micro-batch's sightings one per key is left when they meet the key's state.
+        return thinned.dropDuplicates([*keys, "_salt"]).drop("_salt").dropDuplicates(keys)
+    thinned = thinned.withWatermark(event_time, delay)
     thinned = thinned.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     return thinned.dropDuplicatesWithinWatermark(keys)
 
@@ -76,12 +87,13 @@ def write_first_seen(rows: DataFrame, folder: str, checkpoint: str) -> Streaming
 def write_running_latest(manifest: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Keep the latest row per key of a stream of ledger rows.
 
-    Each batch writes the keys it changed to a folder of its own, over whatever an
-    earlier attempt of that batch left there.
+    Each batch adds the keys it changed as a folder; folders are merged level by level
+    (see `MergeLog`), so that a reader meets few of them however long the stream has run. A
+    batch that is run again is not added twice.
     """
 
     def write_batch(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        MergeLog(changed.sparkSession, folder).append(changed, batch_id)
 
     return (
         latest_manifest(manifest)
@@ -95,10 +107,4 @@ def write_running_latest(manifest: DataFrame, folder: str, checkpoint: str) -> S
 
 def read_running_latest(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Current latest rows: per key those of the last batch that changed it."""
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(folder)
-    rest = [c for c in schema.names if c not in KEY]
-    return (
-        rows.groupBy(*KEY)
-        .agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
-        .select(*KEY, *[F.col("_row")[c].alias(c) for c in rest])
-    )
+    return MergeLog(spark, folder).read(schema)

@@ -41,6 +41,18 @@ def stream_first_seen(spark, sf):
     return spark.read.parquet(folder).select("period", "user_id")
 
 
+def stream_first_ever(spark, sf):
+    """Sightings in order of time, far more than a day apart; every twentieth user is known before."""
+    events, folder = table(spark, sf, "events"), shared_dir(spark, "events")
+    events.repartitionByRange(FILES, "ts").sortWithinPartitions("ts").write.parquet(folder)
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    rows = rows.selectExpr("event_type AS period", "user_id", "cast(ts AS TIMESTAMP) AS seen_at")
+    known = events.where("user_id % 20 = 0").selectExpr("event_type AS period", "user_id")
+    output = shared_dir(spark, "seen")
+    write_first_seen(first_seen(rows, ["period", "user_id"], "seen_at", None, known), output, shared_dir(spark, "stream")).awaitTermination()
+    return spark.read.parquet(output).select("period", "user_id")
+
+
 def stream_latest(spark, sf):
     rows = _event_stream(spark, sf).selectExpr(
         "event_type AS period", "cast(user_id AS STRING) AS url", "dayofmonth(ts) AS version", "event_id AS seq", "props"
@@ -79,12 +91,14 @@ def stream_ledger(spark, sf):
 
 QUERIES = {
     "stream_first_seen": stream_first_seen,
+    "stream_first_ever": stream_first_ever,
     "stream_latest": stream_latest,
     "stream_ledger": stream_ledger,
 }
 
 ORACLE = {
     "stream_first_seen": "SELECT DISTINCT event_type AS period, user_id FROM events",
+    "stream_first_ever": "SELECT DISTINCT event_type AS period, user_id FROM events WHERE user_id % 20 <> 0",
     "stream_latest": """
         SELECT event_type AS period, CAST(user_id AS VARCHAR) AS url, CAST(day(ts) AS INTEGER) AS version, event_id AS seq, props
         FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY day(ts) DESC, event_id DESC) = 1""",
