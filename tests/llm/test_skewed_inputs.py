@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tests.llm.test_html_whole import extracted
-from tidemark.llm import fertility, html_main, langid, mixing, pii, toxicity
+from tidemark.llm import fertility, html_main, jaccard, langid, mixing, pii, toxicity
 from tidemark.llm.html_main import main_blocks, merge, rules, wrapper_of
 from tidemark.llm.html_tree import parse
 
@@ -140,6 +140,17 @@ def test_pages_without_a_host_do_not_meet(spark):
     assert html_main.wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).count() == 0
 
 
+def test_blocks_of_a_large_component_meet_where_sizes_allow(spark, monkeypatch):
+    """One chain of texts that grow from 20 to some 300 words, with copies, in blocks of at most five documents."""
+    rnd = random.Random(12)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(320)]
+    docs = [(i, " ".join(words[: 20 + 5 * i])) for i in range(60)] + [(100 + i, " ".join([*words[: 40 + 9 * i], "tail"])) for i in range(25)]
+    docs += [(200 + i, docs[i][1]) for i in range(0, 60, 7)]
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 5)
+    found = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in found} == brute.jaccard(docs)
+
+
 def test_executors_need_not_have_this_folder(tmp_path):
     """Run from another folder: workers get what they need with the job."""
     code = f"""

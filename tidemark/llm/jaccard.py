@@ -9,12 +9,13 @@ of a thousand near copies gives a thousand rows and not a million.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,21 +175,32 @@ def similar(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", thresho
     groups = components(stars)
     members = groups.unionAll(groups.select("root", "root").distinct()).select("node", F.col("root").alias("component"))
     members = materialise(members.join(nodes.select("node", "n_shingles", "doc_id", "k"), "node"))
-    sized = members.groupBy("component").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("grams"))
     blocks = F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    members = members.join(materialise(sized.select("component", blocks.alias("blocks"))), "component")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.select("k", "doc_id", "node", "component", "blocks", "block")
+    counted = F.count("*").alias("docs"), F.sum("n_shingles").alias("grams")
+    large = materialise(members.groupBy("component").agg(*counted).select("component", (blocks > 1).alias("large")))
+    # Sets of which one has less than the threshold's share of the other cannot be similar, so blocks
+    # of a large component hold sets of one step of sizes, and meet those of the steps beside it.
+    step = math.log(1000 / max(threshold, 1)) * 1.000001 if threshold < 1000 else 1.0
+    members = members.join(large, "component").withColumn("step", F.when(F.col("large"), F.floor(F.log("n_shingles") / step)).otherwise(F.lit(0)))
+    by_size = Window.partitionBy("component").orderBy("step")
+    steps = members.groupBy("component", "step").agg(*counted).select("component", "step", blocks.alias("blocks"))
+    steps = steps.withColumn("offset", F.coalesce(F.sum("blocks").over(by_size.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("int"))
+    before = F.when(F.lag("step").over(by_size) == F.col("step") - 1, F.lag("blocks").over(by_size)).otherwise(F.lit(0))
+    behind = F.when(F.lead("step").over(by_size) == F.col("step") + 1, F.lead("blocks").over(by_size)).otherwise(F.lit(0))
+    steps = materialise(steps.withColumns({"first": F.col("offset") - before, "last": F.col("offset") + F.col("blocks") + behind - 1}))
+    members = members.join(steps, ["component", "step"])
+    members = members.withColumn("block", (F.col("offset") + F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int"))
+    members = members.select("k", "doc_id", "node", "component", "large", "block", "first", "last")
     total = members.count()
     members = F.broadcast(members) if total <= BROADCAST_CANDIDATES else members
-    found = rows.join(members.select("k", F.col("doc_id").alias("other_id"), "node", "component", "blocks", "block"), "k")
+    found = rows.join(members.select("k", F.col("doc_id").alias("other_id"), "node", "component", "large", "block", "first", "last"), "k")
     # One text for each set, however often its row is repeated.
     found = found.where(F.col("doc_id").eqNullSafe(F.col("other_id"))).dropDuplicates(["node"])
-    # Small components share a group; a block of a large one meets every other block of it.
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
+    # Small components share a group; a block of a large one meets the blocks of sizes near its own.
+    pairs = F.transform(F.sequence("first", "last"), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
     shares = max(1, total // BLOCK_DOCS)
-    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(shares))).otherwise(F.col("component"))
-    found = found.select("node", "component", "block", F.col("blocks") == 1, unit.alias("unit"), gram_set("text").alias("grams"), pairs.alias("pairs")).toDF("node", "component", "block", "small", "unit", "grams", "pairs")
+    unit = F.when(~F.col("large"), F.pmod(F.xxhash64("component"), F.lit(shares))).otherwise(F.col("component"))
+    found = found.select("node", "component", "block", ~F.col("large"), unit.alias("unit"), gram_set("text").alias("grams"), pairs.alias("pairs")).toDF("node", "component", "block", "small", "unit", "grams", "pairs")
     found = found.select("node", "component", "block", "small", "unit", "grams", F.explode("pairs").alias("pair")).select("*", "pair.lo", "pair.hi").drop("pair")
     checked = found.groupBy("small", "unit", "lo", "hi").applyInPandas(_verified(threshold), "node long, links long, root long")
     checked = materialise(checked)
