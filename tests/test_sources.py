@@ -3,11 +3,13 @@ import hashlib
 import io
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.plans import physical
 from tidemark import expand_archives, harmonise, read_workbooks
 from tidemark.operators.ledger import repoint
+from tidemark.operators.types import infer_types
 from tidemark.sources.archives import moves_of_archives, read_archives
 from tidemark.operators.inventory import list_paths
 from tidemark.plans.harmonise_run import harmonise_files
@@ -16,6 +18,7 @@ from tidemark.sources.binary import normal_path
 from tidemark.sources.ledger_store import LedgerStore
 from tidemark.sources.schemas import LONG, MANIFEST, MANIFEST_TEXT, OBSERVATION, TEXT, table
 from tidemark.sources.tables import (
+    read_mapping,
     read_release,
     read_text_manifest,
     release_schema,
@@ -115,6 +118,51 @@ def test_stored_files_are_hashed_by_path(spark, tmp_path):
     assert unpack_archives(store, read_archives(spark, str(tmp_path)), batch=4).count() == 0
 
 
+def test_a_large_member_does_not_stop_the_ledger(spark, tmp_path):
+    """Following an archive needs no content, so no length of a member is too much for it."""
+    stored = spark.createDataFrame([("/d/2020/z.zip", zipped("m.txt"))], "path STRING, content BINARY")
+    assert [r["error"] for r in expand_archives(stored, keep_content=True, longest=0).collect()] == ["member too large for a row"]
+    store = LedgerStore(spark, str(tmp_path / "ledger"))
+    values = {"period": "2020", "url": "https://h/z.zip", "saved_path": "/d/2020/z.zip"}
+    store.append(spark.createDataFrame([tuple(values.get(n) for n in MANIFEST.names)], MANIFEST), 0)
+    assert [(r["path"], r["error"], r["content"]) for r in unpack_archives(store, stored).collect()] == [("/d/2020/z/m.txt", None, None)]
+    assert [r["saved_path"] for r in store.read().collect()] == ["/d/2020/z"]
+
+
+def test_columns_go_by_header(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "1.csv").write_text('\ufeffFINAL_2025,NOTE,ORIGINAL\n"X, y",n,A\nZ,,B\n', encoding="utf-8")
+    (tmp_path / "m" / "2.csv").write_text("ORIGINAL,FINAL\nB,W,extra\nC\n", encoding="utf-8")
+    (tmp_path / "m" / "3.csv").write_text("ORIGINAL,FINAL\n", encoding="utf-8")
+    rows = read_mapping(spark, str(tmp_path / "m")).orderBy("line_no").collect()
+    assert [(r["original"], r["final"]) for r in rows] == [("A", "X, y"), ("B", "Z"), ("B", "W"), ("C", None)]
+    (tmp_path / "bad.csv").write_text("ORIGINAL,OTHER\nA,B\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="no column for final: ORIGINAL, OTHER"):
+        read_mapping(spark, str(tmp_path / "bad.csv"))
+    (tmp_path / "ledger.csv").write_text("version,url,NEW,period\n3,h/a,x,2020\n", encoding="utf-8")
+    row = read_text_manifest(spark, str(tmp_path / "ledger.csv")).first()
+    assert (row["period"], row["url"], row["version"], row["sha256"]) == ("2020", "h/a", "3", None)
+    (tmp_path / "nokey.csv").write_text("version,url\n3,h/a\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="period"):
+        read_text_manifest(spark, str(tmp_path / "nokey.csv"))
+    (tmp_path / "empty.csv").write_text("", encoding="utf-8")
+    assert read_text_manifest(spark, str(tmp_path / "empty.csv")).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("cells", "kind"),
+    [
+        (["1", " -22 ", "", None], "bigint"), (["1", "2.5", "1e3"], "double"), (["007", "8"], "string"), (["1", "x"], "string"), (["true", "FALSE"], "boolean"),
+        (["true", "1"], "string"), (["2020-02-29"], "date"), (["2020-02-30"], "string"), (["2020-01-01", "2020-01-01 10:00:00"], "timestamp"),
+        (["2020-01-01T10:00:00Z"], "timestamp"), (["2020-01-01", "3"], "string"), ([None, " "], "string"), (["9223372036854775807"], "bigint"),
+        (["9223372036854775808"], "string"), (["123456789012345678", "0.5"], "string"), ([".5", "5."], "double"), (["+3"], "bigint"), (["NaN"], "string"),
+    ],
+)
+def test_the_narrowest_type_that_holds_all_cells(spark, cells, kind):
+    parts = spark.createDataFrame([(c, "k") for c in cells], "v STRING, `V.x` STRING").repartition(3)
+    assert [f.dataType.simpleString() for f in infer_types(parts)] == [kind, "string"]
+
+
 def test_paths_have_one_form(spark):
     forms = ["file:/a//b/", "file:///a/b", "file://localhost/a/b", "/a/b//", "/a/b", "s3://k//x/", "hdfs://h:1/a//b", "/", "a/b/"]
     got = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i INT, p STRING").select("i", normal_path(F.col("p"))).orderBy("i").collect()

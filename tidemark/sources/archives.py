@@ -42,19 +42,19 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # A value of a row holds less than 2 GiB.
-_LONGEST = 2**31 - 1024
+LONGEST = 2**31 - 1024
 
 
-def _member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, keep_content: bool) -> dict:
+def _member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, keep_content: bool, longest: int) -> dict:
     """Size, hash and, if wanted, content of a member, read in chunks."""
     digest, size, held = hashlib.sha256(), 0, []
     with archive.open(info) as stream:
         while chunk := stream.read(CHUNK):
             digest.update(chunk)
             size += len(chunk)
-            if keep_content and size <= _LONGEST:
+            if keep_content and size <= longest:
                 held.append(chunk)
-    kept = keep_content and size <= _LONGEST
+    kept = keep_content and size <= longest
     return {
         "member": info.filename,
         "size": size,
@@ -64,20 +64,20 @@ def _member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, keep_content: bool)
     }
 
 
-def _members(path: str, content: bytes | None, keep_content: bool) -> Iterator[dict]:
+def _members(path: str, content: bytes | None, keep_content: bool, longest: int) -> Iterator[dict]:
     nothing = {"archive": path, "member": None, "size": None, "sha256": None, "content": None}
     try:
         with (open_file(path) if content is None else io.BytesIO(content)) as source, zipfile.ZipFile(source) as archive:
             for info in archive.infolist():
                 if not info.is_dir():
-                    yield {"archive": path, **_member(archive, info, keep_content)}
+                    yield {"archive": path, **_member(archive, info, keep_content, longest)}
     except (zipfile.BadZipFile, pa.ArrowInvalid):  # the latter where a file is too short to seek in
         yield {**nothing, "error": "not a valid archive"}
     except Exception as failure:  # an archive that cannot be read must not end the job
         yield {**nothing, "error": type(failure).__name__}
 
 
-def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFrame:
+def expand_archives(archives: DataFrame, keep_content: bool = False, longest: int = LONGEST) -> DataFrame:
     """Members of every archive in `archives` (path, and content unless it is to be opened there).
 
     Columns: archive, folder, member, path, size, sha256, content, error. `folder` is
@@ -90,7 +90,7 @@ def expand_archives(archives: DataFrame, keep_content: bool = False) -> DataFram
         for batch in batches:
             contents = batch.column(1) if batch.num_columns > 1 else [None] * batch.num_rows
             for path, content in zip(batch.column(0), contents):
-                for row in _members(path.as_py(), content and content.as_py(), keep_content):
+                for row in _members(path.as_py(), content and content.as_py(), keep_content, longest):
                     held.append(row)
                     size += len(row["content"] or b"")
                     if len(held) >= _ROWS or size >= _BYTES:

@@ -10,20 +10,19 @@ from tidemark.operators.audit import effective_mapping, unmapped_report
 from tidemark.operators.inventory import list_paths
 from tidemark.operators.ledger import register_existing
 from tidemark.operators.links import page_anchors
-from tidemark.plans.harmonise_run import harmonise_files
+from tidemark.plans.harmonise_run import harmonise_files, release_files
 from tidemark.session import shared_dir
 from tidemark.sources.binary import file_system, normal_folder
 from tidemark.sources.schemas import LONG, TEXT, table as layout
-from tidemark.sources.tables import read_mapping, release_schema, write_unmapped_report
+from tidemark.sources.tables import read_mapping, release_schema, stored_megabytes, write_unmapped_report
 from workload.data import table
 from workload.releases import CASE_MAPPING, years
 
 SOURCE = "yearbook"
 
 
-def stored_documents(spark, sf):
-    """Every document as a file of its own, below a folder per language: the folder."""
-    folder = normal_folder(spark, shared_dir(spark, "files"))
+def _store(files):
+    """Write `files` (path, text), each as a file of its own."""
 
     def write(batches):
         for batch in batches:
@@ -34,13 +33,31 @@ def stored_documents(spark, sf):
                     out.write(text.encode())
             yield pd.DataFrame({"path": batch["path"]})
 
-    documents = table(spark, sf, "documents")
+    files.select("path", "text").mapInPandas(write, "path STRING").write.format("noop").mode("overwrite").save()
+
+
+def stored_documents(spark, sf):
+    """Every document as a file of its own, below a folder per language: the folder."""
+    folder = normal_folder(spark, shared_dir(spark, "files"))
     path = F.format_string("%s/%s/%d.txt", F.lit(folder), "lang", "doc_id")
-    written = documents.select(path.alias("path"), "text").mapInPandas(write, "path STRING")
-    written.write.format("noop").mode("overwrite").save()
+    _store(table(spark, sf, "documents").withColumn("path", path))
     return folder
 
 
+def stored_size(spark, sf):
+    return stored_megabytes(list_paths(spark, stored_documents(spark, sf)).where("NOT is_dir"))
+
+
+def chosen_releases(spark, sf):
+    """Main files of the even years' release folders; a file per year and status, those of one status in the new form."""
+    folder = normal_folder(spark, shared_dir(spark, "folders"))
+    files = table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year"), "o_orderstatus").agg(F.count("*").cast("string").alias("text"))
+    name = F.expr("concat('Disclosure_Data_', o_orderstatus, if(o_orderstatus = 'P', '_New_Form', ''), if(year % 4 = 0 AND o_orderstatus = 'F', '.csv', '.xlsx'))")
+    _store(files.withColumn("path", F.concat_ws("/", F.lit(folder), "year", name)))
+    found = release_files(spark, folder, releases=[y for y in years(spark, sf) if y % 2 == 0])
+    return spark.createDataFrame([(y, p.rsplit("/", 1)[1]) for y, p in found.items()], "release INT, file_name STRING")
+
+
 def listed_files(spark, sf):
     folder = stored_documents(spark, sf)
     found = list_paths(spark, folder)
@@ -187,6 +204,8 @@ def odd_page_anchors(spark, sf):
 QUERIES = {
     "listed_files": listed_files,
     "registered_files": registered_files,
+    "stored_size": stored_size,
+    "chosen_releases": chosen_releases,
     "release_headers": release_headers,
     "harmonised_files": harmonised_files,
     "observed_counts": observed_counts,
@@ -210,6 +229,13 @@ ORACLE = {
         SELECT lang AS period, 'https://docs.example.org/' || source || '/' || doc_id || '.TXT' AS url, doc_id || '.txt' AS filename,
                octet_length(encode(text)) AS bytes, sha256(text) AS sha256, 1 AS version
         FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "stored_size": "SELECT round(coalesce(sum(octet_length(encode(text))), 0) / 1048576, 2) AS size_mb FROM documents",
+    "chosen_releases": """
+        WITH named AS (
+            SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS release, o_orderstatus = 'P' AS favoured,
+                   'Disclosure_Data_' || o_orderstatus || CASE WHEN favoured THEN '_New_Form' ELSE '' END || '.xlsx' AS file_name
+            FROM orders WHERE year(o_orderdate) % 2 = 0 AND NOT (year(o_orderdate) % 4 = 0 AND o_orderstatus = 'F'))
+        SELECT release, coalesce(min(file_name) FILTER (favoured), min(file_name)) AS file_name FROM named GROUP BY release""",
     "release_headers": f"""
         WITH y AS (SELECT DISTINCT {_YEAR} AS release FROM orders),
         named AS (SELECT release, unnest([CASE WHEN release <= 1997 THEN 'CASE_NO' ELSE 'CASE_ID' END, 'STATUS', 'RECEIVED', 'TOTAL', 'CUSTOMER']) AS column_name,
