@@ -84,6 +84,19 @@ def test_cleaning_writes_touched_periods_only(spark, tmp_path):
     same_index(store)
 
 
+def test_compaction_gathers_crowded_periods(spark, tmp_path):
+    store = LedgerStore(spark, str(tmp_path / "l"))
+    for batch in range(5):
+        store.append(ledger_rows(spark, [("busy", f"u{batch}", 1, f"/d/{batch}")] + [("calm", "v", 1, "/v")] * (batch == 2)), batch)
+    before = given(store.read())
+    assert store.compact(most=5) == [] and store.compact(most=3) == ["busy"]
+    assert sorted(p.period for p in store.state().rows) == ["busy", "calm"]
+    assert given(store.read()) == before
+    store.append(ledger_rows(spark, [("busy", "u1", 7, "/again")]), 1)
+    assert {(r["url"], r["version"]) for r in store.read().where("seq = 1").collect()} == {("u1", 7)}
+    same_index(store)
+
+
 def test_a_failing_write_is_not_seen(spark, tmp_path, monkeypatch):
     store, reader = LedgerStore(spark, str(tmp_path / "l")), LedgerStore(spark, str(tmp_path / "l"))
     store.append(ledger_rows(spark, [("p", "a", 1, "/a"), ("q", "b", 1, "/b")]), 0)

@@ -171,4 +171,5 @@ def _release_run(store, index_pages, release_pages, observations, index_url, sit
     done = run_ledger(store, found, observations, base_dir, source_id, batch, files, mode)
     members = unpack_archives(store, archives, batch) if archives is not None else None
     moves = refile_combined(store, paths, base_dir, combined=combined) if combined else None
+    store.compact()
     return ReleaseRun(done.summary, cleaned, failed, members, moves)

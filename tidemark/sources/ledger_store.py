@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, replace
@@ -30,6 +30,8 @@ from tidemark.sources.schemas import MANIFEST
 # Buckets of a period's keys in the index of a new ledger. More of them let an append to a period
 # of very many keys write less; fewer keep small periods in few files.
 BUCKETS = 4
+# Folders of a period above which a run gathers them.
+MOST_FOLDERS = 32
 # The folder name that stands for a missing period.
 _NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 # Columns that are folders.
@@ -248,6 +250,17 @@ class LedgerStore:
             state = replace(state, latest=tuple(p for p in state.latest if (p.period, p.bucket) not in touched))
         self._becomes(state)
 
+    def compact(self, most: int = MOST_FOLDERS) -> list[str | None]:
+        """Gather the rows of every period that lies in more than `most` folders in one; returns those periods.
+
+        The list of folders stays short however many batches there are, and a row is written anew
+        once in `most` batches of its period.
+        """
+        crowded = [period for period, n in Counter(p.period for p in self.state().rows).items() if n > most]
+        if crowded:
+            self.rewrite(self.read(periods=crowded), crowded)
+        return crowded
+
     def replace(self, rows: DataFrame) -> None:
         """Put `rows` in place of the whole ledger; also compacts it."""
         state = self.state()
