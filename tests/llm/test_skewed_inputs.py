@@ -101,6 +101,7 @@ def test_the_number_of_pages_decides_nothing(n):
         ('<section id="menu-planning"><p>Menus</p></section>', "Menus"),
         ('<section id="discussion"><h2>Discussion</h2><p>x</p></section>', "Discussion\n\nx"),
         ('<p>x</p><div class="related-posts"><p>more</p></div><div class="ad">buy</div><div id="comments"><p>Great!</p></div>', "x"),
+        ('<p>x</p><div id="sidebar"><p>More</p></div><p id="footer">y</p><h3 id="comments">Comments</h3><section id="sidebar-and-main"><p>z</p></section>', "x\n\ny\n\nComments\n\nz"),
         ('<div class="search-results-explained"><p>x</p></div><div class="AdBanner">buy</div>', "x"),
     ],
 )

@@ -50,8 +50,9 @@ _BOX_WORDS = frozenset(
     """area bar block box btn button buttons container content element form group holder icons inline inner item items
     links list main nav outer panel post posts region row section site slot thread title top unit wrap wrapper""".split()
 )
-# Ids by which reader comments are found inside an article (fixed values).
-_COMMENT_IDS = frozenset("comments respond disqus disqus_thread".split())
+# Whole ids of boxes that are page furniture even inside what holds the article (fixed values).
+_FURNITURE_IDS = frozenset("comments respond disqus disqus_thread sidebar footer navbar topbar masthead breadcrumb breadcrumbs".split())
+_BOXES = frozenset("div section ul ol".split())
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 _NO_DISPLAY = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -71,8 +72,8 @@ class Block:
     """A block element: what it is called, its attributes' words, and texts and blocks in order.
 
     `flags` has "!" if it is hidden, "~" if its names say that it is no article, "^" if they say
-    so even of a block inside the article: there ids name what a section is about, so that only
-    classes count, and nothing speaks against a heading.
+    so even of a block inside the article: there ids name what a section is about, so that classes
+    count and only a few ids of boxes do, and nothing speaks against a heading.
     """
 
     __slots__ = ("name", "marks", "flags", "parts")
@@ -103,7 +104,7 @@ def _block(name: str, attributes: str) -> Block:
             marks |= _words(value)
             furniture = any(_is_furniture(n) for n in value.split())
             outside = outside or furniture
-            inside = inside or furniture and key != "id" or key == "id" and value.strip().lower() in _COMMENT_IDS
+            inside = inside or furniture and key != "id" or key == "id" and name in _BOXES and value.strip().lower() in _FURNITURE_IDS
         elif key == "aria-hidden" and value.lower() == "true" or key == "style" and _NO_DISPLAY.search(value):
             hidden = True
     return Block(name, tuple(sorted(marks)), "!" * hidden + "~" * outside + "^" * (inside and name not in _HEADINGS))
