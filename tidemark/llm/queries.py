@@ -250,6 +250,45 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM marked GROUP BY conv_id
 """
 
+_SPELLING = r"""
+WITH RECURSIVE steps AS (
+    SELECT list(list_reduce([n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END) ORDER BY n) AS t
+    FROM range(256) AS r(n)
+), runs AS (
+    SELECT doc_id, run, count(*) AS k FROM (
+        SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]{6,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+    ) GROUP BY ALL
+), coded AS (
+    SELECT run, k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs
+), summed AS (
+    SELECT run, k, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS h
+    FROM coded, steps
+), counted AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(k)::BIGINT AS n
+    FROM summed GROUP BY word HAVING sum(k) >= 5 AND length(word) >= 6
+), places AS (
+    SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM counted
+), cut AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM places
+), near AS (
+    SELECT p.word, q.word AS other, q.n AS other_n FROM cut p JOIN cut q ON p.i = q.i AND p.a = q.a AND p.b = q.b AND p.word <> q.word
+    UNION SELECT p.word, q.word, q.n FROM cut p JOIN counted q ON p.a || p.b = q.word
+    UNION SELECT q.word, p.word, p.n FROM cut p JOIN counted q ON p.a || p.b = q.word
+), best AS (
+    SELECT word, count(*) AS n_near, min({'less': -other_n, 'other': other}) AS b FROM near GROUP BY word
+), formed AS (
+    SELECT c.word, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 5 * c.n THEN b.other END AS form, CASE WHEN -b.less >= 5 * c.n THEN -b.less END AS form_n
+    FROM counted c LEFT JOIN best USING (word)
+), ways AS (
+    SELECT word, form AS root FROM formed WHERE form IS NOT NULL
+    UNION ALL SELECT ways.word, formed.form FROM ways JOIN formed ON ways.root = formed.word WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT ways.word, ways.root FROM ways JOIN formed ON ways.root = formed.word WHERE formed.form IS NULL
+)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM formed LEFT JOIN ends USING (word)
+"""
+
 _TRIE = r"""
 WITH own AS (
     SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t
@@ -301,4 +340,4 @@ QUERIES = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS, "op11_chat": _CHAT, "op13_prefix_trie": _TRIE}
+ORACLE = {"op6_backoff": _BACKOFF, "op6_trigrams": _TRIGRAMS, "op7_mixing": _SIZES, "op10_decontamination": _WINDOWS, "op11_chat": _CHAT, "op12_spelling": _SPELLING, "op13_prefix_trie": _TRIE}
