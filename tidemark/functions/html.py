@@ -4,7 +4,7 @@ Nearly every page is read with split and regexp expressions inside the JVM, each
 linear in the length of the page. A page those expressions cannot read faithfully
 (nested or unclosed rows, unclosed anchors, anchors with a bare href, templates, text
 areas, rarer character references) is detected per page and read by the standard
-library's HTML parser in a pandas UDF instead; no other page enters Python.
+library's HTML parser in a pandas UDF instead; of any other page Python gets a null.
 """
 
 from __future__ import annotations
