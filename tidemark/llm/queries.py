@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, prefix_trie, spelling, stupid_backoff, toxicity
+from tidemark.llm import chat_format, decontaminate, fertility, html_main, jaccard, langid, line_dedup, mixing, passage_dedup, pii, prefix_trie, run_dedup, spelling, stupid_backoff, toxicity
 from tidemark.llm.common import bucket_of, word_count
 from tidemark.session import materialise
 
@@ -78,6 +78,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of words, inside lines and across them, that occurred before."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return run_dedup.dedup_runs(docs).select("doc_id", "removed_words", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"), "kept_text")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occurred before."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -332,6 +338,7 @@ QUERIES = {
     "op6_trigrams": op6_trigrams,
     "op7_mixing": op7_mixing,
     "op8_toxicity": op8_toxicity,
+    "op9_word_runs": op9_word_runs,
     "op9_line_dedup": op9_line_dedup,
     "op9_passages": op9_passages,
     "op10_decontamination": op10_decontamination,
