@@ -1,10 +1,12 @@
 """Repeated word runs against a plain check of windows."""
 
+import random
+
 import pytest
 
 import __spark_entry__ as entry
 from tests.llm import brute
-from tests.llm.test_passages import N, left_over, torn_rows
+from tests.llm.test_passages import N, left_over, plain, torn_rows
 from tidemark.llm import run_dedup
 
 SF = "/root/testdata/sf0.001"
@@ -86,3 +88,44 @@ def test_edges(spark, n):
     want = [(0, text, text), (1, text, ""), (1, text, ""), (1, "A", "A"), (2, "", "None"), (3, "", ""), (4, " \n ", " \n "), (5, "\n" + text, ""), (6, long, long), (7, long, "")]
     assert got == sorted(want)
     assert run_dedup.dedup_runs(docs.limit(0), min_words=n).collect() == []
+
+
+def exact(spark, rows, n=N):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in run_dedup.dedup_runs(docs, min_words=n).collect()}
+    want = plain(rows)
+    assert {i: words_of(r.kept_text) for i, r in found.items()} == want
+    assert {i: r.removed_words for i, r in found.items()} == {i: len(words_of(t)) - len(want[i]) for i, t in rows}
+
+
+def test_every_run_of_any_place(spark):
+    """Runs of exactly 25 words, which have a sparser fingerprint in a third of the cases only."""
+    source = [f"s{i}" for i in range(400)]
+    rows = [(0, " ".join(source))]
+    for i in range(1, 120):
+        own = [f"o{i}x{j}" for j in range(2 * (i % 30) + 40)]
+        run = source[3 * i : 3 * i + N - (i % 10 == 9)]  # every tenth is a word too short
+        rows.append((i, " ".join(own[: i % 30] + run + own[i % 30 :])))
+    exact(spark, rows)
+
+
+def test_run_of_a_later_occurrence(spark):
+    """The first text with a fingerprint is not the one that has the run."""
+    core = [f"c{i}" for i in range(N - 1)]
+    begin = [(10 + i, " ".join([f"a{i}x{j}" for j in range(9)] + core[i : i + 14] + [f"b{i}x{j}" for j in range(9)])) for i in range(11)]
+    whole = [(30 + i, " ".join([f"d{i}x{j}" for j in range(9)] + ["left"] * (i % 2) + core + ["right"] * (i % 3) + [f"e{i}x{j}" for j in range(9)])) for i in range(12)]
+    exact(spark, [*begin, *whole])
+
+
+def test_runs_inside_one_text_and_small_words(spark):
+    deal = random.Random(3)
+    rows = [(i, " ".join(deal.choice("abc") for _ in range(deal.randrange(0, 300)))) for i in range(60)]
+    part = [f"p{j}" for j in range(70)]
+    rows += [(70, " ".join([*part, "x", *part[20:60], "y", *part[:25]])), (71, "la " * 100), (72, " ".join([*part[30:], *part[:30]]))]
+    exact(spark, rows)
+
+
+def test_all_documents_exactly(spark):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    found = {r.doc_id: r.kept_text for r in entry.queries()["op9_word_runs"](spark, SF).collect()}
+    assert {i: words_of(t) for i, t in found.items()} == plain(rows)
