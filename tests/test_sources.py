@@ -27,8 +27,8 @@ from tidemark.sources.tables import (
     write_text_manifest,
     write_unmapped_report,
 )
-from tidemark.sources.workbooks import decode_workbooks, workbook_headers
-from workload.containers import workbook_bytes
+from tidemark.sources.workbooks import PIECE, _files, decode_workbooks, workbook_headers
+from workload.containers import workbook_bytes, workbooks
 
 ROWS = (
     '<row r="1"><c r="A1" t="inlineStr"><is><t>ID</t></is></c><c r="C1" t="s"><v>0</v></c><c r="AB1" t="inlineStr"><is><r><t>WI</t></r><r><t>DE</t></r></is></c></row>'
@@ -224,3 +224,25 @@ def test_sinks(spark, tmp_path):
     assert not write_unmapped_report(empty, str(tmp_path / "none")) and not (tmp_path / "none").exists()
     sizes = spark.createDataFrame([("a", 1048576), ("b", 524288)], "path STRING, length BIGINT")
     assert stored_megabytes(sizes).first()[0] == 1.5
+
+
+def test_workbooks_travel_in_pieces(spark):
+    """No row that goes to Python is larger than a piece, however large a workbook; each comes out whole."""
+    lines = ROWS + "".join(f"<row><c><v>{hashlib.sha256(b'%d' % i).hexdigest()}</v></c></row>" for i in range(400))
+    large = workbook_bytes(lines)
+    some = [("/l.xlsx", large), ("/l.xlsx", large), ("/e.xlsx", b""), ("/n.xlsx", None), ("/p.xlsx", large[: 3 * PIECE]), (None, workbook_bytes(ROWS))]
+    files = spark.createDataFrame(some, "path STRING, content BINARY")
+    assert len(large) > 5 * PIECE
+    assert _files(files.coalesce(1)).agg(F.max(F.octet_length("content"))).first()[0] == PIECE
+    for spread in (files.coalesce(1), files.repartition(3)):
+        rows = [(r["path"], r["row_no"], r["error"]) for r in decode_workbooks(spread, ["ID"]).collect()]
+        assert sorted(r for r in rows if r[0] == "/l.xlsx") == sorted(2 * [("/l.xlsx", i, None) for i in range(1, 403)])
+        assert sorted(map(str, (r for r in rows if r[0] != "/l.xlsx"))) == [
+            "('/e.xlsx', None, 'BadZipFile')", "('/n.xlsx', None, 'BadZipFile')", "('/p.xlsx', None, 'BadZipFile')", "(None, 1, None)", "(None, 2, None)",
+        ]
+
+
+def test_workbooks_are_made_few_at_a_time(spark):
+    """Arrow functions would get as many as 10,000 workbooks of XML at once."""
+    plan = physical(workbooks(spark, "/root/testdata/sf0.001"))
+    assert "MapInPandas" not in plan and "BatchEvalPython" in plan

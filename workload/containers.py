@@ -77,10 +77,6 @@ def workbook_bytes(rows: str) -> bytes:
 def workbooks(spark, sf):
     """A workbook per `ROWS_PER_WORKBOOK` orders; names drift from book to book."""
 
-    def zipped(batches):
-        for books in batches:
-            yield pd.DataFrame({"path": books["path"], "content": books["rows"].map(workbook_bytes)})
-
     last = "if(number % 3 = 0, '', {})"
     row = (
         "concat('<row><c><v>', o_orderkey, '</v></c><c t=\"s\"><v>', if(o_orderstatus = 'O', 0, 1), '</v></c><c s=\"1\"><v>', "
@@ -102,7 +98,9 @@ def workbooks(spark, sf):
         "concat('/data/b', number, '.xlsx') AS path",
         f"concat('<row>', {header}, '</row>', array_join(transform(lines, l -> l.xml), '')) AS rows",
     )
-    return rendered.mapInPandas(zipped, "path STRING, content BINARY")
+    # Few rows at a time: batches of the Arrow functions hold 10,000, here as many workbooks as XML.
+    zipped = F.udf(workbook_bytes, "binary", useArrow=False)
+    return rendered.select("path", zipped("rows").alias("content"))
 
 
 def workbook_ingest(spark, sf):
