@@ -28,7 +28,7 @@ from tidemark.sources.tables import (
     write_unmapped_report,
 )
 from tidemark.sources.workbooks import PIECE, _files, decode_workbooks, workbook_headers
-from workload.containers import workbook_bytes, workbooks
+from workload.containers import harmonise_workbooks, workbook_bytes, workbooks
 
 ROWS = (
     '<row r="1"><c r="A1" t="inlineStr"><is><t>ID</t></is></c><c r="C1" t="s"><v>0</v></c><c r="AB1" t="inlineStr"><is><r><t>WI</t></r><r><t>DE</t></r></is></c></row>'
@@ -246,3 +246,8 @@ def test_workbooks_are_made_few_at_a_time(spark):
     """Arrow functions would get as many as 10,000 workbooks of XML at once."""
     plan = physical(workbooks(spark, "/root/testdata/sf0.001"))
     assert "MapInPandas" not in plan and "BatchEvalPython" in plan
+
+
+def test_harmonised_workbooks_travel_in_pieces(spark):
+    plan = physical(harmonise_workbooks(spark, "/root/testdata/sf0.001"))
+    assert "MapInPandas" not in plan and plan.index("MapInArrow") < plan.index("Generate explode") < plan.index("BatchEvalPython")
