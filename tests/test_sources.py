@@ -28,7 +28,7 @@ from tidemark.sources.tables import (
     write_unmapped_report,
 )
 from tidemark.sources.workbooks import PIECE, _files, decode_workbooks, workbook_headers
-from workload.containers import harmonise_workbooks, workbook_bytes, workbooks
+from workload.containers import ROWS_PER_WORKBOOK, harmonise_workbooks, workbook_bytes, workbook_parts, workbooks
 
 ROWS = (
     '<row r="1"><c r="A1" t="inlineStr"><is><t>ID</t></is></c><c r="C1" t="s"><v>0</v></c><c r="AB1" t="inlineStr"><is><r><t>WI</t></r><r><t>DE</t></r></is></c></row>'
@@ -251,3 +251,22 @@ def test_workbooks_are_made_few_at_a_time(spark):
 def test_harmonised_workbooks_travel_in_pieces(spark):
     plan = physical(harmonise_workbooks(spark, "/root/testdata/sf0.001"))
     assert "MapInPandas" not in plan and plan.index("MapInArrow") < plan.index("Generate explode") < plan.index("BatchEvalPython")
+
+
+def test_long_workbooks_are_made_in_parts(spark, tmp_path):
+    """Keys that come often make a workbook long; what goes to Python is a part of it, and its rows stay in order."""
+    orders = spark.range(3 * ROWS_PER_WORKBOOK + 1).selectExpr(
+        "CASE WHEN id % 5 = 0 THEN NULL WHEN id = 1 THEN 999 ELSE id % 7 END AS o_orderkey", "if(id % 2 = 0, 'O', 'F') AS o_orderstatus",
+        "CASE WHEN id % 11 <> 0 THEN timestamp_ntz'2024-01-01 00:00:00' END AS o_orderdate", "concat('p', id % 3) AS o_orderpriority",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    parts = workbook_parts(spark, str(tmp_path)).where("path = '/data/b0.xlsx'")
+    assert parts.count() > 2 and parts.agg(F.max(F.size(F.split("rows", "</row>")))).first()[0] <= ROWS_PER_WORKBOOK + 2
+    books = workbooks(spark, str(tmp_path))
+    assert "BatchEvalPythonUDTF" in physical(books)
+    found = [(r["path"], r["row_no"], r["CASE_ID"] or r["CASE_NO"]) for r in decode_workbooks(books, ["CASE_ID", "CASE_NO"]).where("row_no IS NOT NULL").collect()]
+    kept = orders.where("o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderkey < 999").orderBy("o_orderkey").collect()
+    assert len(kept) > 2 * ROWS_PER_WORKBOOK - 250
+    assert [(n, key) for path, n, key in sorted(found, key=lambda r: r[1]) if path == "/data/b0.xlsx"] == [(i, str(r[0])) for i, r in enumerate(kept, 1)]
+    assert [(path, key) for path, _, key in found if path != "/data/b0.xlsx"] == [("/data/b3.xlsx", "999")]
+    assert {r["path"] for r in books.collect()} == {None, "/data/b0.xlsx", "/data/b3.xlsx"}

@@ -57,25 +57,60 @@ _SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 _RELATION = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 
 
+class Workbook:
+    """A minimal workbook, written in parts; of its XML no more is held than the part at hand."""
+
+    def __init__(self):
+        self._stream = io.BytesIO()
+        self._book = zipfile.ZipFile(self._stream, "w", zipfile.ZIP_DEFLATED)
+        members = {
+            "[Content_Types].xml": _CONTENT_TYPES,
+            "xl/workbook.xml": f'<workbook xmlns="{_SHEET}" xmlns:r="{_RELATION}"><sheets><sheet name="a" sheetId="1" r:id="rId1"/></sheets></workbook>',
+            "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
+            "xl/styles.xml": f'<styleSheet xmlns="{_SHEET}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>',
+            "xl/sharedStrings.xml": f'<sst xmlns="{_SHEET}"><si><t>open</t></si><si><r><t>clo</t></r><r><t>sed</t></r></si></sst>',
+        }
+        for name, text in members.items():
+            self._book.writestr(name, text)
+        self._sheet = self._book.open("xl/worksheets/sheet1.xml", "w", force_zip64=True)
+        self.write(f'<worksheet xmlns="{_SHEET}"><sheetData>')
+
+    def write(self, rows: str) -> None:
+        self._sheet.write(rows.encode())
+
+    def close(self) -> bytes:
+        """The bytes of the whole workbook."""
+        self.write("</sheetData></worksheet>")
+        self._sheet.close()
+        self._book.close()
+        return self._stream.getvalue()
+
+
 def workbook_bytes(rows: str) -> bytes:
     """A minimal workbook around the XML of its rows."""
-    members = {
-        "[Content_Types].xml": _CONTENT_TYPES,
-        "xl/workbook.xml": f'<workbook xmlns="{_SHEET}" xmlns:r="{_RELATION}"><sheets><sheet name="a" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels": '<Relationships><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
-        "xl/styles.xml": f'<styleSheet xmlns="{_SHEET}"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/></numFmts><cellXfs><xf numFmtId="0"/><xf numFmtId="164"/></cellXfs></styleSheet>',
-        "xl/sharedStrings.xml": f'<sst xmlns="{_SHEET}"><si><t>open</t></si><si><r><t>clo</t></r><r><t>sed</t></r></si></sst>',
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{_SHEET}"><sheetData>{rows}</sheetData></worksheet>',
-    }
-    stream = io.BytesIO()
-    with zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in members.items():
-            book.writestr(name, text)
-    return stream.getvalue()
+    book = Workbook()
+    book.write(rows)
+    return book.close()
 
 
-def workbooks(spark, sf):
-    """A workbook per `ROWS_PER_WORKBOOK` orders; names drift from book to book."""
+class WorkbookOfParts:
+    """Table function: the parts of one workbook in, its path and bytes out."""
+
+    def __init__(self):
+        self._path = self._book = None
+
+    def eval(self, part):
+        if self._book is None:
+            self._path, self._book = part["path"], Workbook()
+        self._book.write(part["rows"])
+
+    def terminate(self):
+        if self._book is not None:
+            yield self._path, self._book.close()
+
+
+def workbook_parts(spark, sf):
+    """XML of at most `ROWS_PER_WORKBOOK` rows of a workbook: number, part, path, rows. Keys that come often make many parts."""
 
     last = "if(number % 3 = 0, '', {})"
     row = (
@@ -87,20 +122,28 @@ def workbooks(spark, sf):
     name = "concat('<c t=\"inlineStr\"><is><t>', n, '</t></is></c>')"
     names = "array(if(number % 2 = 1, 'CASE_NO', 'CASE_ID'), 'STATUS', 'RECEIVED', 'PRIORITY')"
     header = f"array_join(transform(slice({names}, 1, if(number % 3 = 0, 3, 4)), n -> {name}), '')"
-    books = (
+    place = "row_number() OVER (PARTITION BY number ORDER BY line)"
+    parts = (
         table(spark, sf, "orders")
         .withColumn("number", F.expr(f"floor(o_orderkey / {ROWS_PER_WORKBOOK})"))
         .selectExpr("number", f"struct(o_orderkey, {row} AS xml) AS line")
-        .groupBy("number")
+        .selectExpr("number", f"floor(({place} - 1) / {ROWS_PER_WORKBOOK}) AS part", "line")
+        .groupBy("number", "part")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
     )
-    rendered = books.selectExpr(
+    return parts.selectExpr(
+        "number",
+        "part",
         "concat('/data/b', number, '.xlsx') AS path",
-        f"concat('<row>', {header}, '</row>', array_join(transform(lines, l -> l.xml), '')) AS rows",
+        f"concat(if(part = 0, concat('<row>', {header}, '</row>'), ''), array_join(transform(lines, l -> l.xml), '')) AS rows",
     )
-    # Few rows at a time: batches of the Arrow functions hold 10,000, here as many workbooks as XML.
-    zipped = F.udf(workbook_bytes, "binary", useArrow=False)
-    return rendered.select("path", zipped("rows").alias("content"))
+
+
+def workbooks(spark, sf):
+    """A workbook per `ROWS_PER_WORKBOOK` orders; names drift from book to book."""
+    # Parts go to Python 100 at a time; batches of the Arrow functions would hold 10,000.
+    zipped = F.udtf(WorkbookOfParts, returnType="path STRING, content BINARY", useArrow=False)
+    return zipped(workbook_parts(spark, sf).asTable().partitionBy("number").orderBy("part"))
 
 
 def workbook_ingest(spark, sf):
